@@ -28,14 +28,16 @@ def brand_rev(spark, d):
 
 @register("win.rank", f"""
 WITH {SQL_BRAND_REV},
-t AS (SELECT p_type, sum(rev) AS type_rev, rank() OVER (ORDER BY sum(rev) DESC) AS type_rank FROM br GROUP BY 1)
+t AS (SELECT p_type, CAST(sum({NET}) AS DOUBLE) AS type_rev, rank() OVER (ORDER BY sum({NET}) DESC) AS type_rank
+      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
 SELECT br.p_type, p_brand, rank() OVER (PARTITION BY br.p_type ORDER BY br.rev DESC) AS rk_in_type,
        type_rev, type_rank
 FROM br JOIN t ON br.p_type = t.p_type""")
 def win_rank(spark, d):
     br = brand_rev(spark, d)
     # un-partitioned rank: reduce to one row per type first, then rank the small table
-    t = br.groupBy("p_type").agg(F.sum("rev").alias("type_rev"))
+    li, p = T(spark, d, "lineitem"), T(spark, d, "part")
+    t = li.join(p, li.l_partkey == p.p_partkey).groupBy("p_type").agg(F.sum(net()).cast("double").alias("type_rev"))
     t = t.withColumn("type_rank", F.rank().over(Window.orderBy(F.col("type_rev").desc())))
     w = Window.partitionBy("p_type").orderBy(F.col("rev").desc())
     return br.withColumn("rk_in_type", F.rank().over(w)).join(t, "p_type").drop("rev")
