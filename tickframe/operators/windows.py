@@ -72,7 +72,7 @@ def idle_gap(df: DataFrame, key: str, start: str, end: str, order_tie: str,
     out = lag_split(df, [key], [start, order_tie], [end], F.date_trunc(bucket_unit, F.col(start)),
                     prefix="__p_")
     return out.withColumn(
-        "gap_seconds", F.expr(f"timestampdiff(SECOND, `__p_{end}`, `{start}`)")).drop("__p_" + end)
+        "gap_seconds", F.timestamp_diff("SECOND", F.col("__p_" + end), F.col(start))).drop("__p_" + end)
 
 
 def rolling(df: DataFrame, key, order, value: str, fn: str, window: int,

@@ -43,7 +43,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-PLAN_MODULES = ("prices", "io_plans", "relational", "aggregates", "windowed", "corpus",
+PLAN_MODULES = ("prices", "io_plans", "relational", "aggregates", "windowed", "scalars", "corpus",
                 "series", "strategies", "ml_plans")
 
 
