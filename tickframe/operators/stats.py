@@ -38,8 +38,11 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     joined back, then a grouped count: no row leaves its partition before
     the partial count."""
     by = list(by)
-    rng = df.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-    j = df.join(F.broadcast(rng), by, "inner") if by else df.crossJoin(F.broadcast(rng))
+    if by:
+        rng = df.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+        j = df.join(rng, by, "inner")  # one row per group; AQE broadcasts it when small
+    else:
+        j = df.withColumns({"__lo": df.select(F.min(value)).scalar(), "__hi": df.select(F.max(value)).scalar()})
     width = (F.col("__hi") - F.col("__lo")) / bins
     idx = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("__lo")) / width), F.lit(bins - 1)))
@@ -82,21 +85,21 @@ def var_mc(stats: DataFrame, key: str, start: str, mu: str, sigma: str, days: in
     twice, as in the source notebook), then mean final price, q-quantile and
     VaR = start − quantile.
 
-    Runs are rows of ``range(runs)`` crossed with the (small, one row per key)
-    statistics table; the steps of one run are a ``product`` aggregate over
-    a generated sequence, so the work is spread over all runs in parallel.
+    Runs and steps are rows generated from each key's statistics row; the
+    steps of one run are a ``product`` aggregate, so the work is spread over
+    all runs in parallel, and the quantile over runs is a bounded sketch.
     """
     dt = 1.0 / days
     steps = days - 1
-    runs_df = stats.sparkSession.range(runs).withColumnRenamed("id", "run")
-    base = F.broadcast(stats.select(key, start, mu, sigma)).crossJoin(runs_df)
-    walk = base.select(key, start, "run", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"),
-                       F.col(mu).alias("__mu"), F.col(sigma).alias("__sd"))
+    # runs and steps are generated per key row (no join): key → runs → steps
+    per_run = stats.select(key, start, F.col(mu).alias("__mu"), F.col(sigma).alias("__sd"),
+                           F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+    walk = per_run.select("*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
     # one normal draw per (key, run, step), reproducible from the seed
-    z = F.randn(seed)
-    growth = 1 + 2 * F.col("__mu") * dt + F.col("__sd") * (dt ** 0.5) * z
+    walk = walk.withColumn("__z", F.randn(seed))
+    growth = 1 + 2 * F.col("__mu") * dt + F.col("__sd") * (dt ** 0.5) * F.col("__z")
     final = walk.groupBy(key, start, "run").agg((F.first(start) * F.product(growth)).alias("final_price"))
     return final.groupBy(key, start).agg(
         F.avg("final_price").alias("mean_final"),
-        F.percentile("final_price", q).alias("q_final"),
+        F.percentile_approx("final_price", q, 100000).alias("q_final"),
     ).withColumn("var", F.col(start) - F.col("q_final"))

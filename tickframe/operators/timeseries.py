@@ -139,13 +139,14 @@ def _mean_last_n(d: DataFrame, key: str, value: str, n_col: str, out: str) -> Da
     """Mean of the last ``n_col`` rows (``min_periods=1``) where the frame
     length differs per key: prefix sums + an equi-join on (key, row number),
     so no frame size has to be a literal."""
+    # a DECIMAL value column gives exact prefix sums (independent of summation order)
     w = Window.partitionBy(key).orderBy("__rn").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("__cs", F.sum(value).over(w))
     back = d.select(F.col(key).alias("__k"), F.col("__rn").alias("__rb"), F.col("__cs").alias("__csb"))
     j = d.join(back, (F.col(key) == F.col("__k")) & (F.col("__rb") == F.col("__rn") - F.col(n_col)), "left")
     cnt = F.least(F.col(n_col), F.col("__rn"))
-    return j.withColumn(out, (F.col("__cs") - F.coalesce("__csb", F.lit(0.0))) / cnt).drop(
-        "__k", "__rb", "__csb", "__cs")
+    total = (F.col("__cs") - F.coalesce("__csb", F.lit(0))).cast("double")
+    return j.withColumn(out, total / cnt).drop("__k", "__rb", "__csb", "__cs")
 
 
 def ma_signal(df: DataFrame, key: str, order: str, price: str,
@@ -175,8 +176,8 @@ def breakout_signal(df: DataFrame, key: str, order: str, price: str, frac: float
     per (key, block); the suffix value n rows back is fetched by an equi-join
     on (key, row number)."""
     d = _numbered(df, key, order)
-    d = d.withColumn("__n", F.ceil(F.col("__N") * frac).cast("long"))
-    d = d.withColumn("__blk", F.floor((F.col("__rn") - 1) / F.col("__n")))
+    d = d.withColumn("__win", F.ceil(F.col("__N") * frac).cast("long"))
+    d = d.withColumn("__blk", F.floor((F.col("__rn") - 1) / F.col("__win")))
     wp = Window.partitionBy(key, "__blk").orderBy("__rn").rowsBetween(Window.unboundedPreceding, 0)
     ws = Window.partitionBy(key, "__blk").orderBy("__rn").rowsBetween(0, Window.unboundedFollowing)
     d = d.select("*", F.max(price).over(wp).alias("__pmax"), F.min(price).over(wp).alias("__pmin"),
@@ -185,11 +186,11 @@ def breakout_signal(df: DataFrame, key: str, order: str, price: str, frac: float
     d = d.withColumn("__pmax1", F.lag("__pmax").over(w)).withColumn("__pmin1", F.lag("__pmin").over(w))
     back = d.select(F.col(key).alias("__k"), F.col("__rn").alias("__rb"),
                     F.col("__smax").alias("__smaxb"), F.col("__smin").alias("__sminb"))
-    j = d.join(back, (F.col(key) == F.col("__k")) & (F.col("__rb") == F.col("__rn") - F.col("__n")), "left")
+    j = d.join(back, (F.col(key) == F.col("__k")) & (F.col("__rb") == F.col("__rn") - F.col("__win")), "left")
     j = j.withColumn("RollingMax", F.greatest("__smaxb", "__pmax1")).withColumn(
         "RollingMin", F.least("__sminb", "__pmin1"))
     # greatest/least skip NULLs: require the full frame (row number > n)
-    full = F.col("__rn") > F.col("__n")
+    full = F.col("__rn") > F.col("__win")
     j = j.withColumn("RollingMax", F.when(full, F.col("RollingMax"))).withColumn(
         "RollingMin", F.when(full, F.col("RollingMin")))
     sig = (F.when(F.col("RollingMin") > F.col(price), 1.0)
@@ -228,3 +229,15 @@ def scenarios(df: DataFrame, variants: Mapping[str, Mapping[str, object]], tag:
         v = df.withColumns({c: F.lit(x).cast(dict(df.dtypes)[c]) for c, x in repl.items()})
         out = out.unionByName(v.withColumn(tag, F.lit(name)))
     return out
+
+
+def accept_forecasts(runs: DataFrame, prices_df: DataFrame, key: str, order: str, run: str, value: str,
+                     price: str, holdout: int) -> DataFrame:
+    """ts.forecast_filter: a forecast run is rejected when any of its last
+    ``holdout`` values lies below the series minimum or above twice its
+    maximum.  One row per (key, run) with ``accepted``."""
+    w = Window.partitionBy(key, run).orderBy(F.col(order).desc())
+    held = runs.withColumn("__rb", F.row_number().over(w)).filter(F.col("__rb") <= holdout)
+    rng = prices_df.groupBy(key).agg(F.min(price).alias("__lo"), F.max(price).alias("__hi"))
+    ok = (F.col(value) >= F.col("__lo")) & (F.col(value) <= 2 * F.col("__hi"))
+    return held.join(rng, key).groupBy(key, run).agg(F.bool_and(ok).alias("accepted"))

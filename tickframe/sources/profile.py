@@ -24,9 +24,10 @@ def profile_tables(tables: Mapping[str, DataFrame], approx_distinct: bool = True
         one = df.agg(*aggs)
         files = (df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
                            F.col("_metadata.file_modification_time").alias("m"))
-                   .groupBy("f").agg(F.first("s").alias("s"), F.max("m").alias("m"))
-                   .agg(F.round(F.sum("s") / 1024 ** 3, 2).alias("size_gb"), F.max("m").alias("last_modified")))
-        one = one.crossJoin(files)  # both sides are one row
+                   .groupBy("f").agg(F.first("s").alias("s"), F.max("m").alias("m")))
+        one = one.withColumns({
+            "size_gb": files.select(F.round(F.sum("s") / 1024 ** 3, 2)).scalar(),
+            "last_modified": files.select(F.max("m")).scalar()})
         stack = ", ".join(
             f"'{c}', {i + 1}, `__n{i}`, " + (f"`__d{i}`" if approx_distinct else "CAST(NULL AS BIGINT)")
             for i, c in enumerate(cols))
