@@ -13,7 +13,7 @@ def profile_tables(tables: Mapping[str, DataFrame], approx_distinct: bool = True
     approximate distinct count (HyperLogLog, bounded memory), plus the
     table's size in GB (2 d.p.) and last modification time from file
     metadata.  One aggregate pass per table; results are unioned."""
-    parts = []
+    parts, file_parts = [], []
     for name, df in tables.items():
         cols = df.columns
         aggs = [F.count(F.lit(1)).alias("__rows")]
@@ -22,22 +22,25 @@ def profile_tables(tables: Mapping[str, DataFrame], approx_distinct: bool = True
             if approx_distinct:
                 aggs.append(F.approx_count_distinct(F.col(c)).alias(f"__d{i}"))
         one = df.agg(*aggs)
-        files = (df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
-                           F.col("_metadata.file_modification_time").alias("m"))
-                   .groupBy("f").agg(F.first("s").alias("s"), F.max("m").alias("m")))
-        one = one.withColumns({
-            "size_gb": files.select(F.round(F.sum("s") / 1024 ** 3, 2)).scalar(),
-            "last_modified": files.select(F.max("m")).scalar()})
         stack = ", ".join(
             f"'{c}', {i + 1}, `__n{i}`, " + (f"`__d{i}`" if approx_distinct else "CAST(NULL AS BIGINT)")
             for i, c in enumerate(cols))
-        long = one.selectExpr(f"'{name}' AS table_name", "`__rows` AS n_rows", "size_gb", "last_modified",
+        long = one.selectExpr(f"'{name}' AS table_name", "`__rows` AS n_rows",
                               f"stack({len(cols)}, {stack}) AS (column_name, position, n_nulls, approx_distinct)")
         parts.append(long)
-    out = parts[0]
+        # file statistics from the metadata columns only (no data column is decoded)
+        per_file = (df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
+                              F.col("_metadata.file_modification_time").alias("m"))
+                      .groupBy("f").agg(F.max("s").alias("s"), F.max("m").alias("m")))
+        file_parts.append(per_file.agg(F.round(F.sum("s") / 1024 ** 3, 2).alias("size_gb"),
+                                       F.max("m").alias("last_modified"))
+                          .withColumn("table_name", F.lit(name)))
+    out, files = parts[0], file_parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    for p in file_parts[1:]:
+        files = files.unionByName(p)
+    return out.join(files, "table_name")  # one row per table on the right
 
 
 def shape(df: DataFrame, key: str, unique: str) -> DataFrame:
