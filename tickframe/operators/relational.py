@@ -110,3 +110,20 @@ def within_band(cols: Sequence[Column], pct: float = 0.1) -> Column:
     for c in conds[1:]:
         out = out & c
     return out
+
+
+def band_scalars(df: DataFrame, bands: Mapping[str, Column], measures: Mapping[str, Callable[[], Column]]) -> DataFrame:
+    """join.cross_scalar for disjoint bands: label each row with the first
+    band whose predicate holds, aggregate once grouped by band (a single
+    distinct aggregate is planned as two hash aggregations, with no Expand
+    of every row per band), then pivot the few band rows into one row with
+    columns ``{band}_{measure}``.  A band without rows gives NULL measures
+    (counts 0), as its scalar subquery would."""
+    label = None
+    for name, pred in bands.items():
+        label = F.when(pred, F.lit(name)) if label is None else label.when(pred, F.lit(name))
+    per_band = (df.withColumn("__band", label).filter(F.col("__band").isNotNull())
+                  .groupBy("__band").agg(*[make().alias(m) for m, make in measures.items()]))
+    wide = per_band.groupBy().pivot("__band", list(bands)).agg(*[F.first(m).alias(m) for m in measures])
+    counts = [f"{b}_{m}" for b in bands for m in measures if wide.schema[f"{b}_{m}"].dataType.typeName() == "long"]
+    return wide.fillna(0, subset=counts)
