@@ -94,6 +94,8 @@ def var_mc(stats: DataFrame, key: str, start: str, mu: str, sigma: str, days: in
     # runs and steps are generated per key row (no join): key → runs → steps
     per_run = stats.select(key, start, F.col(mu).alias("__mu"), F.col(sigma).alias("__sd"),
                            F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+    # spread the runs of each key over tasks before generating their steps
+    per_run = per_run.repartition(key, "run")
     walk = per_run.select("*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
     # one normal draw per (key, run, step), reproducible from the seed
     walk = walk.withColumn("__z", F.randn(seed))
