@@ -127,3 +127,24 @@ def band_scalars(df: DataFrame, bands: Mapping[str, Column], measures: Mapping[s
     wide = per_band.groupBy().pivot("__band", list(bands)).agg(*[F.first(m).alias(m) for m in measures])
     counts = [f"{b}_{m}" for b in bands for m in measures if wide.schema[f"{b}_{m}"].dataType.typeName() == "long"]
     return wide.fillna(0, subset=counts)
+
+
+def distinct_counts(df: DataFrame, by: Sequence[str], cols: Mapping[str, str], aggs: Sequence[Column] = ()) -> DataFrame:
+    """agg.count_distinct with several distinct columns: one two-phase hash
+    aggregate per column (each scan reads only its column), joined on the
+    group key, instead of Catalyst's Expand that copies every row once per
+    distinct column before aggregating.  ``cols = {out_name: column}``;
+    ``aggs`` are ordinary aggregates computed alongside."""
+    by = list(by)
+    if not by:  # one row: each distinct count is a scalar subquery
+        out = df.agg(*aggs) if aggs else df.sparkSession.range(1).select()
+        return out.withColumns({name: df.select(c).where(F.col(c).isNotNull()).distinct()
+                                .select(F.count(F.lit(1))).scalar()
+                                for name, c in cols.items()})
+    out = df.groupBy(*by).agg(*aggs) if aggs else df.select(*by).distinct()
+    for name, c in cols.items():
+        # NULL is not a value for COUNT(DISTINCT)
+        n = (df.select(*by, c).where(F.col(c).isNotNull()).distinct()
+               .groupBy(*by).agg(F.count(F.lit(1)).alias(name)))
+        out = out.join(n, by, "left")
+    return out.fillna(0, subset=list(cols))

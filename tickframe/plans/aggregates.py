@@ -54,9 +54,9 @@ SELECT l_returnflag, count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_pa
        count(DISTINCT l_suppkey) AS n_supps, {DSUM(NET)} AS revenue
 FROM lineitem GROUP BY 1""")
 def agg_count_distinct(spark, d):
-    return T(spark, d, "lineitem").groupBy("l_returnflag").agg(
-        F.countDistinct("l_orderkey").alias("n_orders"), F.countDistinct("l_partkey").alias("n_parts"),
-        F.countDistinct("l_suppkey").alias("n_supps"), dsum(net()).alias("revenue"))
+    return rel.distinct_counts(T(spark, d, "lineitem"), ["l_returnflag"],
+                               {"n_orders": "l_orderkey", "n_parts": "l_partkey", "n_supps": "l_suppkey"},
+                               [dsum(net()).alias("revenue")])
 
 
 @register("agg.stddev", """
