@@ -34,7 +34,7 @@ def agg_min(spark, d):
                                                       F.min("p_name").alias("first_name"))
 
 
-@register("agg.max", "SELECT p_type, max(p_retailprice) AS max_price, max(p_size) AS max_size FROM part GROUP BY 1")
+@register("agg.max", "SELECT p_type, max(p_retailprice) AS max_price, CAST(max(p_size) AS BIGINT) AS max_size FROM part GROUP BY 1")
 def agg_max(spark, d):
     return T(spark, d, "part").groupBy("p_type").agg(F.max("p_retailprice").alias("max_price"),
                                                       F.max("p_size").alias("max_size"))
@@ -180,7 +180,7 @@ def _geo(spark, d):
 @register("agg.rollup", f"""
 WITH {SQL_GEO}
 SELECT r_name, n_name, CAST(sum(v) AS DOUBLE) AS total, count(*) AS n,
-       CAST(grouping(r_name) + grouping(n_name) AS INTEGER) AS lochierarchy
+       CAST(grouping(r_name) + grouping(n_name) AS BIGINT) AS lochierarchy
 FROM geo GROUP BY ROLLUP (r_name, n_name)""")
 def agg_rollup(spark, d):
     out = rel.rollup_labelled(_geo(spark, d), ["r_name", "n_name"], {"total": ("sum", "v"), "n": ("count", "v")})
@@ -190,7 +190,7 @@ def agg_rollup(spark, d):
 @register("agg.rollup_label", f"""
 WITH {SQL_GEO},
 r AS (SELECT r_name, c_mktsegment, sum(v) AS total, r_name || c_mktsegment AS label,
-             CAST(grouping(r_name) + grouping(c_mktsegment) AS INTEGER) AS lochierarchy
+             CAST(grouping(r_name) + grouping(c_mktsegment) AS BIGINT) AS lochierarchy
       FROM geo GROUP BY ROLLUP (r_name, c_mktsegment))
 SELECT r_name, c_mktsegment, CAST(total AS DOUBLE) AS total, label, lochierarchy FROM r""")
 def agg_rollup_label(spark, d):
@@ -300,7 +300,7 @@ def agg_quantile(spark, d):
 WITH r AS (SELECT event_type, value, min(value) OVER (PARTITION BY event_type) AS lo,
                   max(value) OVER (PARTITION BY event_type) AS hi FROM events),
 b AS (SELECT event_type, lo, hi,
-             CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / ((hi - lo) / 50)), 49) END AS INTEGER) AS bin
+             CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((value - lo) / ((hi - lo) / 50)), 49) END AS BIGINT) AS bin
       FROM r)
 SELECT event_type, bin, count(*) AS count, lo + bin * (hi - lo) / 50 AS edge_lo FROM b GROUP BY event_type, bin, lo, hi""")
 def agg_histogram(spark, d):

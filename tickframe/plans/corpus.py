@@ -64,7 +64,7 @@ detail AS (
   WHERE p_type = 'PROMO'),
 all_sales AS (SELECT yr, p_brand, p_size, sum(cnt) AS sales_cnt, sum(amt) AS sales_amt
               FROM detail GROUP BY 1, 2, 3)
-SELECT p.yr AS prev_year, c.yr AS year, c.p_brand, c.p_size,
+SELECT p.yr AS prev_year, c.yr AS year, c.p_brand, CAST(c.p_size AS BIGINT) AS p_size,
        CAST(p.sales_cnt AS DOUBLE) AS prev_yr_cnt, CAST(c.sales_cnt AS DOUBLE) AS curr_yr_cnt,
        CAST(c.sales_cnt - p.sales_cnt AS DOUBLE) AS sales_cnt_diff, CAST(c.sales_amt - p.sales_amt AS DOUBLE) AS sales_amt_diff
 FROM all_sales c JOIN all_sales p ON c.p_brand = p.p_brand AND c.p_size = p.p_size AND p.yr = c.yr - 1

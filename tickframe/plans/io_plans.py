@@ -41,7 +41,7 @@ def _by_status(df):
     return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), dsum("o_totalprice").alias("total"))
 
 
-@register("src.table", "SELECT * FROM lineitem")
+@register("src.table", "SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem")
 def src_table(spark, d):
     return T(spark, d, "lineitem")
 
@@ -253,7 +253,7 @@ def sink_append_rows(spark, d):
     return spark.read.parquet(path).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("sink.csv_single", "SELECT 1 AS n_files, count(*) AS n_rows FROM (SELECT DISTINCT o_orderpriority, "
+@register("sink.csv_single", "SELECT CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows FROM (SELECT DISTINCT o_orderpriority, "
                              "o_orderstatus FROM orders)")
 def sink_csv_single(spark, d):
     path = scratch(spark, "report_csv")
@@ -287,7 +287,7 @@ def _profile_sql():
     parts = []
     for t, cols in TABLE_COLUMNS.items():
         for i, c in enumerate(cols):
-            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, {i + 1} AS position, "
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({i + 1} AS BIGINT) AS position, "
                          f"count(*) AS n_rows, CAST(count(*) - count({c}) AS BIGINT) AS n_nulls FROM {t}")
     return "\nUNION ALL ".join(parts)
 
@@ -300,7 +300,7 @@ def cat_profile(spark, d):
 
 
 @register("src.profile", """
-SELECT count(*) AS n_rows, 6 AS n_cols, count(DISTINCT o_orderstatus) AS n_unique, min(o_orderkey) AS head_key,
+SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols, count(DISTINCT o_orderstatus) AS n_unique, min(o_orderkey) AS head_key,
        max(o_orderkey) AS tail_key FROM orders""")
 def src_profile(spark, d):
     return profile.shape(T(spark, d, "orders"), "o_orderkey", "o_orderstatus")

@@ -18,12 +18,17 @@ _SQL: dict[str, str] = {}
 
 
 def finalize(df: DataFrame) -> DataFrame:
-    """Emit DATE columns as ISO strings so results hash the same way
-    whatever client reads them (the oracles use ``CAST(d AS VARCHAR)``)."""
-    dates = [f.name for f in df.schema.fields if f.dataType.typeName() == "date"]
-    if not dates:
-        return df
-    return df.withColumns({c: df[c].cast("string") for c in dates})
+    """Uniform result types: DATE columns as ISO strings and every integer
+    column as BIGINT, so results hash the same way whatever client reads
+    them (the oracles use ``CAST(d AS VARCHAR)`` and BIGINT integers)."""
+    conv = {}
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        if t == "date":
+            conv[f.name] = df[f.name].cast("string")
+        elif t in ("integer", "short", "byte"):
+            conv[f.name] = df[f.name].cast("long")
+    return df.withColumns(conv) if conv else df
 
 
 def register(name: str, sql: str | None = None):

@@ -23,7 +23,7 @@ def T(spark, d, name):
 
 # ------------------------------------------------------------------ §2.2 projections
 
-@register("proj.select", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem")
+@register("proj.select", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_extendedprice FROM lineitem")
 def proj_select(spark, d):
     return T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
 
@@ -35,7 +35,7 @@ def proj_rename(spark, d):
 
 
 @register("proj.derive", f"""
-SELECT l_orderkey, l_linenumber, CAST({NET} AS DOUBLE) AS revenue,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST({NET} AS DOUBLE) AS revenue,
        l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge FROM lineitem""")
 def proj_derive(spark, d):
     li = T(spark, d, "lineitem")
@@ -53,7 +53,7 @@ def proj_literal(spark, d):
         F.lit(0).cast("double").alias("zero"), F.to_date(F.lit("20010801"), "yyyyMMdd").alias("as_of"))
 
 
-@register("proj.star_except", "SELECT * EXCLUDE (l_tax, l_shipdate, l_linestatus) FROM lineitem")
+@register("proj.star_except", "SELECT * EXCLUDE (l_tax, l_shipdate, l_linestatus) REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem")
 def proj_star_except(spark, d):
     return T(spark, d, "lineitem").drop("l_tax", "l_shipdate", "l_linestatus")
 
@@ -102,7 +102,7 @@ def proj_if(spark, d):
 
 
 @register("proj.decode_type", """
-SELECT CASE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) WHEN 1 THEN 'urgent' WHEN 2 THEN 'high'
+SELECT CASE CAST(substr(o_orderpriority, 1, 1) AS BIGINT) WHEN 1 THEN 'urgent' WHEN 2 THEN 'high'
             WHEN 3 THEN 'medium' ELSE NULL END AS priority_label, count(*) AS n
 FROM orders GROUP BY 1""")
 def proj_decode_type(spark, d):
@@ -125,7 +125,7 @@ WITH {SQL_SENTINEL_FEED},
 c AS (SELECT event_type, IF(reading = 999.9, NULL, reading) AS as_null,
              IF(reading = 999.9, 0, reading) AS as_zero, reading = 999.9 AS was_sentinel FROM feed)
 SELECT event_type, {DAVG(D('as_null'))} AS avg_null, {DAVG(D('as_zero'))} AS avg_zero,
-       CAST(sum(CAST(was_sentinel AS INTEGER)) AS BIGINT) AS n_sentinel
+       CAST(sum(CAST(was_sentinel AS BIGINT)) AS BIGINT) AS n_sentinel
 FROM c GROUP BY event_type""")
 def proj_sentinel_null(spark, d):
     f = sentinel_feed(spark, d)
@@ -193,7 +193,7 @@ def filt_like(spark, d):
 
 @register("filt.null", """
 WITH c AS (SELECT c_nationkey, nullif(c_mktsegment, 'BUILDING') AS seg FROM customer)
-SELECT c_nationkey, count(*) FILTER (WHERE seg IS NULL) AS n_null,
+SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, count(*) FILTER (WHERE seg IS NULL) AS n_null,
        count(*) FILTER (WHERE seg IS NOT NULL) AS n_not_null
 FROM c GROUP BY c_nationkey""")
 def filt_null(spark, d):
@@ -555,7 +555,7 @@ def sub_scalar(spark, d):
 @register("sub.scalar_corr", f"""
 WITH t AS (SELECT o_custkey, c_nationkey, sum({D('o_totalprice')}) AS total
            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
-SELECT c_nationkey, count(*) AS n_big FROM t a
+SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, count(*) AS n_big FROM t a
 WHERE CAST(total AS DOUBLE) > (SELECT 1.2 * {DAVG('b.total')} FROM t b WHERE b.c_nationkey = a.c_nationkey)
 GROUP BY c_nationkey""")
 def sub_scalar_corr(spark, d):

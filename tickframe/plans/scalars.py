@@ -14,7 +14,7 @@ T = table
 
 
 @register("fn.math", """
-SELECT l_orderkey, l_linenumber, round(l_extendedprice / 7, 2) AS r2, abs(l_discount - 0.05) AS abs_d,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(l_extendedprice / 7, 2) AS r2, abs(l_discount - 0.05) AS abs_d,
        pow(l_quantity, 2) AS sq, sqrt(l_quantity) AS rt, round_even(l_quantity / 4, 1) AS half_even,
        round(l_quantity / 4, 1) AS half_up
 FROM lineitem""")
@@ -118,7 +118,7 @@ def fn_timestamp(spark, d):
 @register("fn.array", """
 WITH q AS (SELECT event_type, quantile_cont(value, [0.25, 0.5, 0.75]) AS qs FROM events GROUP BY 1),
 u AS (SELECT event_type, unnest(range(0, 3)) AS pos, unnest(qs) AS val FROM q)
-SELECT event_type, CAST(pos AS INTEGER) AS pos, round(val, 6) AS val, [5, 10, 17][CAST(pos AS INTEGER) + 1] AS split
+SELECT event_type, CAST(pos AS BIGINT) AS pos, round(val, 6) AS val, CAST([5, 10, 17][CAST(pos AS BIGINT) + 1] AS BIGINT) AS split
 FROM u""")
 def fn_array(spark, d):
     q = T(spark, d, "events").groupBy("event_type").agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("qs"))
@@ -129,7 +129,7 @@ def fn_array(spark, d):
 
 
 @register("fn.json", """
-SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k,
+SELECT event_type, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
        max(CAST(json_extract_string(props, '$.k') AS VARCHAR)) AS max_k_text, count(*) AS n
 FROM events GROUP BY event_type""")
 def fn_json(spark, d):

@@ -60,8 +60,8 @@ s AS (SELECT Name, Date, Close, row_number() OVER (PARTITION BY Name ORDER BY Da
 
 
 @register("ts.ma_signal", PRICES_WITH + SQL_NUMBERED + """,
-k AS (SELECT *, greatest(1, CAST(floor(N * 0.025::DOUBLE) AS INTEGER)) AS ns,
-                greatest(1, CAST(floor(N * 0.05::DOUBLE) AS INTEGER)) AS nl FROM s),
+k AS (SELECT *, greatest(1, CAST(floor(N * 0.025::DOUBLE) AS BIGINT)) AS ns,
+                greatest(1, CAST(floor(N * 0.05::DOUBLE) AS BIGINT)) AS nl FROM s),
 m AS (SELECT k.*, CAST(k.cs - coalesce(a.cs, 0) AS DOUBLE) / least(k.ns, k.rn) AS short_ma,
              CAST(k.cs - coalesce(b.cs, 0) AS DOUBLE) / least(k.nl, k.rn) AS long_ma
       FROM k LEFT JOIN s a ON a.Name = k.Name AND a.rn = k.rn - k.ns

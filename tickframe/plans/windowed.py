@@ -272,9 +272,9 @@ def limit_plain(spark, d):
 
 
 @register("set.union_all", """
-SELECT 'N' AS ch, l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'N' AND l_quantity > 45
-UNION ALL SELECT 'R', l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45
-UNION ALL SELECT 'A', l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 45""")
+SELECT 'N' AS ch, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem WHERE l_returnflag = 'N' AND l_quantity > 45
+UNION ALL SELECT 'R', l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45
+UNION ALL SELECT 'A', l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem WHERE l_returnflag = 'A' AND l_quantity > 45""")
 def set_union_all(spark, d):
     li = T(spark, d, "lineitem").filter(F.col("l_quantity") > 45)
     parts = [li.filter(F.col("l_returnflag") == f).select(F.lit(f).alias("ch"), "l_orderkey", "l_linenumber")
