@@ -89,3 +89,8 @@ def test_partition_pruning_on_latest_snapshot(spark, tmp_path):
     part = re.search(r"PartitionFilters: \[(.*)\]", p).group(1)
     assert "record_ingestion_date" in part and "Subquery" in part  # the max is a partition filter
     assert snap.select("record_ingestion_date").distinct().count() == 1
+
+
+def test_bucketed_join_has_no_shuffle_on_the_join_keys(spark):
+    p = plan(Q["join.inner_equi.bucketed"](spark, SF_SMALL))
+    assert "hashpartitioning(l_orderkey" not in p and "hashpartitioning(o_orderkey" not in p

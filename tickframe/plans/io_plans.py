@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
-from tickframe.functions.money import D, DSUM, DAVG, dec, dsum, davg
+from tickframe.functions.money import D, DSUM, DAVG, NET, dec, dsum, davg, net
 from tickframe.operators import timeseries as ts
 from tickframe.plans.prices import CUT_DATE, INGEST_DATE, SQL_PRICES, prices, raw_feed
 from tickframe.plans.registry import register
@@ -304,3 +304,19 @@ SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_cols, count(DISTINCT o_orderst
        max(o_orderkey) AS tail_key FROM orders""")
 def src_profile(spark, d):
     return profile.shape(T(spark, d, "orders"), "o_orderkey", "o_orderstatus")
+
+
+@register("join.inner_equi.bucketed", f"""
+SELECT o_orderpriority, count(*) AS n, {DSUM(NET)} AS revenue
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority""")
+def join_inner_equi_bucketed(spark, d):
+    """The fact-to-fact join on co-located tables: both sides bucketed on the
+    order key with the same bucket count, so the join reads bucket i of one
+    table next to bucket i of the other with no exchange."""
+    tag = uuid.uuid4().hex[:8]
+    li = sinks.write_bucketed(T(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount"),
+                              f"lineitem_b_{tag}", "l_orderkey", 16, scratch(spark, "lineitem_bucketed"))
+    o = sinks.write_bucketed(T(spark, d, "orders").select("o_orderkey", "o_orderpriority"),
+                             f"orders_b_{tag}", "o_orderkey", 16, scratch(spark, "orders_bucketed"))
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), dsum(net()).alias("revenue"))

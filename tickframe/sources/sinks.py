@@ -84,3 +84,15 @@ def write_csv_single(df: DataFrame, path: str) -> None:
     """sink.csv_single: one CSV file with a header.  One writer task: meant
     for small exports (reports, aggregates), never for fact tables."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, location: str) -> DataFrame:
+    """A table hash-bucketed (and sorted) on ``key`` into ``buckets`` buckets,
+    stored at ``location`` on shared storage.  Two tables bucketed on their
+    join keys with the same bucket count join without shuffling either side,
+    so a fact joined repeatedly pays its shuffle once, at write time."""
+    spark = df.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+       .option("path", location).saveAsTable(name))
+    return spark.table(name)
