@@ -17,19 +17,19 @@ QUARTILES = (0.25, 0.5, 0.75)
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """agg.summary (pandas ``describe``): count, mean, std, min, 25 %, 50 %,
     75 %, max per column, long form (one row per column), exact quartiles
-    with linear interpolation."""
-    parts = []
-    for c in cols:
+    with linear interpolation.  One aggregate pass for all columns, then an
+    unpivot of the one row (per group) into one row per column."""
+    aggs = []
+    for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = F.percentile(x, list(QUARTILES))
-        parts.append(df.groupBy(*by).agg(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), q[0].alias("q25"), q[1].alias("q50"),
-            q[2].alias("q75"), F.max(x).alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                             F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+                             F.percentile(x, list(QUARTILES)).alias("q"), F.max(x).alias("max")).alias(f"__s{i}"))
+    one = df.groupBy(*by).agg(*aggs)
+    rows = one.select(*by, F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("s"))
+    return rows.select(*by, "s.column", "s.count", "s.mean", "s.std", "s.min",
+                       F.col("s.q")[0].alias("q25"), F.col("s.q")[1].alias("q50"), F.col("s.q")[2].alias("q75"),
+                       "s.max")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
