@@ -1,8 +1,9 @@
 """Grouped-map strategy queries (kind G) and the k-NN novelty score.
 
-Back-tests are sequential per series, so they have no SQL oracle; they are
-checked against hand-worked series and a brute-force ABCD search in
-``tests/test_strategy.py``.
+Back-tests are sequential per series.  Their oracles replay the same
+cash / inventory state machine row by row with recursive CTEs in DuckDB;
+the ABCD pattern has none (its definition is an O(N⁴) search) and is checked
+against that brute force in ``tests/test_strategy.py``.
 """
 
 from __future__ import annotations
@@ -10,12 +11,111 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickframe.operators import knn, strategy, timeseries as ts, windows
-from tickframe.plans.prices import prices
+from tickframe.plans.prices import INGEST_DATE, SQL_PRICES, prices
+from tickframe.plans.series import SQL_NUMBERED
 from tickframe.plans.registry import register
 from tickframe.sources.tables import table
 
 INITIAL_MONEY = 10000.0
 
+# ------------------------------------------------------------------ oracle SQL (DuckDB)
+
+_PRICES = SQL_PRICES % {"ingest": INGEST_DATE}
+
+# breakout signal per row (as ts.breakout_signal) with row number and series length
+SQL_SIG_BREAKOUT = SQL_NUMBERED + """,
+k AS (SELECT *, CAST(ceil(N * 0.1::DOUBLE) AS BIGINT) AS win FROM s),
+r AS (SELECT k.Name, k.Date, k.Close, k.rn, k.N, k.win, max(p.Close) AS mx, min(p.Close) AS mn, count(p.Close) AS c
+      FROM k LEFT JOIN s p ON p.Name = k.Name AND p.rn BETWEEN k.rn - k.win AND k.rn - 1
+      GROUP BY k.Name, k.Date, k.Close, k.rn, k.N, k.win),
+sig AS (SELECT Name, Date, Close, rn, N,
+               CASE WHEN c = win AND mn > Close THEN 1.0 WHEN c = win AND mx < Close THEN -1.0 ELSE 0.0 END AS signal
+        FROM r)"""
+
+# moving-average position changes per row (as ts.ma_signal)
+SQL_SIG_MA = SQL_NUMBERED + """,
+k AS (SELECT *, greatest(1, CAST(floor(N * 0.025::DOUBLE) AS INTEGER)) AS ns,
+                greatest(1, CAST(floor(N * 0.05::DOUBLE) AS INTEGER)) AS nl FROM s),
+m AS (SELECT k.*, CAST(k.cs - coalesce(a.cs, 0) AS DOUBLE) / least(k.ns, k.rn) AS short_ma,
+             CAST(k.cs - coalesce(b.cs, 0) AS DOUBLE) / least(k.nl, k.rn) AS long_ma
+      FROM k LEFT JOIN s a ON a.Name = k.Name AND a.rn = k.rn - k.ns
+             LEFT JOIN s b ON b.Name = k.Name AND b.rn = k.rn - k.nl),
+g AS (SELECT *, CASE WHEN rn - 1 >= ns AND short_ma > long_ma THEN 1.0 ELSE 0.0 END AS lvl FROM m),
+sig AS (SELECT Name, Date, Close, rn, N,
+               coalesce(lvl - lag(lvl) OVER (PARTITION BY Name ORDER BY Date), 0.0) AS signal FROM g)"""
+
+
+def _signal_backtest_sql(sig_sql: str, holdout: float) -> str:
+    """Replay of the signal back-test (one unit per trade) over ``sig``."""
+    return "WITH RECURSIVE " + _PRICES + sig_sql + f""",
+t AS (SELECT *, N - CAST(floor({holdout}::DOUBLE * N) AS BIGINT) AS ntrade FROM sig),
+bt AS (
+  SELECT Name, CAST(0 AS BIGINT) AS rn, {INITIAL_MONEY}::DOUBLE AS cash, 0.0::DOUBLE AS inv,
+         CAST(NULL AS DOUBLE) AS last_buy, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS BOOLEAN) AS executed,
+         CAST(NULL AS DOUBLE) AS invest_pct
+  FROM (SELECT DISTINCT Name FROM t)
+  UNION ALL
+  SELECT s.Name, s.rn,
+         CASE WHEN s.signal = 1 AND bt.cash >= s.Close THEN bt.cash - s.Close
+              WHEN s.signal = -1 AND bt.inv > 0 THEN bt.cash + s.Close ELSE bt.cash END,
+         CASE WHEN s.signal = 1 AND bt.cash >= s.Close THEN bt.inv + 1
+              WHEN s.signal = -1 AND bt.inv > 0 THEN bt.inv - 1 ELSE bt.inv END,
+         CASE WHEN s.signal = 1 THEN s.Close ELSE bt.last_buy END,
+         CASE WHEN s.signal = 1 THEN 'buy' WHEN s.signal = -1 THEN 'sell' END,
+         CASE WHEN s.signal = 1 THEN bt.cash >= s.Close WHEN s.signal = -1 THEN bt.inv > 0 END,
+         CASE WHEN s.signal = -1 AND bt.inv > 0 THEN coalesce((s.Close - bt.last_buy) / bt.last_buy * 100, 0.0) END
+  FROM bt JOIN t s ON s.Name = bt.Name AND s.rn = bt.rn + 1
+  WHERE s.rn <= s.ntrade),
+trades AS (
+  SELECT bt.Name, bt.rn - 1 AS day, CAST(t.Date AS VARCHAR) AS Date, action, executed,
+         CASE WHEN executed THEN 1.0 ELSE 0.0 END AS units, t.Close AS price, cash, inv AS inventory, invest_pct
+  FROM bt JOIN t ON bt.Name = t.Name AND bt.rn = t.rn WHERE action IS NOT NULL)"""
+
+
+SQL_TRADES_SUMMARY = f"""
+SELECT k.Name, coalesce(n_buy_days, 0) AS n_buy_days, coalesce(n_sell_days, 0) AS n_sell_days,
+       coalesce(final_cash, {INITIAL_MONEY}) - {INITIAL_MONEY} AS total_gains,
+       (coalesce(final_cash, {INITIAL_MONEY}) - {INITIAL_MONEY}) / {INITIAL_MONEY} * 100 AS invest
+FROM (SELECT DISTINCT Name FROM prices) k LEFT JOIN (
+  SELECT Name, count(*) FILTER (WHERE action = 'buy') AS n_buy_days, count(*) FILTER (WHERE action = 'sell') AS n_sell_days,
+         arg_max(cash, day) AS final_cash FROM trades GROUP BY Name) g ON k.Name = g.Name"""
+
+
+def _rolling_backtest_sql(params_sql: str) -> str:
+    """Replay of the delay strategy for every (symbol, parameter set) in ``params``
+    (param_id, delay, initial_money); starts in the buy state."""
+    return "WITH RECURSIVE " + _PRICES + f""",
+params(param_id, delay, initial_money) AS ({params_sql}),
+s AS (SELECT Name, Date, Close, row_number() OVER (PARTITION BY Name ORDER BY Date) AS rn FROM prices),
+bt AS (
+  SELECT s.Name, p.param_id, p.delay, p.initial_money, s.rn, s.Close AS cur, CAST(1 AS INTEGER) AS state,
+         CAST(0 AS INTEGER) AS dec,
+         CASE WHEN p.initial_money >= s.Close THEN p.initial_money - s.Close ELSE p.initial_money END AS cash,
+         CASE WHEN p.initial_money >= s.Close THEN 1.0 ELSE 0.0 END AS inv, s.Close AS last_buy,
+         'buy' AS action, p.initial_money >= s.Close AS executed, CAST(NULL AS DOUBLE) AS invest_pct
+  FROM s, params p WHERE s.rn = 1
+  UNION ALL
+  SELECT n.Name, b.param_id, b.delay, b.initial_money, n.rn, n.Close,
+         CASE WHEN n.Close < b.cur AND b.state = 0 AND b.dec >= b.delay THEN 1
+              WHEN n.Close > b.cur AND b.state = 1 AND b.dec >= b.delay THEN 0 ELSE b.state END,
+         CASE WHEN ((n.Close < b.cur AND b.state = 0) OR (n.Close > b.cur AND b.state = 1)) AND b.dec < b.delay
+              THEN b.dec + 1
+              WHEN (n.Close < b.cur AND b.state = 0) OR (n.Close > b.cur AND b.state = 1) THEN 0 ELSE b.dec END,
+         CASE WHEN n.Close < b.cur AND b.state = 0 AND b.dec >= b.delay AND b.cash >= n.Close THEN b.cash - n.Close
+              WHEN n.Close > b.cur AND b.state = 1 AND b.dec >= b.delay AND b.inv > 0 THEN b.cash + n.Close
+              ELSE b.cash END,
+         CASE WHEN n.Close < b.cur AND b.state = 0 AND b.dec >= b.delay AND b.cash >= n.Close THEN b.inv + 1
+              WHEN n.Close > b.cur AND b.state = 1 AND b.dec >= b.delay AND b.inv > 0 THEN b.inv - 1
+              ELSE b.inv END,
+         CASE WHEN n.Close < b.cur AND b.state = 0 AND b.dec >= b.delay THEN n.Close ELSE b.last_buy END,
+         CASE WHEN n.Close < b.cur AND b.state = 0 AND b.dec >= b.delay THEN 'buy'
+              WHEN n.Close > b.cur AND b.state = 1 AND b.dec >= b.delay THEN 'sell' END,
+         CASE WHEN n.Close < b.cur AND b.state = 0 AND b.dec >= b.delay THEN b.cash >= n.Close
+              WHEN n.Close > b.cur AND b.state = 1 AND b.dec >= b.delay THEN b.inv > 0 END,
+         CASE WHEN n.Close > b.cur AND b.state = 1 AND b.dec >= b.delay AND b.inv > 0
+              THEN (n.Close - b.last_buy) / b.last_buy * 100 END
+  FROM bt b JOIN s n ON n.Name = b.Name AND n.rn = b.rn + 1)"""
+
 
 def _keys(p):
     return p.select("Name").distinct()
@@ -26,20 +126,20 @@ def _turtle_trades(p):
     return strategy.backtest(sig, "Name", "Date", "Close", "signal", INITIAL_MONEY, 1, 1, holdout_frac=0.025)
 
 
-@register("ts.backtest_signal")
+@register("ts.backtest_signal", _signal_backtest_sql(SQL_SIG_BREAKOUT, 0.025) + " SELECT * FROM trades")
 def ts_backtest_signal(spark, d):
     """Breakout (turtle) signal → cash/inventory back-test, last 2.5 % held out."""
     return _turtle_trades(prices(spark, d))
 
 
-@register("ts.backtest_signal.summary")
+@register("ts.backtest_signal.summary", _signal_backtest_sql(SQL_SIG_BREAKOUT, 0.025) + SQL_TRADES_SUMMARY)
 def ts_backtest_signal_summary(spark, d):
     """Buys, sells, total gain and gain in % per symbol."""
     p = prices(spark, d)
     return strategy.summarize(_turtle_trades(p), _keys(p), "Name", INITIAL_MONEY)
 
 
-@register("ts.backtest_signal.ma")
+@register("ts.backtest_signal.ma", _signal_backtest_sql(SQL_SIG_MA, 0.025) + " SELECT * FROM trades")
 def ts_backtest_ma(spark, d):
     """Moving-average crossover signal → back-test on the +1 / −1 position changes."""
     p = prices(spark, d)
@@ -64,7 +164,10 @@ def ts_backtest_abcd(spark, d):
     return strategy.backtest(j, "Name", "Date", "Close", "signal", INITIAL_MONEY, 1, 1, holdout_frac=0.0)
 
 
-@register("ts.backtest_rolling")
+@register("ts.backtest_rolling", _rolling_backtest_sql(f"SELECT 0, 4, {INITIAL_MONEY}::DOUBLE") + """
+SELECT b.Name, b.rn - 1 AS day, CAST(s.Date AS VARCHAR) AS Date, action, executed,
+       CASE WHEN executed THEN 1.0 ELSE 0.0 END AS units, b.cur AS price, cash, inv AS inventory, invest_pct
+FROM bt b JOIN s ON b.Name = s.Name AND b.rn = s.rn WHERE action IS NOT NULL""")
 def ts_backtest_rolling(spark, d):
     """Signal-free delay strategy (delay 4, start in the buy state)."""
     return strategy.backtest_rolling(prices(spark, d), "Name", "Date", "Close", delay=4, initial_state=1,
@@ -76,7 +179,16 @@ SWEEP_GRID = [{"param_id": i * 2 + j, "delay": delay, "initial_money": money}
               for i, delay in enumerate(range(1, 7)) for j, money in enumerate((5000.0, 10000.0))]
 
 
-@register("ts.param_sweep")
+def _sweep_sql():
+    vals = " UNION ALL ".join(f"SELECT {g['param_id']}, {g['delay']}, {g['initial_money']}::DOUBLE" for g in SWEEP_GRID)
+    return _rolling_backtest_sql(vals) + """,
+res AS (SELECT Name, CAST(param_id AS BIGINT) AS param_id, CAST(delay AS BIGINT) AS delay, initial_money,
+               count(action) AS n_trades, arg_max(cash, rn) - initial_money AS total_gains
+        FROM bt GROUP BY Name, param_id, delay, initial_money)
+SELECT *, row_number() OVER (PARTITION BY Name ORDER BY total_gains DESC, param_id) AS rank FROM res"""
+
+
+@register("ts.param_sweep", _sweep_sql())
 def ts_param_sweep(spark, d):
     return strategy.sweep(prices(spark, d), SWEEP_GRID, "Name", "Date", "Close")
 
