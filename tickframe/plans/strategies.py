@@ -1,15 +1,19 @@
 """Grouped-map strategy queries (kind G) and the k-NN novelty score.
 
 Back-tests are sequential per series.  Their oracles replay the same
-cash / inventory state machine row by row with recursive CTEs in DuckDB;
-the ABCD pattern has none (its definition is an O(N⁴) search) and is checked
-against that brute force in ``tests/test_strategy.py``.
+cash / inventory state machine row by row with recursive CTEs in DuckDB.
+The ABCD oracle uses the O(L²) role conditions as SQL self-joins inside each
+residue class; ``tests/test_strategy.py`` checks those conditions against the
+O(N⁴) quadruple search itself.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tickframe.functions.money import dec
+
 from tickframe.operators import knn, strategy, timeseries as ts, windows
 from tickframe.plans.prices import INGEST_DATE, SQL_PRICES, prices
 from tickframe.plans.series import SQL_NUMBERED
@@ -81,6 +85,32 @@ FROM (SELECT DISTINCT Name FROM prices) k LEFT JOIN (
          arg_max(cash, day) AS final_cash FROM trades GROUP BY Name) g ON k.Name = g.Name"""
 
 
+# ABCD roles per residue class (step 4) on the exact 7-row moving average; see strategy.abcd_roles
+SQL_SIG_ABCD = """,
+s AS (SELECT Name, Date, Close, row_number() OVER (PARTITION BY Name ORDER BY Date) AS rn,
+             CASE WHEN count(*) OVER w7 = 7 THEN CAST(sum(CAST(Close AS DECIMAL(18,2))) OVER w7 AS DOUBLE) / 7 END AS m
+      FROM prices WINDOW w7 AS (PARTITION BY Name ORDER BY Date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)),
+ab AS (SELECT *, (rn - 1) % 4 AS cls, (rn - 1) // 4 AS idx,
+             min(m) OVER (PARTITION BY Name, (rn - 1) % 4 ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pmin,
+             max(m) OVER (PARTITION BY Name, (rn - 1) % 4 ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS smax
+      FROM s),
+pr AS (SELECT j.Name, j.cls, j.idx AS jx, k.idx AS kx, j.m AS mj, k.m AS mk, j.pmin AS pmin_j, k.smax AS smax_k
+       FROM ab j JOIN ab k ON j.Name = k.Name AND j.cls = k.cls AND k.idx > j.idx AND k.m < j.m),
+bc AS (SELECT * FROM pr WHERE smax_k > mj),
+full_ AS (SELECT * FROM bc WHERE pmin_j < mk),
+best AS (SELECT Name, cls, jx, max(mk) AS best FROM bc GROUP BY 1, 2, 3),
+firstk AS (SELECT Name, cls, jx, mj, min(kx) AS fk FROM pr WHERE pmin_j < mk GROUP BY 1, 2, 3, 4),
+roles AS (
+  SELECT ab.Name, ab.Date, ab.rn,
+         EXISTS (SELECT 1 FROM best b WHERE b.Name = ab.Name AND b.cls = ab.cls AND b.jx > ab.idx AND b.best > ab.m)
+         OR EXISTS (SELECT 1 FROM full_ f WHERE f.Name = ab.Name AND f.cls = ab.cls AND f.kx = ab.idx) AS ac,
+         EXISTS (SELECT 1 FROM full_ f WHERE f.Name = ab.Name AND f.cls = ab.cls AND f.jx = ab.idx)
+         OR EXISTS (SELECT 1 FROM firstk x WHERE x.Name = ab.Name AND x.cls = ab.cls AND x.fk < ab.idx AND x.mj < ab.m) AS bd
+  FROM ab),
+abcd AS (SELECT Name, Date, rn, CASE WHEN ac AND NOT bd THEN 1.0 WHEN bd AND NOT ac THEN -1.0 ELSE 0.0 END AS signal
+         FROM roles)"""
+
+
 def _rolling_backtest_sql(params_sql: str) -> str:
     """Replay of the delay strategy for every (symbol, parameter set) in ``params``
     (param_id, delay, initial_money); starts in the buy state."""
@@ -147,19 +177,27 @@ def ts_backtest_ma(spark, d):
     return strategy.backtest(sig, "Name", "Date", "Close", "trade", INITIAL_MONEY, 1, 1, holdout_frac=0.025)
 
 
-@register("ts.abcd_signal")
+def _ma7(p):
+    """7-row moving average (full windows only) from an exact DECIMAL sum."""
+    w = Window.partitionBy("Name").orderBy("Date").rowsBetween(-6, 0)
+    return p.withColumn("ma7", F.when(F.count(F.lit(1)).over(w) == 7,
+                                      F.sum(dec("Close")).over(w).cast("double") / 7))
+
+
+@register("ts.abcd_signal", "WITH " + _PRICES + SQL_SIG_ABCD + """
+SELECT Name, CAST(Date AS VARCHAR) AS Date, signal FROM abcd""")
 def ts_abcd_signal(spark, d):
     """ABCD pattern on the 7-row moving average."""
-    p = windows.rolling(prices(spark, d), "Name", "Date", "Close", "mean", 7, out="ma7")
-    return strategy.abcd_signal(p, "Name", "Date", "ma7", skip=4)
+    return strategy.abcd_signal(_ma7(prices(spark, d)), "Name", "Date", "ma7", skip=4)
 
 
-@register("ts.backtest_signal.abcd")
+@register("ts.backtest_signal.abcd", _signal_backtest_sql(SQL_SIG_ABCD + """,
+sig AS (SELECT a.Name, a.Date, p.Close, a.rn, count(*) OVER (PARTITION BY a.Name) AS N, a.signal
+        FROM abcd a JOIN prices p ON a.Name = p.Name AND a.Date = p.Date)""", 0.0) + " SELECT * FROM trades")
 def ts_backtest_abcd(spark, d):
     """ABCD signal → back-test over every day (no hold-out), cash logged per trade."""
     p = prices(spark, d)
-    ma = windows.rolling(p, "Name", "Date", "Close", "mean", 7, out="ma7")
-    sig = strategy.abcd_signal(ma, "Name", "Date", "ma7", skip=4)
+    sig = strategy.abcd_signal(_ma7(p), "Name", "Date", "ma7", skip=4)
     j = p.select("Name", "Date", "Close").join(sig, ["Name", "Date"])
     return strategy.backtest(j, "Name", "Date", "Close", "signal", INITIAL_MONEY, 1, 1, holdout_frac=0.0)
 
