@@ -302,3 +302,15 @@ def sweep(df: DataFrame, params: list[dict], key: str, order: str, price: str,
     from pyspark.sql import Window
     w = Window.partitionBy(key).orderBy(F.col("total_gains").desc(), "param_id")
     return res.withColumn("rank", F.row_number().over(w))
+
+
+def cash_by_day(trades: DataFrame, days: DataFrame, key: str, order: str, initial_money: float = 10000.0) -> DataFrame:
+    """The cash balance at the end of every day of the series (the source
+    agent's per-day money log): the cash after the day's own trade, else
+    after the last earlier trade, else the starting money.  A left join of
+    the days with the trades and a forward fill over the key's days."""
+    from pyspark.sql import Window
+    j = days.select(key, order).join(trades.select(key, order, "cash"), [key, order], "left")
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return j.select(key, order, F.coalesce(F.last("cash", ignorenulls=True).over(w),
+                                           F.lit(float(initial_money))).alias("cash"))

@@ -109,6 +109,12 @@ def ts_ewma(spark, d):
     return out.withColumn("ewma", F.round("ewma", 6))
 
 
+@register("ts.ewma.w04", _ewma_sql(0.4))
+def ts_ewma_04(spark, d):
+    out = strategy.ewma(prices(spark, d), "Name", "Date", "Close", 0.4)
+    return out.withColumn("ewma", F.round("ewma", 6))
+
+
 @register("ts.ewma.w07", _ewma_sql(0.7))
 def ts_ewma_07(spark, d):
     out = strategy.ewma(prices(spark, d), "Name", "Date", "Close", 0.7)

@@ -195,13 +195,31 @@ def ts_abcd_signal(spark, d):
 sig AS (SELECT a.Name, a.Date, p.Close, a.rn, count(*) OVER (PARTITION BY a.Name) AS N, a.signal
         FROM abcd a JOIN prices p ON a.Name = p.Name AND a.Date = p.Date)""", 0.0) + " SELECT * FROM trades")
 def ts_backtest_abcd(spark, d):
-    """ABCD signal → back-test over every day (no hold-out), cash logged per trade."""
+    """ABCD signal → back-test over every day (no hold-out)."""
+    return _abcd_trades(spark, d)
+
+
+def _abcd_trades(spark, d):
     p = prices(spark, d)
     sig = strategy.abcd_signal(_ma7(p), "Name", "Date", "ma7", skip=4)
     j = p.select("Name", "Date", "Close").join(sig, ["Name", "Date"])
     return strategy.backtest(j, "Name", "Date", "Close", "signal", INITIAL_MONEY, 1, 1, holdout_frac=0.0)
 
 
+@register("ts.backtest_signal.abcd.cash", _signal_backtest_sql(SQL_SIG_ABCD + """,
+sig AS (SELECT a.Name, a.Date, p.Close, a.rn, count(*) OVER (PARTITION BY a.Name) AS N, a.signal
+        FROM abcd a JOIN prices p ON a.Name = p.Name AND a.Date = p.Date)""", 0.0) + f"""
+SELECT p.Name, CAST(p.Date AS VARCHAR) AS Date,
+       coalesce(last_value(t.cash IGNORE NULLS) OVER (PARTITION BY p.Name ORDER BY p.Date
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), {INITIAL_MONEY}) AS cash
+FROM prices p LEFT JOIN trades t ON p.Name = t.Name AND CAST(p.Date AS VARCHAR) = t.Date""")
+def ts_backtest_abcd_cash(spark, d):
+    """The ABCD back-test's money log: cash at the end of every day."""
+    p = prices(spark, d)
+    trades = _abcd_trades(spark, d)
+    return strategy.cash_by_day(trades, p, "Name", "Date", INITIAL_MONEY)
+
+
 @register("ts.backtest_rolling", _rolling_backtest_sql(f"SELECT 0, 4, {INITIAL_MONEY}::DOUBLE") + """
 SELECT b.Name, b.rn - 1 AS day, CAST(s.Date AS VARCHAR) AS Date, action, executed,
        CASE WHEN executed THEN 1.0 ELSE 0.0 END AS units, b.cur AS price, cash, inv AS inventory, invest_pct
