@@ -42,27 +42,40 @@ def _partial_topk(ref: np.ndarray, id_col: str, vec_col: str, k: int, tag: str):
     return run
 
 
+def _bounded_chunks(ref_df: DataFrame, id_col: str, vec_col: str, max_rows: int, seed: int = 0,
+                    pred=None) -> list[DataFrame]:
+    """Split ``ref_df`` by hashing ``id_col`` into chunks of at most
+    ``max_rows`` rows: every chunk's size is counted (one small aggregate)
+    and a chunk over the limit is split again with another hash seed."""
+    base = ref_df if pred is None else ref_df.filter(pred)
+    n = base.count()
+    if n == 0:
+        return []
+    parts = max(1, math.ceil(n / (0.8 * max_rows)))
+    h = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(parts))
+    sizes = {r[0]: r[1] for r in base.groupBy(h.alias("c")).count().collect()}  # at most `parts` rows
+    out = []
+    for c, size in sorted(sizes.items()):
+        cond = h == c if pred is None else (pred & (h == c))
+        if size <= max_rows:
+            out.append(ref_df.filter(cond).select(vec_col))
+        else:
+            out.extend(_bounded_chunks(ref_df, id_col, vec_col, max_rows, seed + 1, cond))
+    return out
+
+
 def knn_novelty(queries: DataFrame, refs: Mapping[str, DataFrame], id_col: str, vec_col: str, k: int = 4,
                 max_chunk_rows: int = 50_000) -> DataFrame:
     """For every query vector: Σ over reference sets of the mean distance to
     its k nearest vectors in that set (a set with no rows adds 0)."""
-    spark = queries.sparkSession
     id_type = dict(queries.dtypes)[id_col]
     schema = f"{id_col} {id_type}, ref_set string, dists array<double>"
     q = queries.select(id_col, vec_col)
     parts = []
     for tag, ref_df in refs.items():
-        n = ref_df.count()
-        if n == 0:
-            continue
-        chunks = max(1, math.ceil(n / max_chunk_rows))
-        keyed = ref_df.select(vec_col, F.pmod(F.xxhash64(id_col), F.lit(chunks)).alias("__chunk"))
-        for c in range(chunks):
-            # one chunk of bounded size (checked above) goes to every task
-            vecs = keyed.filter(F.col("__chunk") == c).select(vec_col).toPandas()[vec_col]
-            if len(vecs) == 0:
-                continue
-            ref = np.stack(vecs.to_numpy()).astype(np.float64)
+        for chunk in _bounded_chunks(ref_df, id_col, vec_col, max_chunk_rows):
+            # one chunk of checked size goes to every task
+            ref = np.stack(chunk.toPandas()[vec_col].to_numpy()).astype(np.float64)
             parts.append(q.mapInPandas(_partial_topk(ref, id_col, vec_col, k, tag), schema))
     if not parts:
         return queries.select(id_col, F.lit(0.0).alias("novelty"))
