@@ -288,6 +288,7 @@ def _profile_sql():
     for t, cols in TABLE_COLUMNS.items():
         for i, c in enumerate(cols):
             parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({i + 1} AS BIGINT) AS position, "
+                         f"CAST({len(cols)} AS BIGINT) AS n_columns, "
                          f"count(*) AS n_rows, CAST(count(*) - count({c}) AS BIGINT) AS n_nulls FROM {t}")
     return "\nUNION ALL ".join(parts)
 
@@ -295,8 +296,7 @@ def _profile_sql():
 @register("cat.profile", _profile_sql())
 def cat_profile(spark, d):
     prof = profile.profile_tables({t: T(spark, d, t) for t in TABLES})
-    return prof.select("table_name", "column_name", F.col("position").cast("int").alias("position"),
-                       "n_rows", "n_nulls")
+    return prof.select("table_name", "column_name", "position", "n_columns", "n_rows", "n_nulls")
 
 
 @register("src.profile", """

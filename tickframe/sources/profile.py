@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 
 def profile_tables(tables: Mapping[str, DataFrame], approx_distinct: bool = True) -> DataFrame:
-    """cat.profile: one row per (table, column): position, rows, NULL count,
-    approximate distinct count (HyperLogLog, bounded memory), plus the
-    table's size in GB (2 d.p.) and last modification time from file
-    metadata.  One aggregate pass per table; results are unioned."""
+    """cat.profile: one row per (table, column): position, rows, the table's
+    column count, NULL count, approximate distinct count (HyperLogLog,
+    bounded memory), plus the table's size in GB (10⁹ bytes, 2 d.p.) and last
+    modification time from file metadata.  One aggregate pass per table; results are unioned."""
     parts, file_parts = [], []
     for name, df in tables.items():
         cols = df.columns
@@ -25,14 +25,14 @@ def profile_tables(tables: Mapping[str, DataFrame], approx_distinct: bool = True
         stack = ", ".join(
             f"'{c}', {i + 1}, `__n{i}`, " + (f"`__d{i}`" if approx_distinct else "CAST(NULL AS BIGINT)")
             for i, c in enumerate(cols))
-        long = one.selectExpr(f"'{name}' AS table_name", "`__rows` AS n_rows",
+        long = one.selectExpr(f"'{name}' AS table_name", "`__rows` AS n_rows", f"{len(cols)} AS n_columns",
                               f"stack({len(cols)}, {stack}) AS (column_name, position, n_nulls, approx_distinct)")
         parts.append(long)
         # file statistics from the metadata columns only (no data column is decoded)
         per_file = (df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
                               F.col("_metadata.file_modification_time").alias("m"))
                       .groupBy("f").agg(F.max("s").alias("s"), F.max("m").alias("m")))
-        file_parts.append(per_file.agg(F.round(F.sum("s") / 1024 ** 3, 2).alias("size_gb"),
+        file_parts.append(per_file.agg(F.round(F.sum("s") / F.pow(F.lit(10), F.lit(9)), 2).alias("size_gb"),
                                        F.max("m").alias("last_modified"))
                           .withColumn("table_name", F.lit(name)))
     out, files = parts[0], file_parts[0]
@@ -40,7 +40,8 @@ def profile_tables(tables: Mapping[str, DataFrame], approx_distinct: bool = True
         out = out.unionByName(p)
     for p in file_parts[1:]:
         files = files.unionByName(p)
-    return out.join(files, "table_name")  # one row per table on the right
+    # largest tables first, as the source listing orders them
+    return out.join(files, "table_name").orderBy(F.col("size_gb").desc(), "table_name", "position")
 
 
 def shape(df: DataFrame, key: str, unique: str) -> DataFrame:
