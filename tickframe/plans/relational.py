@@ -112,27 +112,34 @@ def proj_decode_type(spark, d):
 
 
 # events with sentinels written in, as a weather feed writes 999.9 for "missing"
-SQL_SENTINEL_FEED = "feed AS (SELECT event_type, IF(value > 400, 999.9, value) AS reading FROM events)"
+SQL_SENTINEL_FEED = ("feed AS (SELECT event_type, IF(value > 400, 999.9, value) AS reading, "
+                     "IF(value > 400, '999.9', printf('%.2f', value)) AS reading_text FROM events)")
 
 
 def sentinel_feed(spark, d):
     e = T(spark, d, "events")
-    return e.select("event_type", F.when(F.col("value") > 400, F.lit(999.9)).otherwise(F.col("value")).alias("reading"))
+    hot = F.col("value") > 400
+    return e.select("event_type", F.when(hot, F.lit(999.9)).otherwise(F.col("value")).alias("reading"),
+                    F.when(hot, F.lit("999.9")).otherwise(F.format_string("%.2f", "value")).alias("reading_text"))
 
 
 @register("proj.sentinel_null", f"""
 WITH {SQL_SENTINEL_FEED},
 c AS (SELECT event_type, IF(reading = 999.9, NULL, reading) AS as_null,
-             IF(reading = 999.9, 0, reading) AS as_zero, reading = 999.9 AS was_sentinel FROM feed)
+             IF(reading = 999.9, 0, reading) AS as_zero, reading = 999.9 AS was_sentinel,
+             IF(reading_text = '999.9', NULL, CAST(reading_text AS DOUBLE)) AS text_as_null FROM feed)
 SELECT event_type, {DAVG(D('as_null'))} AS avg_null, {DAVG(D('as_zero'))} AS avg_zero,
-       CAST(sum(CAST(was_sentinel AS BIGINT)) AS BIGINT) AS n_sentinel
+       {DAVG(D('text_as_null'))} AS avg_text_null,
+       CAST(sum(CAST(was_sentinel AS INTEGER)) AS BIGINT) AS n_sentinel
 FROM c GROUP BY event_type""")
 def proj_sentinel_null(spark, d):
     f = sentinel_feed(spark, d)
     a = clean.sentinel_to(f.withColumn("as_null", F.col("reading")), {"as_null": (999.9, None)})
     a = clean.sentinel_to(a.withColumn("as_zero", F.col("reading")), {"as_zero": (999.9, 0.0)})
+    # a string column: the sentinel is compared as text, before the cast
+    a = clean.sentinel_to(a.withColumn("text_as_null", F.col("reading_text")), {"text_as_null": ("999.9", None, "double")})
     return a.groupBy("event_type").agg(
-        davg("as_null").alias("avg_null"), davg("as_zero").alias("avg_zero"),
+        davg("as_null").alias("avg_null"), davg("as_zero").alias("avg_zero"), davg("text_as_null").alias("avg_text_null"),
         F.sum((F.col("reading") == 999.9).cast("int")).cast("long").alias("n_sentinel"))
 
 
