@@ -16,20 +16,29 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """agg.summary (pandas ``describe``): count, mean, std, min, 25 %, 50 %,
-    75 %, max per column, long form (one row per column), exact quartiles
-    with linear interpolation.  One aggregate pass for all columns, then an
-    unpivot of the one row (per group) into one row per column."""
+    75 %, max per column, long form (one row per column).  Moments come from
+    one aggregate pass over all columns; the exact quartiles from one
+    skew-safe ``exact_percentiles`` pass over the unpivoted (column, value)
+    rows, so no group's values are gathered into one task."""
+    from tickframe.operators.quantiles import exact_percentiles
+    by = list(by)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
                              F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                             F.percentile(x, list(QUARTILES)).alias("q"), F.max(x).alias("max")).alias(f"__s{i}"))
+                             F.max(x).alias("max")).alias(f"__s{i}"))
     one = df.groupBy(*by).agg(*aggs)
-    rows = one.select(*by, F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("s"))
-    return rows.select(*by, "s.column", "s.count", "s.mean", "s.std", "s.min",
-                       F.col("s.q")[0].alias("q25"), F.col("s.q")[1].alias("q50"), F.col("s.q")[2].alias("q75"),
-                       "s.max")
+    moments = one.select(*by, F.explode(F.array(*[F.col(f"__s{i}") for i in range(len(cols))])).alias("s")) \
+                 .select(*by, "s.*")
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(*[f"`{b}`" for b in by], f"stack({len(cols)}, {stack}) AS (column, __x)")
+    q = exact_percentiles(long, [*by, "column"], "__x", list(QUARTILES))
+    wide = q.groupBy(*by, "column").pivot("q", list(QUARTILES)).agg(F.first("__x"))
+    wide = wide.select(*by, "column", *[F.col(f"`{wide.columns[len(by) + 1 + i]}`").alias(n)
+                                        for i, n in enumerate(("q25", "q50", "q75"))])
+    out = moments.join(wide, [*by, "column"], "left")
+    return out.select(*by, "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
@@ -73,9 +82,11 @@ def corr_matrix(df: DataFrame, key: str, date: str, value: str, keys: Sequence[s
 
 def var_hist(returns: DataFrame, key: str, ret: str, q: float = 0.05) -> DataFrame:
     """ts.var_bootstrap: historical value-at-risk = the q-quantile of returns
-    (exact, linear interpolation)."""
-    return returns.groupBy(key).agg(F.percentile(ret, q).alias("var_quantile"),
-                                    F.count(ret).alias("n_returns"))
+    (exact, linear interpolation, skew-safe: see ``quantiles``)."""
+    from tickframe.operators.quantiles import exact_percentiles
+    n = returns.groupBy(key).agg(F.count(ret).alias("n_returns"))
+    v = exact_percentiles(returns, [key], ret, [q]).select(key, F.col(ret).alias("var_quantile"))
+    return n.join(v, key, "left")
 
 
 def var_mc(stats: DataFrame, key: str, start: str, mu: str, sigma: str, days: int = 365,

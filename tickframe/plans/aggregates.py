@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickframe.functions.money import D, DAVG, DSUM, NET, dec, davg, dsum, net
 from tickframe.operators import relational as rel
 from tickframe.operators import stats, windows
+from tickframe.operators.quantiles import exact_percentiles
 from tickframe.plans.prices import SQL_PRICES, INGEST_DATE, prices
 from tickframe.plans.registry import register
 from tickframe.sources.tables import table
@@ -107,8 +108,11 @@ def agg_approx_quantiles(spark, d):
 WITH q AS (SELECT event_type, quantile_cont(value, {DECILES}) AS qs FROM events GROUP BY 1)
 SELECT event_type, {', '.join(f'round(qs[{i + 1}], 6) AS "{i * 10}%"' for i in range(11))} FROM q""")
 def agg_quantiles_wide(spark, d):
-    q = T(spark, d, "events").groupBy("event_type").agg(F.percentile("value", DECILES).alias("qs"))
-    return q.select("event_type", *[F.round(F.element_at("qs", i + 1), 6).alias(f"{i * 10}%") for i in range(11)])
+    # exact and skew-safe: no event type is gathered whole into one task
+    q = exact_percentiles(T(spark, d, "events"), ["event_type"], "value", DECILES)
+    wide = q.groupBy("event_type").pivot("q", DECILES).agg(F.first("value"))
+    return wide.select("event_type", *[F.round(F.col(f"`{wide.columns[i + 1]}`"), 6).alias(f"{i * 10}%")
+                                       for i in range(11)])
 
 
 @register("agg.any_value", """
@@ -293,7 +297,8 @@ r AS (SELECT Name, Close / lag(Close) OVER (PARTITION BY Name ORDER BY Date) - 1
 SELECT Name, round(quantile_cont(ret, 0.05), 9) AS q05 FROM r GROUP BY Name""")
 def agg_quantile(spark, d):
     r = windows.pct_change(prices(spark, d), "Name", "Date", "Close", out="ret")
-    return r.groupBy("Name").agg(F.round(F.percentile("ret", 0.05), 9).alias("q05"))
+    q = exact_percentiles(r, ["Name"], "ret", [0.05])
+    return q.select("Name", F.round("ret", 9).alias("q05"))
 
 
 @register("agg.histogram", """

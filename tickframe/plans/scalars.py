@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
 from tickframe.functions import dialect
+from tickframe.operators.quantiles import exact_percentiles
 from tickframe.plans.registry import register
 from tickframe.sources.tables import table
 
@@ -121,7 +122,10 @@ u AS (SELECT event_type, unnest(range(0, 3)) AS pos, unnest(qs) AS val FROM q)
 SELECT event_type, CAST(pos AS BIGINT) AS pos, round(val, 6) AS val, CAST([5, 10, 17][CAST(pos AS BIGINT) + 1] AS BIGINT) AS split
 FROM u""")
 def fn_array(spark, d):
-    q = T(spark, d, "events").groupBy("event_type").agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("qs"))
+    qs = exact_percentiles(T(spark, d, "events"), ["event_type"], "value", [0.25, 0.5, 0.75])
+    # gather the three quartiles of each type into an array ordered by q
+    q = qs.groupBy("event_type").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("q", "value"))), lambda s: s["value"]).alias("qs"))
     splits = F.array(F.lit(5), F.lit(10), F.lit(17))
     x = q.select("event_type", F.posexplode("qs").alias("pos", "val"))
     return x.select("event_type", "pos", F.round("val", 6).alias("val"),
