@@ -174,6 +174,19 @@ def ts_minmax(spark, d):
     return out.select("Name", "Date", F.round("scaled", 9).alias("scaled"))
 
 
+@register("ts.minmax_scale.inverse", PRICES_WITH + """,
+sc AS (SELECT Name, Date, Close, min(Close) OVER (PARTITION BY Name) AS mn, max(Close) OVER (PARTITION BY Name) AS mx
+       FROM prices)
+SELECT Name, CAST(Date AS VARCHAR) AS Date, round((Close - mn) / (mx - mn) * (mx - mn) + mn, 6) AS restored FROM sc""")
+def ts_minmax_inverse(spark, d):
+    """Scale each series to [0, 1], then map it back with the per-series range."""
+    p = prices(spark, d).select("Name", "Date", "Close")
+    scaled = ts.minmax(p, "Name", "Close")
+    ranges = p.groupBy("Name").agg(F.min("Close").alias("min"), F.max("Close").alias("max"))
+    back = ts.minmax_inverse(scaled, ranges, "Name", "scaled", "restored")
+    return back.select("Name", "Date", F.round("restored", 6).alias("restored"))
+
+
 SQL_SENTIMENT = f"""
 WITH daily AS (
   SELECT CAST(ts AS DATE) AS d, {DAVG(D('value'))} AS close,
