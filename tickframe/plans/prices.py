@@ -124,3 +124,29 @@ def q_win_gap(spark, sf_dir):
              .agg(F.round(F.avg("gap_seconds"), 4).alias("avg_gap_seconds"),
                   F.count("gap_seconds").alias("n_gaps"))
              .orderBy("avg_gap_seconds", "event_type").limit(5))
+
+
+SQL_EVENT_PRICES = """
+bars AS (
+  SELECT event_type AS Name, CAST(ts AS DATE) AS Date,
+         arg_min(value, (ts, event_id)) AS Open, max(value) AS High, min(value) AS Low,
+         arg_max(value, (ts, event_id)) AS Close, CAST(count(*) AS DOUBLE) AS Volume
+  FROM events GROUP BY 1, 2),
+clean AS (
+  SELECT Name, Date, round_even(Open, 2) AS Open, round_even(Close, 2) AS Close, round_even(Low, 2) AS Low,
+         round_even(High, 2) AS High, round_even(Close, 2) AS AdjClose, round_even(Volume, 2) AS Volume,
+         DATE '2024-01-31' AS record_ingestion_date
+  FROM bars WHERE NOT isnan(Open)),
+lagged AS (SELECT *, lag(Close) OVER (PARTITION BY Name ORDER BY Date) AS prev_close FROM clean),
+changed AS (SELECT *, CASE WHEN Close - prev_close IS NULL THEN 0.0
+                          ELSE round(Close - prev_close, 2) END AS change FROM lagged),
+prices AS (SELECT *, round(change / prev_close * 100, 2) AS change_in_percent FROM changed)"""
+
+
+@register("ts.pipeline_backfill.events", "WITH " + SQL_EVENT_PRICES + """
+SELECT * REPLACE (CAST(Date AS VARCHAR) AS Date,
+                  CAST(record_ingestion_date AS VARCHAR) AS record_ingestion_date) FROM prices""")
+def q_pipeline_backfill_events(spark, sf_dir):
+    """The same pipeline over the second stand-in series: event-type bars
+    whose open / close are the first / last tick of the day by (ts, event_id)."""
+    return ts.build_prices(ts.event_bars(table(spark, sf_dir, "events")), "2024-01-31")
