@@ -91,3 +91,20 @@ def test_money_sums_are_exact(li):
     a = li.agg(dsum("l_extendedprice")).first()[0]
     b = li.repartition(7, "l_partkey").agg(dsum("l_extendedprice")).first()[0]
     assert a == b
+
+
+def test_partition_write_spreads_a_hot_key(spark, tmp_path):
+    e = table(spark, SF_SMALL, "events").select(F.lit("HOT").alias("Name"), "event_id", "value",
+                                                F.to_date("ts").alias("record_ingestion_date"))
+    path = str(tmp_path / "hot")
+    # the sample is tiny: stop AQE from merging the salted partitions back together
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_partition(e, path, spread=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.parquet(path)
+    assert back.count() == e.count()
+    files = back.select(F.input_file_name().alias("f"), "record_ingestion_date").distinct()
+    per_day = files.groupBy("record_ingestion_date").count().agg(F.max("count")).first()[0]
+    assert per_day > 1  # the hot key of one day went to several writers

@@ -16,16 +16,21 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_partition(df: DataFrame, path: str, date_col: str = "record_ingestion_date",
-                    cluster_by: Sequence[str] = ("Name",)) -> None:
+                    cluster_by: Sequence[str] = ("Name",), spread: int = 1) -> None:
     """sink.partition: overwrite only the day partitions present in ``df``
     (dynamic overwrite; the session default is STATIC, which would wipe
     the other days), rows clustered by ``cluster_by`` inside each file so
     Parquet min/max statistics skip row groups on symbol filters.
 
     Rows are hash-partitioned on (date, cluster key) before the write, so
-    each task writes a few large files instead of every task writing a
-    small file into every day."""
-    out = df.repartition(date_col, *cluster_by).sortWithinPartitions(date_col, *cluster_by)
+    each task writes a few large files instead of every task writing a small
+    file into every day.  ``spread`` > 1 adds a salt so one hot (day, key)
+    is written by ``spread`` tasks instead of one (use it for row-level
+    tables; one bar per symbol and day needs none)."""
+    keys = [F.col(date_col), *[F.col(c) for c in cluster_by]]
+    if spread > 1:
+        keys.append(F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)))
+    out = df.repartition(*keys).sortWithinPartitions(date_col, *cluster_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col).parquet(path))
 
