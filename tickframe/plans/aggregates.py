@@ -191,6 +191,42 @@ def agg_rollup(spark, d):
     return out.withColumn("total", F.col("total").cast("double")).withColumn("n", F.col("n").cast("long"))
 
 
+ROLLUP8 = ["r_name", "n_name", "c_mktsegment", "o_orderpriority", "o_orderstatus", "yr", "qtr", "mo"]
+
+
+@register("agg.rollup.wide", f"""
+WITH g AS (SELECT r_name, n_name, c_mktsegment, o_orderpriority, o_orderstatus, year(o_orderdate) AS yr,
+                  quarter(o_orderdate) AS qtr, month(o_orderdate) AS mo, CAST(o_totalprice AS DECIMAL(18,2)) AS v
+           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+           JOIN region ON n_regionkey = r_regionkey),
+r AS (SELECT {', '.join(ROLLUP8)}, sum(v) AS total FROM g GROUP BY ROLLUP ({', '.join(ROLLUP8)})),
+k AS (SELECT *, rank() OVER (PARTITION BY r_name ORDER BY total DESC) AS rk FROM r)
+SELECT r_name, n_name, c_mktsegment, o_orderpriority, o_orderstatus, CAST(yr AS VARCHAR) AS yr,
+       CAST(qtr AS VARCHAR) AS qtr, CAST(mo AS VARCHAR) AS mo, CAST(total AS DOUBLE) AS total, rk
+FROM k WHERE rk <= 100""")
+def agg_rollup_wide(spark, d):
+    """An 8-column ROLLUP (9 levels) and the top 100 per region, as the
+    corpus's category report: the rollup runs on groups pre-aggregated over
+    all eight keys, and rank ≤ 100 becomes a per-partition group limit."""
+    o = _geo_orders(spark, d)
+    r = rel.rollup_labelled(o, ROLLUP8, {"total": ("sum", "v")}).drop("lochierarchy")
+    w = Window.partitionBy("r_name").orderBy(F.col("total").desc())
+    # rolled-up levels are NULL: calendar keys as text read back the same in every client
+    return (r.withColumn("rk", F.rank().over(w)).filter(F.col("rk") <= 100)
+             .withColumn("total", F.col("total").cast("double"))
+             .withColumns({c: F.col(c).cast("string") for c in ("yr", "qtr", "mo")}))
+
+
+def _geo_orders(spark, d):
+    o, c = T(spark, d, "orders"), T(spark, d, "customer")
+    n, r = F.broadcast(T(spark, d, "nation")), F.broadcast(T(spark, d, "region"))
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+             .join(r, n.n_regionkey == r.r_regionkey)
+             .select("r_name", "n_name", "c_mktsegment", "o_orderpriority", "o_orderstatus",
+                     F.year("o_orderdate").alias("yr"), F.quarter("o_orderdate").alias("qtr"),
+                     F.month("o_orderdate").alias("mo"), dec("o_totalprice").alias("v")))
+
+
 @register("agg.rollup_label", f"""
 WITH {SQL_GEO},
 r AS (SELECT r_name, c_mktsegment, sum(v) AS total, r_name || c_mktsegment AS label,
