@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
-from tickframe.functions.money import D, DSUM, DAVG, NET, dec, dsum, davg, net
+from tickframe.functions.money import D, DSUM, DAVG, NET, dsum, davg, net
 from tickframe.operators import timeseries as ts
 from tickframe.plans.prices import CUT_DATE, INGEST_DATE, SQL_PRICES, prices, raw_feed
 from tickframe.plans.registry import register

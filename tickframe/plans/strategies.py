@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tickframe.functions.money import dec
 
-from tickframe.operators import knn, strategy, timeseries as ts, windows
+from tickframe.operators import knn, strategy, timeseries as ts
 from tickframe.plans.prices import INGEST_DATE, SQL_PRICES, prices
 from tickframe.plans.series import SQL_NUMBERED
 from tickframe.plans.registry import register
