@@ -32,8 +32,10 @@ def linreg(df: DataFrame, label: str, categorical: Sequence[str], numeric: Seque
     idx = [f"{c}__idx" for c in categorical]
     vec = [f"{c}__vec" for c in categorical]
     if categorical:
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=vec, handleInvalid="keep"))
+        # dummy coding: one level per categorical dropped, so the design with an
+        # intercept has full rank and the normal-equation solver applies
+        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True))
     stages.append(VectorAssembler(inputCols=vec + list(numeric), outputCol="features"))
     stages.append(LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted_" + label,
                                    solver="normal", regParam=0.0))
