@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, packing, quality, token_counts
+from . import byte_bpe, chat, language, licenses, packing, quality, token_counts
 
 QUERIES = {f.__name__: f for f in (
-    packing.op1_packing, quality.op5_quality_rules, token_counts.op6_token_counts, byte_bpe.op7_byte_bpe,
+    packing.op1_packing, licenses.op4_license_scan, quality.op5_quality_rules, token_counts.op6_token_counts, byte_bpe.op7_byte_bpe,
+    language.op8_language_id, chat.op9_chat_format,
 )}
 
 SQL = {
+    "op4_license_scan": licenses.SQL,
     "op5_quality_rules": quality.SQL,
+    "op9_chat_format": chat.SQL,
 }
