@@ -83,3 +83,26 @@ def runs(h: np.ndarray, k: int) -> np.ndarray:
     for j in range(1, k):
         out = mix(out * np.uint64(0xD1342543DE82EF95) + h[j:len(h) - k + 1 + j])
     return out
+
+
+def prefix_hash(h: np.ndarray) -> np.ndarray:
+    """Prefix sums from which span_hash reads the hash of any run of words."""
+    out = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * _powers(len(h) + 1)[0][:len(h)], out=out[1:])
+    return out
+
+
+def span_hash(prefix: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words begin..end, equal for equal runs wherever they stand."""
+    return mix((prefix[end] - prefix[begin]) * _powers(len(prefix))[1][begin] + (end - begin).astype(np.uint64))
+
+
+def joined(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words with one blank after each: bytes, begins and ends of words."""
+    size = w.end - w.begin
+    ends = np.cumsum(size + 1) - 1
+    out = np.full(int(ends[-1]) + 1 if len(ends) else 0, 0x20, np.uint8)
+    letters = np.ones(len(out), bool)
+    letters[ends] = False
+    out[letters] = w.data[~_SEPARATOR[w.data]]
+    return out, ends - size, ends
