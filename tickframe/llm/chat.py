@@ -23,7 +23,8 @@ is a conversation of its own.  An empty table gives no conversations.
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,7 +49,6 @@ class Layout:
     turns: tuple[tuple[str, str], ...]
     items: str = ""
     order: str = ""
-    optional: tuple[str, ...] = field(default=())
 
     def paths(self) -> frozenset[str]:
         own = {p for role, text in self.turns for p in (role.removeprefix("$") if role[0] == "$" else "", text) if p}
@@ -96,6 +96,11 @@ def _turn(*parts: Column) -> Column:
     return F.struct(role.cast("string").alias("role"), text.cast("string").alias("text"))
 
 
+def _item_turn(name: Column, role: str, text: str) -> Callable[[Column], Column]:
+    """The turn of a list item, its speaker under the canonical name."""
+    return lambda item: _turn(F.coalesce(name[item[role]], item[role]), item[text])
+
+
 def turn_rows(df: DataFrame, conv: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """(conv, turn, role, text) of a table whose columns have one layout.
 
@@ -107,16 +112,13 @@ def turn_rows(df: DataFrame, conv: str = "conv_id", layouts: tuple[Layout, ...]
     if layout is None:
         raise ValueError(f"no layout for the fields {sorted(schema_paths(df.schema))}")
     name = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
-    def speaker(role: Column) -> Column:
-        return F.coalesce(name[role], role) if layout.items == "conversations" else role
-
     if layout.order:
         (role, text), = layout.turns
         return df.select(F.col(f"`{conv}`").alias("conv"), F.col(layout.order).cast("long").alias("turn"),
                          F.col(role[1:]).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     if layout.items:
         (role, text), = layout.turns
-        turns = F.transform(F.col(layout.items), lambda x: _turn(speaker(x[role[1:]]), x[text]))
+        turns = F.transform(F.col(layout.items), _item_turn(name, role[1:], text))
     else:
         turns = F.array(*[_turn(F.lit(role), F.col(text)) for role, text in layout.turns])
     return df.select(F.col(f"`{conv}`").alias("conv"), F.posexplode_outer(turns).alias("turn", "t")).filter("turn is not null").select(
@@ -140,7 +142,7 @@ def json_turns(df: DataFrame, raw: str, conv: str = "conv_id", layouts: tuple[La
         if x.items:
             (role, text), = x.turns
             items = F.from_json("raw", f"`{x.items}` array<struct<`{role[1:]}`:string,`{text}`:string>>")[x.items]
-            got = F.transform(items, lambda i, r=role, t=text: _turn(F.coalesce(name[i[r[1:]]], i[r[1:]]), i[t]))
+            got = F.transform(items, _item_turn(name, role[1:], text))
         else:
             got = F.array(*[_turn(F.lit(role), F.get_json_object("raw", f"$.{text}")) for role, text in x.turns])
         mine = F.col("fingerprint") == digest(x.paths())
