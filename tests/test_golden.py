@@ -145,7 +145,11 @@ def test_daily_increment_missing_symbol_and_rerun(spark):
     assert inc["C"]["change"] == 0.0 and inc["C"]["prev_close"] is None  # not in the snapshot: restarts
     # a same-day rerun keeps its rows (the reference's date comparison would drop them all)
     again = ts.increment_prices(day, stored.unionByName(ts.increment_prices(day, stored, "2021-01-02")), "2021-01-02")
-    assert again.count() == 2
+    assert {r["Name"]: (r["prev_close"], r["change"]) for r in again.collect()} == {"A": (10.0, 1.0), "C": (None, 0.0)}
+    # a symbol that is absent from the last stored day goes on from its own last row
+    b = ts.increment_prices(_raw(spark, [("B", "2021-01-03", 1.0, 1, 1, 25.0, 1, 1)]),
+                            stored.unionByName(ts.increment_prices(day, stored, "2021-01-02")), "2021-01-03").collect()
+    assert [(r["prev_close"], r["change"]) for r in b] == [(20.0, 5.0)]
 
 
 def test_histogram_and_describe(spark):

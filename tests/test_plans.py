@@ -28,7 +28,7 @@ def test_not_exists_is_left_anti_and_exists_is_semi(spark):
     assert "LeftAnti" in p and "LeftSemi" in p
 
 
-def test_bucket_scalars_scan_once(spark):
+def test_band_scalars_scan_once(spark):
     tree = plan(Q["join.cross_scalar"](spark, SF_SMALL)).split("\n\n")[0]  # the operator tree only
     assert len(re.findall(r"Scan parquet", tree)) == 1
 

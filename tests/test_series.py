@@ -78,7 +78,7 @@ def test_breakout_matches_pandas(px, pdf):
         sig[(rmin > g["Close"]).to_numpy()] = 1
         for d, a, b, s in zip(g["Date"], rmax, rmin, sig):
             r = got[(name, str(d))]
-            assert _close(r["RollingMax"], None if np.isnan(a) else a) and _close(r["RollingMin"], None if np.isnan(b) else b)
+            assert _close(r["prior_max"], None if np.isnan(a) else a) and _close(r["prior_min"], None if np.isnan(b) else b)
             assert r["signal"] == s
 
 

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from tickframe.operators import timeseries as ts
 from tickframe.plans.prices import prices, raw_feed
 from tickframe.plans.streams import RAW_SCHEMA
-from tickframe.sources import sinks
-from tickframe.streaming.daily import run_daily_stream
+from tickframe.streaming.daily import run_daily_stream, store_prices
 
 from conftest import SF_SMALL
 
@@ -16,7 +15,7 @@ def test_stream_restart_processes_only_new_files(spark, tmp_path):
     table, source, ckpt = f"{base}/prices", f"{base}/incoming", f"{base}/ckpt"
     raw = raw_feed(spark, SF_SMALL).select("Name", "Date", "Open", "High", "Low", "Close", "Adj Close", "Volume")
     cut = F.lit("2001-05-01").cast("date")
-    sinks.write_partition(ts.build_prices(raw.filter(F.col("Date") < cut), "2000-12-31"), table)
+    store_prices(ts.build_prices(raw.filter(F.col("Date") < cut), "2000-12-31"), table)
     may = raw.filter((F.col("Date") >= cut) & (F.col("Date") < F.lit("2001-06-01").cast("date")))
     june = raw.filter((F.col("Date") >= F.lit("2001-06-01").cast("date")) & (F.col("Date") < F.lit("2001-07-01").cast("date")))
     may.coalesce(1).write.parquet(f"{source}/2001-05")
@@ -33,3 +32,27 @@ def test_stream_restart_processes_only_new_files(spark, tmp_path):
              for r in prices(spark, SF_SMALL).filter((F.col("Date") >= cut) & (F.col("Date") < F.lit("2001-07-01").cast("date"))).collect()}
     stream = {(r["Name"], r["Date"]): (r["prev_close"], r["change"]) for r in got.collect()}
     assert stream == batch
+
+
+def test_retention_is_part_of_the_job(spark, tmp_path):
+    base = str(tmp_path)
+    raw = raw_feed(spark, SF_SMALL).select("Name", "Date", "Open", "High", "Low", "Close", "Adj Close", "Volume")
+    raw.filter("Date < '1995-03-01'").coalesce(1).write.parquet(f"{base}/in/a")
+    raw.filter("Date >= '2001-07-01'").coalesce(1).write.parquet(f"{base}/in/b")
+    run_daily_stream(spark, f"{base}/in/*", f"{base}/prices", f"{base}/ckpt", RAW_SCHEMA, keep_days=180)
+    assert spark.read.parquet(f"{base}/prices").select(F.min("Date").cast("string")).first()[0] >= "2001-07-01"
+
+
+def test_batch_replayed_after_a_crash_changes_nothing(spark, tmp_path):
+    from tickframe.streaming.daily import merge_prices
+    base = str(tmp_path)
+    raw = raw_feed(spark, SF_SMALL).select("Name", "Date", "Open", "High", "Low", "Close", "Adj Close", "Volume").filter("Date >= '2001-05-01'")
+    store_prices(ts.build_prices(raw.filter("Date < '2001-07-01'"), "2001-06-30"), f"{base}/prices")
+    day = raw.filter("Date >= '2001-07-01'")
+    seen = []
+    for k in range(2):  # the second merge is the replay of a batch that was written but not committed
+        merge_prices(day, f"{base}/prices", "2001-08-01", f"{base}/staged{k}")
+        seen.append(sorted(map(str, spark.read.parquet(f"{base}/prices").collect())))
+    assert seen[0] == seen[1]
+    want = {(r.Name, r.Date): (r.prev_close, r.change) for r in ts.build_prices(raw, "2001-08-01").collect()}
+    assert {(r.Name, r.Date): (r.prev_close, r.change) for r in spark.read.parquet(f"{base}/prices").collect()} == want

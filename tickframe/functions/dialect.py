@@ -48,8 +48,3 @@ def bucketize(x, splits: Sequence[float], prefix: str = "bin_") -> Column:
     for i, s in enumerate(splits):
         expr = expr.when(_c(x) < s, F.lit(f"{prefix}{i + 1}"))
     return expr.otherwise(F.lit(f"{prefix}{len(splits) + 1}"))
-
-
-def percent(x, digits: int = 2) -> Column:
-    """``'{:.2%}'.format(x)``."""
-    return F.format_string(f"%.{digits}f%%", _c(x) * 100)

@@ -34,6 +34,11 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence
                       buckets: int = 1024, final_rows: int = 200_000, max_rounds: int = 5) -> DataFrame:
     """One row per group and quantile: ``by…, q, value`` (NaN / NULL ignored)."""
     by = list(by)
+    if by and by != ["__group"]:
+        # the whole key as one struct, which is never NULL, so groups with NULL keys join like any other
+        packed = df.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in by]).alias("__group"), F.col(f"`{value}`").alias("__value"))
+        out = exact_percentiles(packed, ["__group"], "__value", qs, buckets, final_rows, max_rounds)
+        return out.select("__group.*", "q", F.col("__value").alias(value))
     ensure_checkpoint_dir(df.sparkSession)
     x = df.select(*by, F.col(value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull() & ~F.isnan("__v"))

@@ -2,7 +2,7 @@
 
 * ``anti``: NOT EXISTS / left-join-IS-NULL written as a left anti join
   (Catalyst keeps the outer-join form otherwise).
-* ``bucket_scalars``: N scalar subqueries over the same fact in one scan.
+* ``null_safe_join``: an equi-join whose NULL keys match, as groups do.
 * ``rollup_labelled``: pre-aggregate on all keys, then ROLLUP the small result.
 * ``union_channels``: the same query over several channels, unioned.
 * ``compare_periods``: self-join of an aggregate with itself shifted by k periods.
@@ -12,6 +12,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,18 +24,13 @@ def anti(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_anti")
 
 
-def bucket_scalars(df: DataFrame, buckets: Mapping[str, tuple[Column, Mapping[str, Callable]]]) -> DataFrame:
-    """join.cross_scalar rewritten: one aggregate per (bucket, measure) in a
-    single pass instead of one scan per bucket cross-joined together.
-
-    ``buckets = {name: (predicate, {out_suffix: lambda col_if_in_bucket: agg})}``
-    Output: one row, columns ``{name}_{suffix}``.
-    """
-    aggs = []
-    for name, (pred, measures) in buckets.items():
-        for suffix, make in measures.items():
-            aggs.append(make(pred).alias(f"{name}_{suffix}"))
-    return df.agg(*aggs)
+def null_safe_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of one name in which NULL keys match each other,
+    as they do in GROUP BY.  The key columns are ``left``'s."""
+    on = [on] if isinstance(on, str) else list(on)
+    other = right.withColumnsRenamed({c: f"__right_{c}" for c in on})
+    cond = reduce(and_, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__right_{c}`")) for c in on])
+    return left.join(other, cond, how).drop(*[f"__right_{c}" for c in on])  # drop ignores what a semi or anti join lacks
 
 
 def rollup_labelled(df: DataFrame, cols: Sequence[str], aggs: Mapping[str, tuple[str, str]],
@@ -81,16 +78,15 @@ def compare_periods(agg: DataFrame, keys: Sequence[str], period: str, values: Se
 
 def pair_extremes(df: DataFrame, item: str, score: str, n: int) -> DataFrame:
     """win.best_worst: rank items ascending and descending by ``score`` and
-    pair the i-th best with the i-th worst for i ≤ n.
+    join equal ranks up to n.
 
-    Each ranking keeps only n rows (Catalyst's WindowGroupLimit trims every
-    partition to n before the single-partition window)."""
-    asc = Window.orderBy(F.col(score).asc(), F.col(item).asc())
-    desc = Window.orderBy(F.col(score).desc(), F.col(item).desc())
+    ``rank`` gives tied items one rank and leaves the following ranks out, so
+    all items tied at a rank are paired with all items of that rank on the
+    other side, and a rank that one side skips has no pair."""
     best = df.select(F.col(item).alias("best_item"), F.col(score).alias("best_score"),
-                     F.row_number().over(asc).alias("rnk")).filter(F.col("rnk") <= n)
+                     F.rank().over(Window.orderBy(F.col(score).asc())).alias("rnk")).filter(F.col("rnk") <= n)
     worst = df.select(F.col(item).alias("worst_item"), F.col(score).alias("worst_score"),
-                      F.row_number().over(desc).alias("rnk")).filter(F.col("rnk") <= n)
+                      F.rank().over(Window.orderBy(F.col(score).desc())).alias("rnk")).filter(F.col("rnk") <= n)
     return best.join(worst, "rnk")
 
 
@@ -113,20 +109,20 @@ def within_band(cols: Sequence[Column], pct: float = 0.1) -> Column:
 
 
 def band_scalars(df: DataFrame, bands: Mapping[str, Column], measures: Mapping[str, Callable[[], Column]]) -> DataFrame:
-    """join.cross_scalar for disjoint bands: label each row with the first
-    band whose predicate holds, aggregate once grouped by band (a single
-    distinct aggregate is planned as two hash aggregations, with no Expand
-    of every row per band), then pivot the few band rows into one row with
-    columns ``{band}_{measure}``.  A band without rows gives NULL measures
-    (counts 0), as its scalar subquery would."""
-    label = None
-    for name, pred in bands.items():
-        label = F.when(pred, F.lit(name)) if label is None else label.when(pred, F.lit(name))
-    per_band = (df.withColumn("__band", label).filter(F.col("__band").isNotNull())
+    """join.cross_scalar: one row with columns ``{band}_{measure}``, in one scan.
+
+    Each row goes once to every band whose predicate holds (bands may
+    overlap; a row in no band is dropped before the grouping), the bands are
+    aggregated as groups (a single distinct aggregate is planned as two hash
+    aggregations, with no Expand of every row per band), and the few band
+    rows become one.  A band without rows gives NULL measures (counts 0), as
+    its scalar subquery would."""
+    inside = F.filter(F.array(*[F.when(pred, F.lit(name)) for name, pred in bands.items()]), lambda b: b.isNotNull())
+    per_band = (df.withColumn("__band", F.explode(inside))
                   .groupBy("__band").agg(*[make().alias(m) for m, make in measures.items()]))
-    wide = per_band.groupBy().pivot("__band", list(bands)).agg(*[F.first(m).alias(m) for m in measures])
-    counts = [f"{b}_{m}" for b in bands for m in measures if wide.schema[f"{b}_{m}"].dataType.typeName() == "long"]
-    return wide.fillna(0, subset=counts)
+    cells = [F.max(F.when(F.col("__band") == b, F.col(m))).alias(f"{b}_{m}") for b in bands for m in measures]
+    counts = [f"{b}_{m}" for b in bands for m in measures if per_band.schema[m].dataType.typeName() == "long"]
+    return per_band.agg(*cells).fillna(0, subset=counts)
 
 
 def distinct_counts(df: DataFrame, by: Sequence[str], cols: Mapping[str, str], aggs: Sequence[Column] = ()) -> DataFrame:
@@ -146,5 +142,5 @@ def distinct_counts(df: DataFrame, by: Sequence[str], cols: Mapping[str, str], a
         # NULL is not a value for COUNT(DISTINCT)
         n = (df.select(*by, c).where(F.col(c).isNotNull()).distinct()
                .groupBy(*by).agg(F.count(F.lit(1)).alias(name)))
-        out = out.join(n, by, "left")
+        out = null_safe_join(out, n, by, "left")
     return out.fillna(0, subset=list(cols))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickframe.operators.relational import null_safe_join
+
 QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -37,7 +39,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     wide = q.groupBy(*by, "column").pivot("q", list(QUARTILES)).agg(F.first("__x"))
     wide = wide.select(*by, "column", *[F.col(f"`{wide.columns[len(by) + 1 + i]}`").alias(n)
                                         for i, n in enumerate(("q25", "q50", "q75"))])
-    out = moments.join(wide, [*by, "column"], "left")
+    out = null_safe_join(moments, wide, [*by, "column"], "left")
     return out.select(*by, "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -49,7 +51,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     by = list(by)
     if by:
         rng = df.groupBy(*by).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
-        j = df.join(rng, by, "inner")  # one row per group; AQE broadcasts it when small
+        j = null_safe_join(df, rng, by)  # one row per group; AQE broadcasts it when small
     else:
         j = df.withColumns({"__lo": df.select(F.min(value)).scalar(), "__hi": df.select(F.max(value)).scalar()})
     width = (F.col("__hi") - F.col("__lo")) / bins

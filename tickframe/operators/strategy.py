@@ -5,9 +5,9 @@ Each is a sequential recurrence over one series, so it runs as
 ``groupBy(key).applyInPandas``: every key in parallel, one series per task.
 A series here is one row per key and trading day (bars), so a group is
 bounded by the calendar (about 250 rows per year), not by the raw data
-volume.  The pandas functions are vectorised where the recurrence allows
-(ABCD membership, EWMA via a loop-free prefix formula is not stable, so the
-recurrence is a tight loop over at most a few thousand floats).
+volume.  ABCD membership and the exponential smoothing are vectorised; the
+back-tests visit only the days with an order, the discounted sum every day.
+Keys and dates may be of any type; the results carry the input's types.
 """
 
 from __future__ import annotations
@@ -17,98 +17,85 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRADE_SCHEMA = ("{key} string, day long, Date date, action string, executed boolean, units double, "
-                "price double, cash double, inventory double, invest_pct double")
+TRADE_COLS = "action string, executed boolean, units double, price double, cash double, inventory double, invest_pct double"
+
+
+def _type(df: DataFrame, col: str) -> str:
+    return f"`{col}` {df.schema[col].dataType.simpleString()}"
 
 
 # ------------------------------------------------------------------ numpy kernels
 
+class Account:
+    """Cash and units of one back-test, and the log of its orders.
+
+    An order is recorded whether it could be carried out or not; a price that
+    is not a positive number carries out none."""
+
+    def __init__(self, price: np.ndarray, money: float, max_buy: float, max_sell: float):
+        self.price, self.cash, self.units = price, float(money), 0.0
+        self.limits = {"buy": max_buy, "sell": max_sell}
+        self.bought_at: float | None = None
+        self.log: list[tuple] = []
+
+    def order(self, day: int, action: str) -> None:
+        p = float(self.price[day])
+        most = 0.0
+        if p > 0 and np.isfinite(p):
+            most = self.cash // p if action == "buy" else self.units
+        done = most >= 1 if action == "buy" else most > 0
+        n = float(min(most, self.limits[action])) if done else 0.0
+        gain = None
+        if action == "buy":
+            self.cash, self.units, self.bought_at = self.cash - n * p, self.units + n, p
+        elif done:
+            self.cash, self.units = self.cash + n * p, self.units - n
+            if self.bought_at is None:
+                gain = 0.0
+            elif self.bought_at > 0:
+                gain = (p - self.bought_at) / self.bought_at * 100
+        self.log.append((int(day), action, bool(done), n, p, self.cash, self.units, gain))
+
+
 def signal_trades(price: np.ndarray, signal: np.ndarray, initial_money: float = 10000.0, max_buy: float = 1,
                   max_sell: float = 1, n_trade: int | None = None) -> list[tuple]:
-    """Sequential cash/inventory back-test on a +1 / −1 / 0 signal.
+    """Back-test on a +1 / −1 / 0 signal: one order on each signalled day.
 
     Buy: ``min(max_buy, cash // price)`` units when at least one is
-    affordable; the buy day is recorded even without cash.  Sell:
-    ``min(max_sell, inventory)``; the sell day is recorded even with an
-    empty inventory.  A sale's return is measured against the price of the
-    last recorded buy day.  Only the first ``n_trade`` days are traded."""
-    n = len(price) if n_trade is None else max(0, min(n_trade, len(price)))
-    cash, inv = float(initial_money), 0.0
-    last_buy = None
-    out = []
-    for i in range(n):
-        s, p = signal[i], float(price[i])
-        if s == 1:
-            shares = cash // p
-            done = shares >= 1
-            units = float(min(shares, max_buy)) if done else 0.0
-            if done:
-                cash -= units * p
-                inv += units
-            last_buy = i
-            out.append((i, "buy", bool(done), units, p, cash, inv, None))
-        elif s == -1:
-            done = inv > 0
-            units = float(min(inv, max_sell)) if done else 0.0
-            ret = None
-            if done:
-                inv -= units
-                cash += units * p
-                ret = (p - float(price[last_buy])) / float(price[last_buy]) * 100 if last_buy is not None else 0.0
-            out.append((i, "sell", bool(done), units, p, cash, inv, ret))
-    return out
+    affordable.  Sell: ``min(max_sell, inventory)``.  A sale's return is
+    measured against the price of the last recorded buy day.  Only the first
+    ``n_trade`` days are traded."""
+    signal = np.asarray(signal)[:n_trade if n_trade is None else max(0, n_trade)]
+    account = Account(price, initial_money, max_buy, max_sell)
+    for day in np.flatnonzero((signal == 1) | (signal == -1)):
+        account.order(day, "buy" if signal[day] == 1 else "sell")
+    return account.log
 
 
 def rolling_trades(price: np.ndarray, delay: int = 5, initial_state: int = 1, initial_money: float = 10000.0,
                    max_buy: float = 1, max_sell: float = 1) -> list[tuple]:
-    """Signal-free back-test: after ``delay`` further falling (rising) days
-    switch to buying (selling); buys on day 0 when starting in the buy state."""
-    cash, inv = float(initial_money), 0.0
-    out = []
-    last_buy = None
-
-    def buy(i):
-        nonlocal cash, inv
-        p = float(price[i])
-        shares = cash // p
-        done = shares >= 1
-        units = float(min(shares, max_buy)) if done else 0.0
-        if done:
-            cash -= units * p
-            inv += units
-        out.append((i, "buy", bool(done), units, p, cash, inv, None))
-
-    state, decision = initial_state, 0
-    if len(price) == 0:
-        return out
-    current = float(price[0])
-    if state == 1:
-        buy(0)
-        last_buy = 0
-    for i in range(1, len(price)):
-        p = float(price[i])
-        if p < current and state == 0:
-            if decision < delay:
-                decision += 1
-            else:
-                state, decision = 1, 0
-                buy(i)
-                last_buy = i
-        if p > current and state == 1:
-            if decision < delay:
-                decision += 1
-            else:
-                state, decision = 0, 0
-                done = inv > 0
-                units = float(min(inv, max_sell)) if done else 0.0
-                ret = None
-                if done:
-                    inv -= units
-                    cash += units * p
-                    ret = (p - float(price[last_buy])) / float(price[last_buy]) * 100 if last_buy is not None else 0.0
-                out.append((i, "sell", bool(done), units, p, cash, inv, ret))
-        current = p
-    return out
+    """Back-test without a signal: two states, buying and selling, and a switch
+    of state is an order.
+
+    Moves against the state (rises while buying, falls while selling) count
+    from the last switch on; the one after the first ``delay`` of them
+    switches.  Starting in the buying state is an order on day 0.  Days
+    between switches need no look: the next one is found in the sorted list
+    of rises or falls."""
+    price = np.asarray(price, float)
+    account = Account(price, initial_money, max_buy, max_sell)
+    step = np.diff(price)
+    against = {1: np.flatnonzero(step > 0) + 1, 0: np.flatnonzero(step < 0) + 1}
+    state, day = initial_state, 0
+    if len(price) and state == 1:
+        account.order(0, "buy")
+    while True:
+        moves = against[state]
+        k = np.searchsorted(moves, day, side="right") + delay
+        if k >= len(moves):
+            return account.log
+        day, state = int(moves[k]), 1 - state
+        account.order(day, "buy" if state == 1 else "sell")
 
 
 def _prefix_min(a: np.ndarray) -> np.ndarray:
@@ -173,13 +160,7 @@ def abcd_signal_array(ma: np.ndarray, skip: int = 4) -> np.ndarray:
 
 def ewma_array(x: np.ndarray, w: float) -> np.ndarray:
     """``y0 = x0``; ``y = y_prev·w + (1 − w)·x``."""
-    out = np.empty(len(x))
-    last = float(x[0]) if len(x) else 0.0
-    a = 1 - w
-    for i, v in enumerate(x):
-        last = last * w + a * float(v)
-        out[i] = last
-    return out
+    return pd.Series(np.asarray(x, float)).ewm(alpha=1 - w, adjust=False).mean().to_numpy()
 
 
 def discounted_array(r: np.ndarray, gamma: float) -> np.ndarray:
@@ -194,6 +175,10 @@ def discounted_array(r: np.ndarray, gamma: float) -> np.ndarray:
 
 # ------------------------------------------------------------------ Spark operators
 
+def _trade_schema(df: DataFrame, key: str, order: str) -> str:
+    return f"{_type(df, key)}, day long, Date {df.schema[order].dataType.simpleString()}, {TRADE_COLS}"
+
+
 def _trades_frame(key_val, dates, rows, key):
     cols = ["day", "action", "executed", "units", "price", "cash", "inventory", "invest_pct"]
     t = pd.DataFrame(rows, columns=cols)
@@ -214,7 +199,7 @@ def backtest(df: DataFrame, key: str, order: str, price: str, signal: str, initi
         rows = signal_trades(pdf[price].to_numpy(float), pdf[signal].to_numpy(float), initial_money, max_buy,
                              max_sell, n_trade)
         return _trades_frame(pdf[key].iloc[0], pdf[order].to_numpy(), rows, key)
-    return df.select(key, order, price, signal).groupBy(key).applyInPandas(run, TRADE_SCHEMA.format(key=key))
+    return df.select(key, order, price, signal).groupBy(key).applyInPandas(run, _trade_schema(df, key, order))
 
 
 def backtest_rolling(df: DataFrame, key: str, order: str, price: str, delay: int = 4, initial_state: int = 1,
@@ -224,7 +209,7 @@ def backtest_rolling(df: DataFrame, key: str, order: str, price: str, delay: int
         pdf = pdf.sort_values(order)
         rows = rolling_trades(pdf[price].to_numpy(float), delay, initial_state, initial_money, max_buy, max_sell)
         return _trades_frame(pdf[key].iloc[0], pdf[order].to_numpy(), rows, key)
-    return df.select(key, order, price).groupBy(key).applyInPandas(run, TRADE_SCHEMA.format(key=key))
+    return df.select(key, order, price).groupBy(key).applyInPandas(run, _trade_schema(df, key, order))
 
 
 def summarize(trades: DataFrame, keys: DataFrame, key: str, initial_money: float = 10000.0,
@@ -245,7 +230,7 @@ def summarize(trades: DataFrame, keys: DataFrame, key: str, initial_money: float
 def abcd_signal(df: DataFrame, key: str, order: str, ma_col: str, skip: int = 4) -> DataFrame:
     """ts.abcd_signal: +1 / −1 / 0 per row from the ABCD pattern on a moving
     average column (NaN / NULL where the average is not yet defined)."""
-    schema = f"{key} string, {order} date, signal double"
+    schema = f"{_type(df, key)}, {_type(df, order)}, signal double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
@@ -257,7 +242,7 @@ def abcd_signal(df: DataFrame, key: str, order: str, ma_col: str, skip: int = 4)
 
 def ewma(df: DataFrame, key: str, order: str, value: str, w: float, out: str = "ewma") -> DataFrame:
     """ts.ewma: exponential smoothing ``y = y_prev·w + (1 − w)·x``, y0 = x0."""
-    schema = f"{key} string, {order} date, {out} double"
+    schema = f"{_type(df, key)}, {_type(df, order)}, {out} double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
@@ -268,7 +253,7 @@ def ewma(df: DataFrame, key: str, order: str, value: str, w: float, out: str = "
 
 def discounted_sum(df: DataFrame, key: str, order: str, value: str, gamma: float, out: str = "discounted") -> DataFrame:
     """ts.discounted_sum: ``R_t = r_t + γ·R_{t+1}``, computed backwards."""
-    schema = f"{key} string, {order} date, {out} double"
+    schema = f"{_type(df, key)}, {_type(df, order)}, {out} double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
@@ -278,27 +263,28 @@ def discounted_sum(df: DataFrame, key: str, order: str, value: str, gamma: float
 
 
 def sweep(df: DataFrame, params: list[dict], key: str, order: str, price: str,
-          initial_state: int = 1, max_buy: float = 1, max_sell: float = 1) -> DataFrame:
+          initial_state: int = 1, max_buy: float = 1, max_sell: float = 1, block: int = 16) -> DataFrame:
     """ts.param_sweep: the delay back-test for every key and every parameter
     set (``param_id``, ``delay``, ``initial_money``).
 
-    The parameter grid is a short list shipped with the function; each
-    key's task runs all sets over its series, so the series is read once
-    and never replicated.  Result: one row per (key, set) with its gain and
-    its rank within the key."""
+    A task has one key and one block of the grid: the bars of a key go out
+    once per ``block`` sets, so a long grid spreads over tasks.  Result: one
+    row per (key, set) with its gain and its rank within the key."""
     grid = [(int(p["param_id"]), int(p["delay"]), float(p["initial_money"])) for p in params]
-    schema = f"{key} string, param_id long, delay int, initial_money double, n_trades long, total_gains double"
+    blocks = [grid[k:k + block] for k in range(0, len(grid), block)]
+    schema = f"{_type(df, key)}, param_id long, delay int, initial_money double, n_trades long, total_gains double"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         x = pdf[price].to_numpy(float)
         out = []
-        for pid, d, m in grid:
+        for pid, d, m in blocks[int(pdf["__block"].iloc[0])]:
             rows = rolling_trades(x, d, initial_state, m, max_buy, max_sell)
             final = rows[-1][5] if rows else m
             out.append((pdf[key].iloc[0], pid, d, m, len(rows), final - m))
         return pd.DataFrame(out, columns=[key, "param_id", "delay", "initial_money", "n_trades", "total_gains"])
-    res = df.select(key, order, price).groupBy(key).applyInPandas(run, schema)
+    spread = df.select(key, order, price).withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(len(blocks) - 1))))
+    res = spread.groupBy(key, "__block").applyInPandas(run, schema)
     from pyspark.sql import Window
     w = Window.partitionBy(key).orderBy(F.col("total_gains").desc(), "param_id")
     return res.withColumn("rank", F.row_number().over(w))

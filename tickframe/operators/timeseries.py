@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators.relational import null_safe_join
 from tickframe.operators import clean, windows
 
 PRICE_COLS = ["Name", "Date", "Open", "Close", "Low", "High", "AdjClose", "Volume",
@@ -86,16 +87,24 @@ def latest_snapshot(df: DataFrame, date_col: str = "record_ingestion_date") -> D
 
 
 def increment_prices(raw_day: DataFrame, stored: DataFrame, run_date) -> DataFrame:
-    """ts.pipeline_daily: new day ∪ latest stored snapshot → lag/change →
-    keep only the new rows, stamped with ``run_date``.
-
-    New rows are tagged instead of being told apart by their ingestion date,
-    so a same-day rerun keeps its rows."""
-    new = clean_prices(raw_day, run_date).withColumn("__new", F.lit(True))
-    snap = latest_snapshot(stored).select(*PRICE_COLS).withColumn("__new", F.lit(False))
-    merged = new.unionByName(snap)
-    out = windows.lag_change(merged).filter("__new").drop("__new")
-    return out.withColumn("record_ingestion_date", F.lit(_as_date(run_date)))
+    """ts.pipeline_daily: the rows of ``raw_day`` with their changes, stamped
+    with ``run_date``, and the stored rows whose change they alter.
+
+    Per symbol, what counts as history is its last stored row before its first
+    new day, so a rerun doesn't take its own rows for history and a symbol
+    missing from the last snapshot has one.  Stored rows from that day on that
+    the new rows don't replace are computed again (a late file changes the
+    day after it) and keep their own ingestion date."""
+    new = clean_prices(raw_day, run_date)
+    first = new.groupBy("Name").agg(F.min("Date").alias("__first"))
+    touched = null_safe_join(stored.select(*PRICE_COLS), first, "Name")
+    before = F.col("Date") < F.col("__first")
+    last = touched.filter(before).groupBy("Name").agg(F.max_by(F.struct(*PRICE_COLS), "Date").alias("r")).select("r.*")
+    later = null_safe_join(touched.filter(~before).select(*PRICE_COLS), new.select("Name", "Date"), ["Name", "Date"], "left_anti")
+    tag = "__written"
+    merged = (new.unionByName(later).withColumn(tag, F.lit(True))
+                 .unionByName(last.withColumn(tag, F.lit(False))))
+    return windows.lag_change(merged).filter(tag).drop(tag)
 
 
 def _as_date(d):
@@ -111,7 +120,7 @@ def densify(df: DataFrame, key: str, date: str, values: Sequence[str]) -> DataFr
     to last day; missing days carry the last known values forward."""
     span = df.groupBy(key).agg(F.min(date).alias("__lo"), F.max(date).alias("__hi"))
     grid = span.select(key, F.explode(F.sequence("__lo", "__hi")).alias(date))
-    j = grid.join(df.select(key, date, *values), [key, date], "left")
+    j = null_safe_join(grid, df.select(key, date, *values), [key, date], "left")
     w = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
     return j.select(key, date, *[F.last(v, ignorenulls=True).over(w).alias(v) for v in values])
 
@@ -143,7 +152,7 @@ def _mean_last_n(d: DataFrame, key: str, value: str, n_col: str, out: str) -> Da
     w = Window.partitionBy(key).orderBy("__rn").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("__cs", F.sum(value).over(w))
     back = d.select(F.col(key).alias("__k"), F.col("__rn").alias("__rb"), F.col("__cs").alias("__csb"))
-    j = d.join(back, (F.col(key) == F.col("__k")) & (F.col("__rb") == F.col("__rn") - F.col(n_col)), "left")
+    j = d.join(back, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__rb") == F.col("__rn") - F.col(n_col)), "left")
     cnt = F.least(F.col(n_col), F.col("__rn"))
     total = (F.col("__cs") - F.coalesce("__csb", F.lit(0))).cast("double")
     return j.withColumn(out, total / cnt).drop("__k", "__rb", "__csb", "__cs")
@@ -186,15 +195,15 @@ def breakout_signal(df: DataFrame, key: str, order: str, price: str, frac: float
     d = d.withColumn("__pmax1", F.lag("__pmax").over(w)).withColumn("__pmin1", F.lag("__pmin").over(w))
     back = d.select(F.col(key).alias("__k"), F.col("__rn").alias("__rb"),
                     F.col("__smax").alias("__smaxb"), F.col("__smin").alias("__sminb"))
-    j = d.join(back, (F.col(key) == F.col("__k")) & (F.col("__rb") == F.col("__rn") - F.col("__win")), "left")
-    j = j.withColumn("RollingMax", F.greatest("__smaxb", "__pmax1")).withColumn(
-        "RollingMin", F.least("__sminb", "__pmin1"))
+    j = d.join(back, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__rb") == F.col("__rn") - F.col("__win")), "left")
+    j = j.withColumn("prior_max", F.greatest("__smaxb", "__pmax1")).withColumn(
+        "prior_min", F.least("__sminb", "__pmin1"))
     # greatest/least skip NULLs: require the full frame (row number > n)
     full = F.col("__rn") > F.col("__win")
-    j = j.withColumn("RollingMax", F.when(full, F.col("RollingMax"))).withColumn(
-        "RollingMin", F.when(full, F.col("RollingMin")))
-    sig = (F.when(F.col("RollingMin") > F.col(price), 1.0)
-            .when(F.col("RollingMax") < F.col(price), -1.0).otherwise(0.0))
+    j = j.withColumn("prior_max", F.when(full, F.col("prior_max"))).withColumn(
+        "prior_min", F.when(full, F.col("prior_min")))
+    sig = (F.when(F.col("prior_min") > F.col(price), 1.0)
+            .when(F.col("prior_max") < F.col(price), -1.0).otherwise(0.0))
     return j.withColumn("signal", sig).drop(*[c for c in j.columns if c.startswith("__")])
 
 
@@ -210,14 +219,14 @@ def minmax(df: DataFrame, key: str, value: str, out: str = "scaled") -> DataFram
     """ts.minmax_scale: (x − min)/(max − min) per series; min and max come from
     a partial aggregate joined back (no window holding a whole key)."""
     mm = df.groupBy(key).agg(F.min(value).alias("__mn"), F.max(value).alias("__mx"))
-    j = df.join(mm, key)
+    j = null_safe_join(df, mm, key)
     return j.withColumn(out, F.try_divide(F.col(value) - F.col("__mn"), F.col("__mx") - F.col("__mn"))) \
             .drop("__mn", "__mx")
 
 
 def minmax_inverse(scaled: DataFrame, ranges: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Inverse of ``minmax`` with the per-key (min, max) table ``ranges``."""
-    j = scaled.join(ranges, key)
+    j = null_safe_join(scaled, ranges, key)
     return j.withColumn(out, F.col(value) * (F.col("max") - F.col("min")) + F.col("min"))
 
 
@@ -240,4 +249,4 @@ def accept_forecasts(runs: DataFrame, prices_df: DataFrame, key: str, order: str
     held = runs.withColumn("__rb", F.row_number().over(w)).filter(F.col("__rb") <= holdout)
     rng = prices_df.groupBy(key).agg(F.min(price).alias("__lo"), F.max(price).alias("__hi"))
     ok = (F.col(value) >= F.col("__lo")) & (F.col(value) <= 2 * F.col("__hi"))
-    return held.join(rng, key).groupBy(key, run).agg(F.bool_and(ok).alias("accepted"))
+    return null_safe_join(held, rng, key).groupBy(key, run).agg(F.bool_and(ok).alias("accepted"))

@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators.relational import null_safe_join
+
 
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -59,7 +61,7 @@ def lag_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
              .agg(F.max_by(packed, F.struct(*[F.col(o) for o in order])).alias("__tail")))
     w_b = Window.partitionBy(*keys).orderBy(b)
     edges = tails.select(*keys, b, F.lag("__tail").over(w_b).alias("__prev_tail"))
-    j = d.join(edges, on=[*keys, b], how="left")
+    j = null_safe_join(d, edges, [*keys, b], "left")
     prev = F.coalesce(F.col("__prev_in"), F.col("__prev_tail"))
     j = j.select("*", *[prev[v].alias(prefix + v) for v in values])
     return j.drop("__prev_in", "__prev_tail", b)

@@ -106,8 +106,8 @@ WITH lines AS (SELECT l_partkey, l_returnflag, {NET} AS profit FROM lineitem JOI
 base AS (SELECT 0.9 * {DAVG('profit')} AS lim FROM lines WHERE l_returnflag = 'R'),
 v AS (SELECT l_partkey AS item, {DAVG('profit')} AS score FROM lines GROUP BY 1
       HAVING {DAVG('profit')} > (SELECT lim FROM base)),
-a AS (SELECT item, row_number() OVER (ORDER BY score ASC, item ASC) AS rnk FROM v),
-b AS (SELECT item, row_number() OVER (ORDER BY score DESC, item DESC) AS rnk FROM v)
+a AS (SELECT item, rank() OVER (ORDER BY score ASC) AS rnk FROM v),
+b AS (SELECT item, rank() OVER (ORDER BY score DESC) AS rnk FROM v)
 SELECT a.rnk, p1.p_name AS best_performing, p2.p_name AS worst_performing
 FROM a JOIN b ON a.rnk = b.rnk JOIN part p1 ON p1.p_partkey = a.item JOIN part p2 ON p2.p_partkey = b.item
 WHERE a.rnk < 11 ORDER BY a.rnk LIMIT 100"""

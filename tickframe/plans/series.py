@@ -80,12 +80,12 @@ k AS (SELECT *, CAST(ceil(N * 0.1::DOUBLE) AS BIGINT) AS win FROM s),
 r AS (SELECT k.Name, k.Date, k.Close, k.rn, k.win, max(p.Close) AS mx, min(p.Close) AS mn, count(p.Close) AS c
       FROM k LEFT JOIN s p ON p.Name = k.Name AND p.rn BETWEEN k.rn - k.win AND k.rn - 1
       GROUP BY k.Name, k.Date, k.Close, k.rn, k.win)
-SELECT Name, CAST(Date AS VARCHAR) AS Date, CASE WHEN c = win THEN mx END AS RollingMax,
-       CASE WHEN c = win THEN mn END AS RollingMin,
+SELECT Name, CAST(Date AS VARCHAR) AS Date, CASE WHEN c = win THEN mx END AS prior_max,
+       CASE WHEN c = win THEN mn END AS prior_min,
        CASE WHEN c = win AND mn > Close THEN 1.0 WHEN c = win AND mx < Close THEN -1.0 ELSE 0.0 END AS signal FROM r""")
 def ts_breakout_signal(spark, d):
     out = ts.breakout_signal(prices(spark, d), "Name", "Date", "Close", 0.1)
-    return out.select("Name", "Date", "RollingMax", "RollingMin", "signal")
+    return out.select("Name", "Date", "prior_max", "prior_min", "signal")
 
 
 # The smoothing weights of the forecast notebooks.

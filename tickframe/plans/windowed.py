@@ -67,8 +67,8 @@ def win_top_n(spark, d):
 
 @register("win.best_worst", f"""
 WITH s AS (SELECT l_partkey AS item, CAST(sum({NET}) AS DOUBLE) / count(*) AS score FROM lineitem GROUP BY 1),
-a AS (SELECT item AS best_item, score AS best_score, row_number() OVER (ORDER BY score ASC, item ASC) AS rnk FROM s),
-b AS (SELECT item AS worst_item, score AS worst_score, row_number() OVER (ORDER BY score DESC, item DESC) AS rnk FROM s)
+a AS (SELECT item AS best_item, score AS best_score, rank() OVER (ORDER BY score ASC) AS rnk FROM s),
+b AS (SELECT item AS worst_item, score AS worst_score, rank() OVER (ORDER BY score DESC) AS rnk FROM s)
 SELECT a.rnk, best_item, best_score, worst_item, worst_score FROM a JOIN b ON a.rnk = b.rnk WHERE a.rnk <= 10""")
 def win_best_worst(spark, d):
     s = T(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("item")).agg(

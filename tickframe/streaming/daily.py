@@ -1,13 +1,17 @@
 """The daily price increment as a Structured Streaming job.
 
-New raw day files land in a folder; ``readStream`` picks them up,
-``foreachBatch`` runs the batch operator ``increment_prices`` against the
-latest stored snapshot and writes the batch's day partition.  With
-``trigger(availableNow=True)`` the job processes everything that has arrived
-and stops, so it can run on a schedule; the checkpoint (on shared storage)
-records which files were done, so a restarted or re-run job neither skips
-nor repeats a file.  No custom state store is needed: the state is the
-stored table itself.
+New raw files land in a folder; ``readStream`` picks them up and
+``foreachBatch`` merges each batch into the stored table with
+``increment_prices``.  With ``trigger(availableNow=True)`` the job processes
+everything that has arrived and stops, so it can run on a schedule; the
+checkpoint (on shared storage) records which files were done.  No custom
+state store is needed: the state is the stored table itself.
+
+The table is partitioned by the month of each row's own day.  A batch reads
+the months it touches, puts its rows in place of those with the same (Name,
+Date), and overwrites these months.  So several files of one day, late files
+and a batch that is replayed after a crash all end in the table that one
+batch run over all files would give.
 """
 
 from __future__ import annotations
@@ -17,16 +21,43 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickframe.operators import timeseries as ts
+from tickframe.operators.relational import null_safe_join
 from tickframe.sources import sinks
 
+MONTH = "market_month"
+
+
+def with_month(prices: DataFrame) -> DataFrame:
+    return prices.withColumn(MONTH, F.trunc("Date", "MM"))
+
+
+def store_prices(prices: DataFrame, table_path: str) -> None:
+    """Write whole months of prices."""
+    sinks.write_partition(with_month(prices), table_path, date_col=MONTH)
+
+
+def merge_prices(batch: DataFrame, table_path: str, run_date, staged: str) -> None:
+    """Merge raw rows into the stored table; doing it again changes nothing."""
+    spark = batch.sparkSession
+    if not sinks.list_partitions(spark, table_path, MONTH):
+        store_prices(ts.build_prices(batch, run_date), table_path)
+        return
+    stored = spark.read.parquet(table_path)
+    rows = with_month(ts.increment_prices(batch, stored, run_date))
+    others = stored.join(rows.select(MONTH).distinct(), MONTH, "left_semi")
+    others = null_safe_join(others, rows.select("Name", "Date"), ["Name", "Date"], "left_anti")
+    # materialise before writing into the table that was read
+    rows.unionByName(others).write.mode("overwrite").parquet(staged)
+    sinks.write_partition(spark.read.parquet(staged), table_path, date_col=MONTH)
+
 
 def run_daily_stream(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
                      raw_schema: StructType | str, files_per_batch: int = 1,
-                     date_col: str = "Date") -> None:
-    """Process every raw file in ``source_dir`` not yet in ``checkpoint``.
+                     date_col: str = "Date", keep_days: int | None = None) -> None:
+    """Merge every raw file in ``source_dir`` not yet in ``checkpoint`` into ``table_path``.
 
-    Each micro-batch is stamped with its own last market day as the run date
-    and written as that day's partition of ``table_path``."""
+    Each micro-batch is stamped with its own last market day as the run date;
+    with ``keep_days``, months that began longer before it are dropped."""
     stream = (spark.readStream.schema(raw_schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source_dir))
 
@@ -34,12 +65,9 @@ def run_daily_stream(spark: SparkSession, source_dir: str, table_path: str, chec
         run_date = batch.select(F.max(date_col)).first()[0]  # one scalar per micro-batch
         if run_date is None:
             return
-        stored = spark.read.parquet(table_path)
-        inc = ts.increment_prices(batch, stored, run_date)
-        # materialise before writing into the table the increment read from
-        staged = f"{checkpoint.rstrip('/')}/staged/epoch={epoch_id}"
-        inc.write.mode("overwrite").parquet(staged)
-        sinks.write_partition(spark.read.parquet(staged), table_path)
+        merge_prices(batch, table_path, run_date, f"{checkpoint.rstrip('/')}/staged/epoch={epoch_id}")
+        if keep_days is not None:
+            sinks.expire_partitions(spark, table_path, run_date, keep_days, date_col=MONTH)
 
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoint.rstrip('/')}/stream")
          .trigger(availableNow=True).start())
