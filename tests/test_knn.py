@@ -13,7 +13,7 @@ def test_knn_novelty_chunked_equals_brute_force(spark):
     e = table(spark, SF_SMALL, "embeddings")
     refs = {"backlog": e.filter(F.col("label") < 5), "population": e.filter(F.col("label") >= 5)}
     got = {r["vec_id"]: r["novelty"] for r in knn.knn_novelty(e, refs, "vec_id", "embedding", k=4,
-                                                                max_chunk_rows=40).collect()}
+                                                                block=40).collect()}
     pdf = e.toPandas()
     X = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
     lab = pdf["label"].to_numpy()
@@ -25,8 +25,11 @@ def test_knn_novelty_chunked_equals_brute_force(spark):
         assert abs(got[vid] - score) < 1e-9
 
 
-def test_bounded_chunks_respect_limit(spark):
-    e = table(spark, SF_SMALL, "embeddings")
-    chunks = knn._bounded_chunks(e, "vec_id", "embedding", 30)
-    sizes = [c.count() for c in chunks]
-    assert max(sizes) <= 30 and sum(sizes) == e.count()
+def test_near_equal_and_distant_vectors(spark):
+    """A far offset must not drown the differences; more blocks than one merge takes."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(80, 16)) + 1e8
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = {r["id"]: r["novelty"] for r in knn.knn_novelty(df, {"all": df}, "id", "v", k=4, block=2).collect()}
+    for i in range(len(x)):
+        assert abs(got[i] - np.sort(np.sqrt(((x - x[i]) ** 2).sum(1)))[:4].mean()) < 1e-7

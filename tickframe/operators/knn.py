@@ -1,12 +1,12 @@
 """ts.knn_novelty: mean Euclidean distance to the k nearest reference vectors.
 
-Exact search without materialising query × reference pairs: the reference
-set is cut into chunks of at most ``max_chunk_rows`` vectors (a checked
-size); each chunk is broadcast once and every query partition keeps only
-its k best candidates per chunk (a vectorised distance matrix per Arrow
-batch).  The per-chunk candidates — k per query and chunk — are merged by a
-grouped aggregate.  The number of chunks grows with the reference set, the
-work per chunk with the query set; no task ever holds more than one chunk.
+Exact search as a block join: queries and references are cut into blocks by
+a hash of their rows, and each pair of blocks is one grouped task that
+computes its distances directly and keeps the k least of each query.  These
+lists are merged in stages of ``FAN`` blocks, so no task holds more than
+``FAN * k`` distances of a query.  Nothing passes through the driver but the
+row counts.  The work is |queries| * |references| by definition; a block's
+rows are bounded, its number of copies grows with the other side's blocks.
 """
 
 from __future__ import annotations
@@ -16,77 +16,64 @@ from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of a block, and lists merged at a time.
+BLOCK, FAN = 4096, 32
 
-def _partial_topk(ref: np.ndarray, id_col: str, vec_col: str, k: int, tag: str):
-    ref_sq = (ref * ref).sum(axis=1)
-    kk = min(k, len(ref))
 
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            q = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            # candidate selection with the Gram form, then exact distances for the few kept
-            d2 = (q * q).sum(axis=1)[:, None] + ref_sq[None, :] - 2.0 * (q @ ref.T)
-            keep = min(len(ref), 2 * kk)
-            cand = np.argpartition(d2, keep - 1, axis=1)[:, :keep] if keep < len(ref) else \
-                np.tile(np.arange(len(ref)), (len(q), 1))
-            diff = q[:, None, :] - ref[cand]
-            exact = np.sqrt((diff * diff).sum(axis=2))
-            exact.sort(axis=1)
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(), "ref_set": tag,
-                                "dists": list(exact[:, :kk])})
-    return run
+def _least(q: np.ndarray, ref: np.ndarray, k: int) -> np.ndarray:
+    """The k least distances of each query, from differences, so that vectors far from the origin lose no digits."""
+    k = min(k, len(ref))
+    out = np.empty((len(q), k))
+    for i, x in enumerate(q):
+        d = ref - x
+        out[i] = np.sort(np.partition(np.einsum("ij,ij->i", d, d), k - 1)[:k])
+    return np.sqrt(out)
 
 
-def _bounded_chunks(ref_df: DataFrame, id_col: str, vec_col: str, max_rows: int, seed: int = 0,
-                    pred=None) -> list[DataFrame]:
-    """Split ``ref_df`` by hashing ``id_col`` into chunks of at most
-    ``max_rows`` rows: every chunk's size is counted (one small aggregate)
-    and a chunk over the limit is split again with another hash seed."""
-    base = ref_df if pred is None else ref_df.filter(pred)
-    n = base.count()
-    if n == 0:
-        return []
-    parts = max(1, math.ceil(n / (0.8 * max_rows)))
-    h = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(parts))
-    sizes = {r[0]: r[1] for r in base.groupBy(h.alias("c")).count().collect()}  # at most `parts` rows
-    out = []
-    for c, size in sorted(sizes.items()):
-        cond = h == c if pred is None else (pred & (h == c))
-        if size <= max_rows:
-            out.append(ref_df.filter(cond).select(vec_col))
-        else:
-            out.extend(_bounded_chunks(ref_df, id_col, vec_col, max_rows, seed + 1, cond))
-    return out
+def _blocks(df: DataFrame, block: int) -> int:
+    return max(1, math.ceil(df.count() / block))
+
+
+def _merged(cand: DataFrame, by: list[str | Column], k: int) -> DataFrame:
+    return cand.groupBy(*by).agg(F.slice(F.array_sort(F.flatten(F.collect_list("dists"))), 1, k).alias("dists"))
 
 
 def knn_novelty(queries: DataFrame, refs: Mapping[str, DataFrame], id_col: str, vec_col: str, k: int = 4,
-                max_chunk_rows: int = 50_000) -> DataFrame:
+                block: int = BLOCK) -> DataFrame:
     """For every query vector: Σ over reference sets of the mean distance to
     its k nearest vectors in that set (a set with no rows adds 0)."""
     id_type = dict(queries.dtypes)[id_col]
-    schema = f"{id_col} {id_type}, ref_set string, dists array<double>"
-    q = queries.select(id_col, vec_col)
-    parts = []
-    for tag, ref_df in refs.items():
-        for chunk in _bounded_chunks(ref_df, id_col, vec_col, max_chunk_rows):
-            # one chunk of checked size goes to every task
-            ref = np.stack(chunk.toPandas()[vec_col].to_numpy()).astype(np.float64)
-            parts.append(q.mapInPandas(_partial_topk(ref, id_col, vec_col, k, tag), schema))
-    if not parts:
+    q = queries.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    n_q = _blocks(q, block)
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"id": left["id"].iloc[:0], "rb": pd.Series([], dtype="int32"), "dists": pd.Series([], dtype=object)})
+        x, y = (np.stack(t["v"].to_numpy()).astype(np.float64) for t in (left, right))
+        return pd.DataFrame({"id": left["id"], "rb": int(right["rb"].iloc[0]), "dists": list(_least(x, y, k))})
+
+    sets = []
+    for tag, ref in refs.items():
+        r = ref.select(F.col(vec_col).alias("v"))
+        n_r = _blocks(r, block)
+        left = (q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)))
+                 .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(n_r - 1)))))
+        right = (r.withColumn("rb", F.pmod(F.xxhash64("v", F.monotonically_increasing_id()), F.lit(n_r)).cast("int"))
+                  .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))).withColumn("qb", F.col("qb").cast("long")))
+        cand = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInPandas(
+            compare, f"id {id_type}, rb int, dists array<double>")
+        while n_r > FAN:
+            cand = _merged(cand, ["id", F.floor(F.col("rb") / FAN).cast("int").alias("rb")], k)
+            n_r = math.ceil(n_r / FAN)
+        mean = F.aggregate("dists", F.lit(0.0), lambda a, x: a + x) / F.size("dists")
+        sets.append(_merged(cand, ["id"], k).select("id", mean.alias("m")))
+    if not sets:
         return queries.select(id_col, F.lit(0.0).alias("novelty"))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # merge: at most k candidates per (query, set, chunk) → the k smallest per (query, set)
-    per_set = (cand.select(id_col, "ref_set", F.explode("dists").alias("d"))
-               .groupBy(id_col, "ref_set")
-               .agg(F.slice(F.array_sort(F.collect_list("d")), 1, k).alias("best")))
-    per_set = per_set.select(id_col, F.aggregate("best", F.lit(0.0), lambda a, x: a + x).alias("s"),
-                             F.size("best").alias("n"))
-    score = per_set.groupBy(id_col).agg(F.sum(F.col("s") / F.col("n")).alias("novelty"))
+    every = sets[0]
+    for s in sets[1:]:
+        every = every.unionByName(s)
+    score = every.groupBy(F.col("id").alias(id_col)).agg(F.sum("m").alias("novelty"))
     return queries.select(id_col).join(score, id_col, "left").fillna({"novelty": 0.0})

@@ -31,13 +31,13 @@ from tickframe.session import ensure_checkpoint_dir
 
 
 def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float],
-                      buckets: int = 1024, final_rows: int = 200_000, max_rounds: int = 5) -> DataFrame:
+                      buckets: int = 1024, final_rows: int = 200_000) -> DataFrame:
     """One row per group and quantile: ``by…, q, value`` (NaN / NULL ignored)."""
     by = list(by)
     if by and by != ["__group"]:
         # the whole key as one struct, which is never NULL, so groups with NULL keys join like any other
         packed = df.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in by]).alias("__group"), F.col(f"`{value}`").alias("__value"))
-        out = exact_percentiles(packed, ["__group"], "__value", qs, buckets, final_rows, max_rounds)
+        out = exact_percentiles(packed, ["__group"], "__value", qs, buckets, final_rows)
         return out.select("__group.*", "q", F.col("__value").alias(value))
     ensure_checkpoint_dir(df.sparkSession)
     x = df.select(*by, F.col(value).cast("double").alias("__v")).filter(
@@ -56,14 +56,16 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence
                          F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__cnt"))
     rows = x.withColumn("__node", F.lit(0).cast("long"))
     targets = ranks.join(nodes.select(*by, "__node"), by)  # rank → node holding it
-    for _ in range(max_rounds):
+    while True:  # a round splits every open node, as its least and largest value differ
         open_nodes = nodes.filter((F.col("__cnt") > final_rows) & (F.col("__hi") > F.col("__lo")))
         if open_nodes.limit(1).count() == 0:
             break
         # bucket every row of an open node (a row is in one node: no duplication)
         r = rows.join(open_nodes.select(*by, "__node", "__lo", "__hi"), [*by, "__node"])
         width = (F.col("__hi") - F.col("__lo")) / buckets
-        b = F.least(F.floor((F.col("__v") - F.col("__lo")) / width), F.lit(buckets - 1)).cast("long")
+        # a range too narrow to divide has two values: the least, and what lies above
+        b = F.when(width > 0, F.least(F.floor((F.col("__v") - F.col("__lo")) / width), F.lit(buckets - 1)).cast("long")).otherwise(
+            (F.col("__v") > F.col("__lo")).cast("long"))
         r = r.withColumn("__b", b)
         hist = r.groupBy(*by, "__node", "__b").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__blo"),
                                                    F.max("__v").alias("__bhi"))
@@ -74,20 +76,20 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence
         hit = (targets.join(hist, [*by, "__node"])
                       .filter((F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__c"))))
         child = (hit.select(*by, "__node", "__b", "__blo", "__bhi", "__start", "__c").distinct()
-                    .withColumn("__child", F.col("__node") * buckets + F.col("__b") + 1))
+                    .withColumn("__child", F.xxhash64("__node", "__b")))
         new_nodes = child.select(*by, F.col("__child").alias("__node"), F.col("__blo").alias("__lo"),
                                  F.col("__bhi").alias("__hi"), F.col("__start").alias("__below"),
                                  F.col("__c").alias("__cnt"))
         closed = nodes.join(open_nodes.select(*by, "__node"), [*by, "__node"], "left_anti")
         # the node and target tables are small: cut their lineage in the shared checkpoint folder
         targets = (targets.join(hit.select(*by, "__r", "__node", "__b"), [*by, "__r", "__node"], "left")
-                          .select(*by, "__r", F.when(F.col("__b").isNotNull(), F.col("__node") * buckets + F.col("__b") + 1)
+                          .select(*by, "__r", F.when(F.col("__b").isNotNull(), F.xxhash64("__node", "__b"))
                                   .otherwise(F.col("__node")).alias("__node"))).checkpoint(eager=True)
         nodes = closed.unionByName(new_nodes).checkpoint(eager=True)
         kept = child.select(*by, "__node", "__b", "__child")
         moved = r.join(kept, [*by, "__node", "__b"]).select(*by, "__v", F.col("__child").alias("__node"))
         stay = rows.join(open_nodes.select(*by, "__node"), [*by, "__node"], "left_anti")
-        rows = stay.unionByName(moved)
+        rows = stay.unionByName(moved).checkpoint(eager=True)
 
     # resolve each target inside its (small or single-valued) node
     t = targets.join(nodes, [*by, "__node"])

@@ -64,22 +64,17 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
              .drop("lo", "hi"))
 
 
-def corr_matrix(df: DataFrame, key: str, date: str, value: str, keys: Sequence[str]) -> DataFrame:
+def corr_matrix(df: DataFrame, key: str, date: str, value: str) -> DataFrame:
     """agg.corr_matrix: Pearson correlation of ``value`` between every pair of
-    the given ``keys`` (a ≤ b), each pair over the dates where both exist.
-
-    Wide form (one column per key, one row per date), then one pass of
-    ``corr`` aggregates — no pair rows are materialised.  ``keys`` is the
-    explicit symbol list the report plots (pivot values are passed, never
-    collected), so the number of aggregate expressions is bounded by it."""
-    keys = list(keys)
-    wide = df.groupBy(date).pivot(key, keys).agg(F.first(value))
-    aggs = [F.corr(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(f"{a}|{b}")
-            for i, a in enumerate(keys) for b in keys[i:]]
-    one = wide.agg(*aggs)
-    pairs = [(a, b) for i, a in enumerate(keys) for b in keys[i:]]
-    stack = ", ".join(f"'{a}', '{b}', `{a}|{b}`" for a, b in pairs)
-    return one.selectExpr(f"stack({len(pairs)}, {stack}) AS (a, b, corr)")
+    keys (a ≤ b), each pair over the dates where both exist.
+
+    A pair's rows meet by date and go straight into a partial ``corr``
+    aggregate; the result has one row per pair, so it grows with the square
+    of the keys by nature, and no list of keys or wide plan is needed."""
+    s = df.select(F.col(key).alias("a"), F.col(date).alias("__d"), F.col(value).alias("__x"))
+    t = df.select(F.col(key).alias("b"), F.col(date).alias("__e"), F.col(value).alias("__y"))
+    pairs = s.join(t, (F.col("__d") == F.col("__e")) & (F.col("a") <= F.col("b")))
+    return pairs.groupBy("a", "b").agg(F.corr("__x", "__y").alias("corr"))
 
 
 def var_hist(returns: DataFrame, key: str, ret: str, q: float = 0.05) -> DataFrame:

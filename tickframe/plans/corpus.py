@@ -43,7 +43,7 @@ WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND l_partkey = p_partke
 GROUP BY p_name ORDER BY p_name LIMIT 100""")
 def corpus_q7(spark, d):
     li, o, c, p = (T(spark, d, x) for x in ("lineitem", "orders", "customer", "part"))
-    o = o.filter((F.year("o_orderdate") == 1998)
+    o = o.filter((F.col("o_orderdate") >= F.lit("1998-01-01").cast("date")) & (F.col("o_orderdate") < F.lit("1999-01-01").cast("date"))
                  & ((F.col("o_orderpriority") == "1-URGENT") | (F.col("o_orderstatus") == "F")))
     c = c.filter(F.col("c_mktsegment") == "AUTOMOBILE")
     j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)

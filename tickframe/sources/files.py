@@ -71,4 +71,4 @@ def read_symbols(spark: SparkSession, root: str, symbols: DataFrame, key: str =
     partition pruning skips the other symbols' files).  Listed symbols with
     no files are simply absent, as failed downloads are skipped upstream."""
     df = spark.read.option("ignoreMissingFiles", True).parquet(root)
-    return df.join(F.broadcast(symbols), key, "left_semi")
+    return df.join(symbols, key, "left_semi")  # adaptive execution broadcasts a short list

@@ -28,12 +28,10 @@ def profile_tables(tables: Mapping[str, DataFrame], approx_distinct: bool = True
         long = one.selectExpr(f"'{name}' AS table_name", "`__rows` AS n_rows", f"{len(cols)} AS n_columns",
                               f"stack({len(cols)}, {stack}) AS (column_name, position, n_nulls, approx_distinct)")
         parts.append(long)
-        # file statistics from the metadata columns only (no data column is decoded)
-        per_file = (df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"),
-                              F.col("_metadata.file_modification_time").alias("m"))
-                      .groupBy("f").agg(F.max("s").alias("s"), F.max("m").alias("m")))
-        file_parts.append(per_file.agg(F.round(F.sum("s") / F.pow(F.lit(10), F.lit(9)), 2).alias("size_gb"),
-                                       F.max("m").alias("last_modified"))
+        # file statistics from the listing: no row is read
+        listing = df.sparkSession.read.format("binaryFile").load(df.inputFiles()).select("length", "modificationTime")
+        file_parts.append(listing.agg(F.round(F.sum("length") / F.pow(F.lit(10), F.lit(9)), 2).alias("size_gb"),
+                                      F.max("modificationTime").alias("last_modified"))
                           .withColumn("table_name", F.lit(name)))
     out, files = parts[0], file_parts[0]
     for p in parts[1:]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +72,14 @@ def expire_partitions(spark: SparkSession, path: str, as_of, days: int,
 def ctas(spark: SparkSession, name: str, select_sql: str, location: str, partition_by: Sequence[str] = (),
          comment: str | None = None) -> DataFrame:
     """sink.ctas: create-or-replace a (partitioned) table from a query, stored
-    at ``location`` on shared storage."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    at ``location`` on shared storage.  The new table is complete before the
+    old one goes, so a query that fails leaves the old one."""
+    fresh = f"{name}_{uuid.uuid4().hex[:8]}"
     parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     cmt = f"COMMENT '{comment}'" if comment else ""
-    spark.sql(f"CREATE TABLE {name} USING parquet {parts} {cmt} LOCATION '{location}' AS {select_sql}")
+    spark.sql(f"CREATE TABLE {fresh} USING parquet {parts} {cmt} LOCATION '{location.rstrip('/')}/{fresh}' AS {select_sql}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     return spark.table(name)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -28,14 +27,7 @@ def query(spark: SparkSession, sf_dir: str, sql: str, names=TABLES) -> DataFrame
     return spark.sql(sql)
 
 
-def read_view(spark: SparkSession, sf_dir: str, obj: str, is_query: bool = False,
-              persist: bool = False) -> DataFrame:
-    """src.view: a table name or a SQL text; optionally kept for reuse.
-
-    The persisted copy uses MEMORY_AND_DISK so a lost executor recomputes
-    only its own blocks from the lineage.
-    """
-    df = query(spark, sf_dir, obj) if is_query else table(spark, sf_dir, obj)
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df
+def read_view(spark: SparkSession, sf_dir: str, obj: str, is_query: bool = False) -> DataFrame:
+    """src.view: a table name or a SQL text, read lazily.  A caller that reads
+    it often persists and unpersists it around its own work."""
+    return query(spark, sf_dir, obj) if is_query else table(spark, sf_dir, obj)
