@@ -78,25 +78,22 @@ def corpus_q75(spark, d):
     ret = (li.filter(F.col("l_returnflag") == "R")
              .groupBy(F.col("l_orderkey").alias("r_order"), F.col("l_partkey").alias("r_part"))
              .agg(F.sum(dec("l_quantity")).alias("r_qty"), F.sum(net()).alias("r_amt")))
-    sold = li.join(p, li.l_partkey == p.p_partkey)
-
-    def channel(name, df):  # the sales channels: line status O and F
-        j = df.join(ret, (df.l_orderkey == ret.r_order) & (df.l_partkey == ret.r_part), "left")
-        return j.select(F.year("l_shipdate").alias("yr"), "p_brand", "p_size",
-                        (dec("l_quantity") - F.coalesce("r_qty", F.lit(0))).alias("cnt"),
-                        (net() - F.coalesce("r_amt", F.lit(0))).alias("amt"))
-    detail = rel.union_channels({s: sold.filter(F.col("l_linestatus") == s) for s in ("O", "F")}, channel)
-    all_sales = detail.groupBy("yr", "p_brand", "p_size").agg(F.sum("cnt").alias("sales_cnt"),
-                                                              F.sum("amt").alias("sales_amt"))
-    pairs = rel.compare_periods(all_sales.withColumnRenamed("yr", "prev_year"), ["p_brand", "p_size"], "prev_year",
-                                ["sales_cnt", "sales_amt"], offset=1, suffix="_curr")
-    pairs = pairs.filter(F.col("prev_year") + 1 == 1999)
-    ratio = rel.ratio(F.col("sales_cnt_curr"), F.col("sales_cnt"))
-    out = pairs.filter(ratio < 0.9).select(
-        "prev_year", (F.col("prev_year") + 1).alias("year"), "p_brand", "p_size",
-        F.col("sales_cnt").cast("double").alias("prev_yr_cnt"), F.col("sales_cnt_curr").cast("double").alias("curr_yr_cnt"),
-        (F.col("sales_cnt_curr") - F.col("sales_cnt")).cast("double").alias("sales_cnt_diff"),
-        (F.col("sales_amt_curr") - F.col("sales_amt")).cast("double").alias("sales_amt_diff"))
+    # the channel is a column of the one fact, and the two years are two sums: one scan, one grouping
+    first, middle, last = (F.lit(f"{y}-01-01").cast("date") for y in (1998, 1999, 2000))
+    sold = li.filter((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < last)).join(p, li.l_partkey == p.p_partkey)
+    j = sold.join(ret, (F.col("l_orderkey") == F.col("r_order")) & (F.col("l_partkey") == F.col("r_part")), "left")
+    detail = j.select("p_brand", "p_size", (F.col("l_shipdate") >= middle).alias("curr"),
+                      (dec("l_quantity") - F.coalesce("r_qty", F.lit(0))).alias("cnt"),
+                      (net() - F.coalesce("r_amt", F.lit(0))).alias("amt"))
+    years = {"prev": ~F.col("curr"), "curr": F.col("curr")}
+    both = detail.groupBy("p_brand", "p_size").agg(*[
+        F.sum(F.when(cond, F.col(v))).alias(f"{y}_{v}") for y, cond in years.items() for v in ("cnt", "amt")])
+    ratio = rel.ratio(F.col("curr_cnt"), F.col("prev_cnt"))  # NULL where a year has no sales
+    out = both.filter(ratio < 0.9).select(
+        F.lit(1998).alias("prev_year"), F.lit(1999).alias("year"), "p_brand", "p_size",
+        F.col("prev_cnt").cast("double").alias("prev_yr_cnt"), F.col("curr_cnt").cast("double").alias("curr_yr_cnt"),
+        (F.col("curr_cnt") - F.col("prev_cnt")).cast("double").alias("sales_cnt_diff"),
+        (F.col("curr_amt") - F.col("prev_amt")).cast("double").alias("sales_amt_diff"))
     return out.orderBy("sales_cnt_diff", "sales_amt_diff", "p_brand", "p_size").limit(100)
 
 

@@ -278,13 +278,13 @@ def join_star(spark, d):
     li, o, c = T(spark, d, "lineitem"), T(spark, d, "orders"), T(spark, d, "customer")
     n, r = F.broadcast(T(spark, d, "nation")), F.broadcast(T(spark, d, "region"))
     p, s = T(spark, d, "part"), T(spark, d, "supplier")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, o.o_custkey == c.c_custkey)
-           .join(n, c.c_nationkey == n.n_nationkey)
-           .join(r, n.n_regionkey == r.r_regionkey)
-           .join(p, li.l_partkey == p.p_partkey)
-           .join(s, li.l_suppkey == s.s_suppkey))
-    return j.groupBy("r_name", "p_type").agg(F.count(F.lit(1)).alias("n"), dsum(net()).alias("revenue"))
+    # orders shrink to (order, region) before they meet the lines, lines to (region, part) before they meet parts
+    home = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select("c_custkey", "r_name")
+    geo = o.join(home, o.o_custkey == home.c_custkey).select("o_orderkey", "r_name")
+    lines = li.join(s, li.l_suppkey == s.s_suppkey, "left_semi").join(geo, li.l_orderkey == geo.o_orderkey)
+    per_part = lines.groupBy("r_name", "l_partkey").agg(F.count(F.lit(1)).alias("n"), F.sum(net()).alias("revenue"))
+    return per_part.join(p, per_part.l_partkey == p.p_partkey).groupBy("r_name", "p_type").agg(
+        F.sum("n").alias("n"), F.sum("revenue").cast("double").alias("revenue"))
 
 
 @register("join.role_playing", f"""
@@ -298,9 +298,9 @@ def join_role_playing(spark, d):
     nat = T(spark, d, "nation")
     n1 = F.broadcast(nat.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("supp_nation")))
     n2 = F.broadcast(nat.select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("cust_nation")))
-    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-           .join(s, li.l_suppkey == s.s_suppkey)
-           .join(n1, F.col("s_nationkey") == F.col("sn_key")).join(n2, F.col("c_nationkey") == F.col("cn_key"))
+    buyers = o.join(c.join(n2, F.col("c_nationkey") == F.col("cn_key")), o.o_custkey == c.c_custkey).select("o_orderkey", "cust_nation")
+    sellers = s.join(n1, F.col("s_nationkey") == F.col("sn_key")).select("s_suppkey", "supp_nation")
+    j = (li.join(sellers, li.l_suppkey == sellers.s_suppkey).join(buyers, li.l_orderkey == buyers.o_orderkey)
            .filter(F.col("supp_nation") != F.col("cust_nation")))
     return j.groupBy("supp_nation", "cust_nation").agg(F.count(F.lit(1)).alias("n"), dsum(net()).alias("revenue"))
 
@@ -421,8 +421,14 @@ GROUP BY c_mktsegment"""
 
 @register("join.exists_or", SQL_EXISTS_OR)
 def join_exists_or(spark, d):
-    # EXISTS inside OR: Catalyst plans ExistenceJoins
-    return query(spark, d, SQL_EXISTS_OR, ("customer", "orders"))
+    # the three EXISTS as three flags of one aggregate: orders is read once, with the dates pushed to the scan
+    o, c = T(spark, d, "orders"), T(spark, d, "customer")
+    start = {y: F.lit(f"{y}-01-01").cast("date") for y in range(1996, 2000)}
+    day = F.col("o_orderdate")
+    flags = o.filter((day >= start[1996]) & (day < start[1999])).groupBy("o_custkey").agg(
+        *[F.max((day >= start[y]) & (day < start[y + 1])).alias(f"in_{y}") for y in range(1996, 1999)])
+    found = flags.filter("in_1996 AND (in_1997 OR in_1998)")
+    return c.join(found, c.c_custkey == found.o_custkey, "left_semi").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("join.self_offset", f"""
