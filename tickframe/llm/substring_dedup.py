@@ -44,16 +44,16 @@ BLOCK_BYTES = 4 << 20
 #: Windows of a super-k-mer; longer runs are cut, which loses no window.
 LONGEST = 256
 #: Buckets for each shuffle partition, so that a bucket's words fit in a task.
-BUCKETS_PER_PARTITION = 16
+BUCKETS_PER_PARTITION = 8
 RESULTS = ("n_words", "n_removed", "kept_sha256")
 
 _BLOCK = "block long, packed binary"
-_SENT = "bucket int, block long, at binary, low binary, high binary, windows binary, words binary"
+_SENT = "bucket int, block long, at binary, low binary, spread binary, windows binary, words binary"
 _ANSWER = "block long, at binary, windows binary, least binary"
 
 
 def _pack(a: np.ndarray | bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(a if isinstance(a, bytes) else a.tobytes())
+    return zstandard.ZstdCompressor(level=6).compress(a if isinstance(a, bytes) else a.tobytes())
 
 
 def _unpack(b: bytes, kind=None):
@@ -137,11 +137,16 @@ class SuperKmers:
         order = np.lexsort((two, one))
         edge = np.ones(len(order), bool)
         edge[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-        self.group = np.empty(len(order), np.int64)
-        self.group[order] = np.cumsum(edge) - 1
         heads = np.flatnonzero(edge)
-        self.low, self.high = np.minimum.reduceat(self.doc[order], heads), np.maximum.reduceat(self.doc[order], heads)
-        self.first = order[heads]  # one member of each group
+        first = order[heads]  # the sort is stable: the first member of each group in the text
+        rank = np.empty(len(heads), np.int64)
+        turn = np.argsort(first)  # groups are numbered as they appear, so that neighbours are alike
+        rank[turn] = np.arange(len(heads))
+        self.group = np.empty(len(order), np.int64)
+        self.group[order] = rank[np.cumsum(edge) - 1]
+        self.low = np.minimum.reduceat(self.doc[order], heads)[turn]
+        self.high = np.maximum.reduceat(self.doc[order], heads)[turn]
+        self.first = first[turn]
         self.minimiser = low[begin][self.first]
 
 
@@ -162,18 +167,18 @@ def send(blocks_: DataFrame, id_col: str, text: str, buckets: int) -> DataFrame:
                 bucket = (wordhash.mix(s.minimiser) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-                out = {k: [] for k in ("bucket", "block", "at", "low", "high", "windows", "words")}
+                out = {k: [] for k in ("bucket", "block", "at", "low", "spread", "windows", "words")}
                 for g in np.split(order, cuts):
                     out["bucket"].append(int(bucket[g[0]]))
                     out["block"].append(block)
-                    out["at"].append(_pack(g.astype(np.int32)))
-                    out["low"].append(_pack(s.low[g]))
-                    out["high"].append(_pack(s.high[g]))
+                    out["at"].append(_pack(np.diff(g, prepend=0).astype(np.int32)))
+                    out["low"].append(_pack(np.diff(s.low[g], prepend=0)))
+                    out["spread"].append(_pack((s.high - s.low)[g]))
                     out["windows"].append(_pack(n[g].astype(np.int32)))
                     out["words"].append(_pack(b"\n".join([raw[x:y] for x, y in zip(a[g].tolist(), b[g].tolist(), strict=True)])))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(out["bucket"], pa.int32()), pa.array(out["block"], pa.int64()),
-                    *(pa.array(out[k], pa.binary()) for k in ("at", "low", "high", "windows", "words"))], list(out))
+                    *(pa.array(out[k], pa.binary()) for k in ("at", "low", "spread", "windows", "words"))], list(out))
 
     return blocks_.mapInArrow(run, _SENT)
 
@@ -213,9 +218,10 @@ def answer(table: pa.Table) -> pa.Table:
     known: dict[bytes, int] = {}
     strings, windows, low, records = [], [], [], []
     for row in range(table.num_rows):
-        cell = {c: table.column(c)[row].as_py() for c in ("block", "at", "low", "high", "windows", "words")}
+        cell = {c: table.column(c)[row].as_py() for c in ("block", "at", "low", "spread", "windows", "words")}
         mine = _unpack(cell["words"]).split(b"\n")
-        lows, n = _unpack(cell["low"], np.int64).tolist(), _unpack(cell["windows"], np.int32)
+        least_here, n = np.cumsum(_unpack(cell["low"], np.int64)), _unpack(cell["windows"], np.int32)
+        lows = least_here.tolist()
         which = np.empty(len(mine), np.int64)
         for k, s in enumerate(mine):
             g = known.get(s)
@@ -227,7 +233,7 @@ def answer(table: pa.Table) -> pa.Table:
             elif lows[k] < low[g]:
                 low[g] = lows[k]
             which[k] = g
-        records.append((cell["block"], _unpack(cell["at"], np.int32), _unpack(cell["high"], np.int64), which))
+        records.append((cell["block"], np.cumsum(_unpack(cell["at"], np.int32)), least_here + _unpack(cell["spread"], np.int64), which))
     windows, low = np.array(windows, np.int64), np.array(low, np.int64)
     least = least_ids(strings, windows, low)
     to = pretokens.starts(windows)
@@ -237,7 +243,7 @@ def answer(table: pa.Table) -> pa.Table:
         lost = np.flatnonzero(smallest[which] < high)
         if len(lost):
             out["block"].append(block)
-            out["at"].append(_pack(at[lost]))
+            out["at"].append(_pack(np.diff(at[lost], prepend=0).astype(np.int32)))
             out["windows"].append(_pack(windows[which[lost]].astype(np.int32)))
             out["least"].append(_pack(pretokens.ragged(least, to, which[lost])))
     return pa.table({"block": pa.array(out["block"], pa.int64()), **{c: pa.array(out[c], pa.binary()) for c in ("at", "windows", "least")}})
@@ -248,7 +254,7 @@ def removed_words(w: wordhash.Words, s: SuperKmers, answers: pa.Table) -> np.nda
     cover = np.zeros(len(w.hash) + 1, np.int64)
     groups = len(s.first)
     size = np.zeros(groups, np.int64)
-    parts = [(_unpack(answers.column("at")[k].as_py(), np.int32), _unpack(answers.column("windows")[k].as_py(), np.int32),
+    parts = [(np.cumsum(_unpack(answers.column("at")[k].as_py(), np.int32)), _unpack(answers.column("windows")[k].as_py(), np.int32),
               _unpack(answers.column("least")[k].as_py(), np.int64)) for k in range(answers.num_rows)]
     if parts:
         at = np.concatenate([p[0] for p in parts])
