@@ -9,8 +9,9 @@ sketches, and what passes is confirmed on the full sets.
 
 1. Documents with equal sets form a class with one representative, by a
    grouped minimum; copies go no further.
-2. In each bucket all members are compared with the least of them only, and
-   the links confirmed are joined into components.
+2. In each bucket all members are compared with its centre only, the member
+   whose buckets are the most crowded, and the links confirmed are joined
+   into components.
 3. Buckets whose members are still in several components are compared across
    components: members of the bucket's largest component against the others,
    and these among themselves, in blocks of bounded size.  Pairs inside a
@@ -32,7 +33,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -47,8 +47,13 @@ BANDS = REGISTERS // ROWS
 BASE, RATE = 1.01, 20.0
 #: Log-likelihood by which the best similarity must beat the wanted one before a pair is dropped: about 1 in 10^6 of true links.
 LEAST_EVIDENCE = 12.0
+#: Equal registers below which a pair is dropped before its likelihood is taken: half of them, which
+#: true links of 0.8 miss with a chance of about 2 in 10^8 (Chernoff bound), of 0.85 far less.
+LEAST_EQUAL = REGISTERS // 2
 #: Members of a bucket compared at a time.
 BLOCK = 1024
+#: Rows of a task's group of buckets, and pairs it looks at in one step.
+GROUP_ROWS, PAIRS = 20_000, 1 << 17
 #: Text bytes per step in a task.
 SLICE = 2 << 20
 
@@ -168,10 +173,19 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
     return both.select("a", "b", "pa", "pb").mapInArrow(confirm, out)
 
 
-def to_least(buckets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of a member and the least of its bucket that the sketches allow."""
-    hubs = buckets.groupBy("band", "key").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    pairs = buckets.join(hubs, ["band", "key"]).filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
+def centres(buckets: DataFrame) -> DataFrame:
+    """(band, key, centre): the member of each bucket whose buckets are the most
+    crowded in sum, the least id of several.  Of a group of copies that text
+    is nearest to all."""
+    sizes = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"))
+    crowd = buckets.join(sizes, ["band", "key"]).groupBy("id").agg(F.sum("size").alias("crowd"))
+    hubs = buckets.join(crowd, "id").groupBy("band", "key").agg(F.max(F.struct("crowd", (-F.col("id")).alias("neg"))).alias("m"))
+    return hubs.select("band", "key", (-F.col("m.neg")).alias("centre"))
+
+
+def to_centre(buckets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of a member and the centre of its bucket that the sketches allow."""
+    pairs = buckets.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     regs = reps.select("id", "n", "regs")
     pairs = pairs.join(regs.toDF("a", "na", "ra"), "a").join(regs.toDF("b", "nb", "rb"), "b")
     schema = T.StructType([T.StructField("a", reps.schema["id"].dataType), T.StructField("b", reps.schema["id"].dataType)])
@@ -186,18 +200,25 @@ def to_least(buckets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, schema)
 
 
-def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of one bucket and different components that the sketches allow."""
-    named = buckets.join(labels, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("label"))
+def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
+    """Distinct pairs (a, b) of one bucket and different components that the
+    sketches allow, but for those with the centre; None if no bucket has any."""
+    named = buckets.filter("id <> centre").join(labels, "id", "left").select(
+        "band", "key", "id", F.coalesce("component", "id").alias("label"))
     sizes = named.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("size"),
                                              F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
-    mixed = mixed.select("band", "key", F.col("top.label").alias("top"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("tops"),
-                         F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("rests"))
+    rest = F.col("size") - F.col("top.n")
+    mixed = common.write_scratch(mixed.select(
+        "band", "key", F.col("top.label").alias("top"), F.ceil(F.col("top.n") / BLOCK).cast("int").alias("tops"),
+        F.ceil(rest / BLOCK).cast("int").alias("rests"), F.col("top.n").alias("n_top"), rest.alias("n_rest")), "mixed")
+    cells_rows = mixed.agg(F.sum(F.expr("n_top * rests + n_rest * (tops + rests)"))).first()[0]
+    if not cells_rows:
+        return None
     rows = named.join(mixed, ["band", "key"]).withColumn("is_top", F.col("label") == F.col("top"))
     own = F.pmod(F.xxhash64("id"), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("rests"))).cast("int")
     rows = rows.withColumn("own", own)
-    # A cell compares one block of others (j) with a block of the largest component (i) or with a later block of others.
+    # A cell compares one block of others (j) with a block of the largest component (i) or with a block of others.
     every = lambda n: F.sequence(F.lit(0), n - 1)
     with_top = F.transform(every(F.when(F.col("is_top"), F.col("rests")).otherwise(F.col("tops"))), lambda x: F.struct(
         F.lit(0).alias("kind"), F.when(F.col("is_top"), x).otherwise(F.col("own")).alias("j"),
@@ -207,28 +228,42 @@ def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int)
     cells = rows.select("band", "key", "id", "label", "own", "is_top", F.explode(
         F.when(F.col("is_top"), with_top).otherwise(F.concat(with_top, with_rest))).alias("cell"))
     cells = cells.select("band", "key", "cell.*", "id", "label", "own", "is_top").join(reps.select("id", "n", "regs"), "id")
-    kind = reps.schema["id"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-
-    def compare(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        band, _, same_kind, j, i = key
-        regs, n, ids, label = _matrix(g["regs"]), g["n"].to_numpy(), g["id"].to_numpy(), g["label"].to_numpy()
-        left = np.flatnonzero((~g["is_top"] & (g["own"] == j)).to_numpy())
-        right = left if same_kind and i == j else np.flatnonzero((g["own"] == i).to_numpy() & (g["is_top"].to_numpy() == (not same_kind)))
-        a, b = [], []
-        bands = regs.reshape(len(regs), BANDS, ROWS)
-        for x in left:
-            y = right[right > x] if right is left else right
-            y = y[label[y] != label[x]]
+    # many small cells share a task's group; a cell is in one group
+    groups = max(common.task_count(reps.sparkSession), int(cells_rows // GROUP_ROWS))
+    cells = cells.withColumn("grp", F.pmod(F.xxhash64("band", "key", "kind", "j", "i"), F.lit(groups)).cast("int"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        col = {c: table.column(c).to_numpy() for c in ("band", "key", "kind", "j", "i", "id", "label", "own", "is_top", "n")}
+        order = np.lexsort([col[c] for c in ("i", "j", "kind", "key", "band")])
+        col = {c: v[order] for c, v in col.items()}
+        regs = _matrix(table.column("regs").to_pylist())[order]
+        edge = np.ones(len(order), bool)
+        edge[1:] = np.logical_or.reduce([col[c][1:] != col[c][:-1] for c in ("i", "j", "kind", "key", "band")])
+        heads = np.flatnonzero(edge)
+        ends = np.repeat(np.append(heads[1:], len(order)), np.diff(np.append(heads, len(order))))
+        partners = ends - np.arange(len(order)) - 1  # rows of the same cell that follow
+        upto, found, at = pretokens.starts(partners), [], 0
+        while at < len(order):
+            to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, side="right")) - 1)
+            x = np.repeat(np.arange(at, to), partners[at:to])
+            y = x + 1 + np.arange(len(x)) - (upto[x] - upto[at])
+            role = np.where(col["kind"][x] == 0, col["is_top"][x] != col["is_top"][y],
+                            (col["i"][x] == col["j"][x]) | (col["own"][x] != col["own"][y]))
+            small, large = np.minimum(col["n"][x], col["n"][y]), np.maximum(col["n"][x], col["n"][y])
+            ok = role & (col["label"][x] != col["label"][y]) & (100 * small >= percent * large)
+            x, y = x[ok], y[ok]
+            equal = regs[x] == regs[y]
             # a pair is judged in the first bucket that it shares
-            y = y[~(bands[y, :band] == bands[x, :band]).all(2).any(1)] if band else y
-            if len(y):
-                ok = y[may_reach(regs[y], np.broadcast_to(regs[x], (len(y), REGISTERS)), n[y], np.full(len(y), n[x]), percent)]
-                a += np.maximum(ids[ok], ids[x]).tolist()
-                b += np.minimum(ids[ok], ids[x]).tolist()
-        return pd.DataFrame({"a": a, "b": b}, dtype="int64")
+            ok = (equal.sum(1) >= LEAST_EQUAL) & (equal.reshape(-1, BANDS, ROWS).all(2).argmax(1) == col["band"][x])
+            x, y = x[ok], y[ok]
+            if len(x):
+                ok = may_reach(regs[x], regs[y], col["n"][x], col["n"][y], percent)
+                found.append((col["id"][x[ok]], col["id"][y[ok]]))
+            at = to
+        x, y = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
+        return pa.table({"a": np.maximum(x, y), "b": np.minimum(x, y)})
 
-    return cells.groupBy("band", "key", "kind", "j", "i").applyInPandas(compare, schema).distinct()
+    return cells.groupBy("grp").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -239,13 +274,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     reps = common.write_scratch(classes.select("n", "f1", "f2", "m.id", "m.regs"), "classes")
     buckets = common.write_scratch(band_keys(reps), "buckets")
     crowded = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band", "key")
-    buckets = common.write_scratch(buckets.join(crowded, ["band", "key"], "left_semi"), "buckets")
+    buckets = buckets.join(crowded, ["band", "key"], "left_semi")
+    buckets = common.write_scratch(buckets.join(centres(buckets), ["band", "key"]), "crowded")
     named = docs.filter("id IS NOT NULL")
-    links = common.write_scratch(verify(common.write_scratch(to_least(buckets, reps, percent), "pairs"), named, shingle, percent), "links")
+    links = common.write_scratch(verify(common.write_scratch(to_centre(buckets, reps, percent), "pairs"), named, shingle, percent), "links")
     labels = components.components(links)
-    more = common.write_scratch(across(buckets, reps, labels, percent), "pairs")
-    if not more.isEmpty():
-        found = verify(more, named, shingle, percent)
+    more = across(buckets, reps, labels, percent)
+    if more is not None:
+        found = verify(common.write_scratch(more, "pairs"), named, shingle, percent)
         labels = components.components(found.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     least = reps.join(labels, "id", "left").select("n", "f1", "f2", F.coalesce("component", "id").alias("component"))
     out = sk.select("id", "n", "f1", "f2").join(least, ["n", "f1", "f2"], "left")
