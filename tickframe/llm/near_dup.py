@@ -291,3 +291,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.documents(spark, sf_dir), shingle=3, percent=85)
+
+
+SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 2), ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM w JOIN c ON c.a = doc_id LEFT JOIN n USING (doc_id)
+"""

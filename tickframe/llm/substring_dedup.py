@@ -314,3 +314,19 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", wi
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir).select("doc_id", "text")
     return remove_repeats(docs, with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w),
+win AS (
+  SELECT doc_id, i, array_to_string(list_slice(words, i, i + {WINDOW - 1}), ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW} + 2)) AS i FROM w)),
+least AS (SELECT g, min(doc_id) AS first FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS pos FROM win JOIN least USING (g) WHERE first < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS t, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
