@@ -22,7 +22,18 @@ def write_scratch(df: DataFrame, name: str, partition_by: Iterable[str] = ()) ->
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete tables of write_scratch.  Only for tables whose readers have all
+    been written to tables themselves: nothing will be computed from them again."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,8 @@ def components(links: DataFrame) -> DataFrame:
     links = common.write_scratch(links, "links")
     state = _state(links)
     while state[0]:
-        links = common.write_scratch(_hand_over(_hand_over(links, True), False), "links")
+        old, links = links, common.write_scratch(_hand_over(_hand_over(links, True), False), "links")
+        common.drop_scratch(old)
         new = _state(links)
         if new == state:
             break

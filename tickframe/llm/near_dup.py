@@ -17,8 +17,8 @@ sketches, and what passes is confirmed on the full sets.
    and these among themselves, in blocks of bounded size.  Pairs inside a
    component need no comparison, as they can change nothing.
 
-No pair is emitted but those that pass the likelihood test.  The test drops a
-pair only where the registers contradict the wanted similarity (see
+Pairs are judged where a block of a bucket is; only links that join two
+components leave it.  The likelihood test drops a pair only where the registers contradict the wanted similarity (see
 ``LEAST_EVIDENCE``).
 
 Null and wordless texts have empty sets and link with nothing; fewer words
@@ -52,6 +52,8 @@ LEAST_EVIDENCE = 12.0
 LEAST_EQUAL = REGISTERS // 2
 #: Members of a bucket compared at a time.
 BLOCK = 1024
+#: Sets a task keeps at hand; what falls out is made again.
+KEPT_SETS = 4096
 #: Rows of a task's group of buckets, and pairs it looks at in one step.
 GROUP_ROWS, PAIRS = 20_000, 1 << 17
 #: Text bytes per step in a task.
@@ -137,22 +139,25 @@ def band_keys(reps: DataFrame) -> DataFrame:
     return reps.select("id", F.inline(bands))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * shared >= percent * united.
-
-    Only the texts of documents that a pair names travel on, compressed.
-    """
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, packed): the compressed texts of the documents named, as a table."""
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            z = zstandard.ZstdCompressor(level=1)
+            z = zstandard.ZstdCompressor(level=6)
             col = batch.column("text").cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([z.compress(x.as_py() or b"") for x in col], pa.binary())],
                                              ["id", "packed"])
 
     schema = T.StructType([docs.schema["id"], T.StructField("packed", T.BinaryType())])
-    texts = common.write_scratch(docs.mapInArrow(squeeze, schema).join(needed, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    return common.write_scratch(docs.mapInArrow(squeeze, schema).join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]), "texts")
+
+
+def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets have 100 * shared >= percent * united, as a table.
+
+    ``pairs`` is a scratch table and goes.
+    """
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b")
     out = T.StructType([T.StructField("a", pairs.schema["a"].dataType), T.StructField("b", pairs.schema["b"].dataType)])
@@ -170,7 +175,9 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
                 keep.append(100 * shared >= percent * (len(mine) + len(hub_set) - shared) and shared > 0)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "pa", "pb").mapInArrow(confirm, out)
+    links = common.write_scratch(both.select("a", "b", "pa", "pb").mapInArrow(confirm, out), "links")
+    common.drop_scratch(pairs)
+    return links
 
 
 def centres(buckets: DataFrame) -> DataFrame:
@@ -200,9 +207,13 @@ def to_centre(buckets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, schema)
 
 
-def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
-    """Distinct pairs (a, b) of one bucket and different components that the
-    sketches allow, but for those with the centre; None if no bucket has any."""
+def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame | None:
+    """Links (a, b) between components that meet in a bucket, confirmed on full
+    sets, enough of them to join all that hang together; None if there are none.
+
+    All pairs of a bucket and different components but those with the centre
+    are judged; a pair whose components a link has joined meanwhile is not.
+    """
     named = buckets.filter("id <> centre").join(labels, "id", "left").select(
         "band", "key", "id", F.coalesce("component", "id").alias("label"))
     sizes = named.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -228,6 +239,7 @@ def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int)
     cells = rows.select("band", "key", "id", "label", "own", "is_top", F.explode(
         F.when(F.col("is_top"), with_top).otherwise(F.concat(with_top, with_rest))).alias("cell"))
     cells = cells.select("band", "key", "cell.*", "id", "label", "own", "is_top").join(reps.select("id", "n", "regs"), "id")
+    cells = cells.join(texts, "id")
     # many small cells share a task's group; a cell is in one group
     groups = max(common.task_count(reps.sparkSession), int(cells_rows // GROUP_ROWS))
     cells = cells.withColumn("grp", F.pmod(F.xxhash64("band", "key", "kind", "j", "i"), F.lit(groups)).cast("int"))
@@ -243,6 +255,32 @@ def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int)
         ends = np.repeat(np.append(heads[1:], len(order)), np.diff(np.append(heads, len(order))))
         partners = ends - np.arange(len(order)) - 1  # rows of the same cell that follow
         upto, found, at = pretokens.starts(partners), [], 0
+        z, packed, sets, root = zstandard.ZstdDecompressor(), table.column("packed"), {}, {}
+
+        def set_of(row: int) -> np.ndarray:
+            i = col["id"][row]
+            if i not in sets:
+                if len(sets) > KEPT_SETS:
+                    sets.clear()
+                sets[i], = shingle_sets(pa.array([z.decompress(packed[int(order[row])].as_py())], pa.binary()), k)
+            return sets[i]
+
+        def component(row: int) -> int:
+            c = col["label"][row]
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        def confirm(x: list[int], y: list[int]) -> None:
+            for p, q in zip(x, y, strict=True):
+                c, d = component(p), component(q)
+                if c != d:
+                    left, right = set_of(p), set_of(q)
+                    shared = len(np.intersect1d(left, right, assume_unique=True))
+                    if 100 * shared >= percent * (len(left) + len(right) - shared):
+                        root[max(c, d)] = min(c, d)
+                        found.append((int(col["id"][p]), int(col["id"][q])))
+
         while at < len(order):
             to = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS, side="right")) - 1)
             x = np.repeat(np.arange(at, to), partners[at:to])
@@ -258,12 +296,13 @@ def across(buckets: DataFrame, reps: DataFrame, labels: DataFrame, percent: int)
             x, y = x[ok], y[ok]
             if len(x):
                 ok = may_reach(regs[x], regs[y], col["n"][x], col["n"][y], percent)
-                found.append((col["id"][x[ok]], col["id"][y[ok]]))
+                confirm(x[ok].tolist(), y[ok].tolist())
             at = to
-        x, y = (np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in (0, 1))
-        return pa.table({"a": np.maximum(x, y), "b": np.minimum(x, y)})
+        return pa.table({"a": pa.array([max(f) for f in found], pa.int64()), "b": pa.array([min(f) for f in found], pa.int64())})
 
-    return cells.groupBy("grp").applyInArrow(compare, "a long, b long").distinct()
+    links = common.write_scratch(cells.groupBy("grp").applyInArrow(compare, "a long, b long").distinct(), "links")
+    common.drop_scratch(mixed)
+    return links
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -272,17 +311,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
     sk = common.write_scratch(sketches(docs, shingle), "sketches")
     classes = sk.filter("n > 0 AND id IS NOT NULL").groupBy("n", "f1", "f2").agg(F.min(F.struct("id", "regs")).alias("m"))
     reps = common.write_scratch(classes.select("n", "f1", "f2", "m.id", "m.regs"), "classes")
-    buckets = common.write_scratch(band_keys(reps), "buckets")
-    crowded = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band", "key")
-    buckets = buckets.join(crowded, ["band", "key"], "left_semi")
+    every = common.write_scratch(band_keys(reps), "buckets")
+    crowded = every.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band", "key")
+    buckets = every.join(crowded, ["band", "key"], "left_semi")
     buckets = common.write_scratch(buckets.join(centres(buckets), ["band", "key"]), "crowded")
-    named = docs.filter("id IS NOT NULL")
-    links = common.write_scratch(verify(common.write_scratch(to_centre(buckets, reps, percent), "pairs"), named, shingle, percent), "links")
+    common.drop_scratch(every)
+    # texts travel once, and only those of documents that share a bucket
+    texts = packed_texts(docs.filter("id IS NOT NULL"), buckets.select("id"))
+    links = verify(common.write_scratch(to_centre(buckets, reps, percent), "pairs"), texts, shingle, percent)
     labels = components.components(links)
-    more = across(buckets, reps, labels, percent)
+    more = across(buckets, reps, labels, texts, shingle, percent)
+    common.drop_scratch(texts)
     if more is not None:
-        found = verify(common.write_scratch(more, "pairs"), named, shingle, percent)
-        labels = components.components(found.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+        labels = components.components(more.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     least = reps.join(labels, "id", "left").select("n", "f1", "f2", F.coalesce("component", "id").alias("component"))
     out = sk.select("id", "n", "f1", "f2").join(least, ["n", "f1", "f2"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
