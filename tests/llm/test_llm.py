@@ -359,6 +359,28 @@ def test_language_sees_no_held_out_rows(spark):
     assert language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).languages == ["y"]
 
 
+def test_language_rejects_what_was_not_learned(spark):
+    rng = random.Random(3)
+    junk = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(60)) for _ in range(20)]
+    junk += ["qwrtzpsdfghjklyxcvbnm" * 10, "asdf jkl; " * 40, "Съешь же ещё этих мягких французских булок. " * 5, "快速的棕色狐狸跳过懒狗。" * 9]
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = d.withColumn("lang", F.when(F.col("lang") != "es", F.col("lang")))
+    more = spark.createDataFrame([(-1 - k, t, None, "junk", len(t)) for k, t in enumerate(junk)], d.schema)
+    out = corpus_pipeline.language_id(spark, foreign.unionByName(more), SF)
+    kept = {r.kind: r.n for r in out.groupBy(F.coalesce("lang", F.when(F.col("source") == "junk", "junk").otherwise("es")).alias("kind"))
+            .agg(F.count("*").alias("n")).collect()}
+    there = {r.lang: r.n for r in d.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert "junk" not in kept and kept.get("es", 0) <= 0.02 * there["es"]
+    assert all(kept[x] >= 0.98 * there[x] for x in ("de", "en", "fr"))
+
+
+def test_language_without_a_cut_accepts_nothing():
+    counts = np.zeros((200, language.BUCKETS), np.float32)
+    counts[:, :50] = 1  # equal texts under two languages
+    assert language.fit(counts, ["x", "y"] * 100).threshold > 1
+    assert language.fit(counts[:0], []).threshold > 1
+
+
 # ---------------------------------------------------------------- chat
 
 def test_chat_round_trip(spark):

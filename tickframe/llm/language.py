@@ -5,9 +5,15 @@ ASCII other than letters as blanks, grams whose second byte is a blank left
 out).  The text is the mean of their embeddings, a linear softmax on it gives
 the language; embeddings and layer are trained together by mini-batch
 stochastic gradient descent in numpy.  A temperature fitted on a held-back
-part of the training sample calibrates the scores, and the rejection
-threshold is the lowest score at which the accepted part of it has at most
-``TARGET_ERROR`` errors.
+part of the training sample calibrates the probabilities.
+
+A probability among the learned languages says nothing about a text in none
+of them, so the score is the probability times the text's *fit*: the share of
+its grams that are typical of the language (more frequent there than the
+average gram), on a scale from 0 for grams at random to 1 for what all but
+``MISFITS`` of the rightly classified held-back rows reach.  The rejection
+threshold is ``LEAST_SCORE``, or more where the accepted held-back rows would
+have over ``TARGET_ERROR`` errors; when no cut meets that, nothing is accepted.
 
 Training sees a bounded sample (``PER_LANGUAGE`` documents of each language,
 those with the smallest id hashes); what reaches the driver is their hashed
@@ -38,6 +44,10 @@ DIMENSIONS = 16
 PER_LANGUAGE = 400
 EPOCHS, BATCH, RATE = 10, 32, 4.0
 TARGET_ERROR = 0.01
+#: Part of the rightly classified held-back rows that may have a fit below 1.
+MISFITS = 0.01
+#: Scores below are rejected in any case.
+LEAST_SCORE = 0.75
 UNDETERMINED = "und"
 
 _TABLE = np.arange(256, dtype=np.uint8)
@@ -77,6 +87,13 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    typical: np.ndarray  # (BUCKETS, languages): whether a gram is typical of the language
+    usual: float  # share of typical grams from which the fit is 1
+
+    def fit_of(self, share: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Fit of texts to their languages by their shares of typical grams."""
+        random = self.typical.mean(0)[best]
+        return np.clip((share - random) / np.maximum(self.usual - random, 1e-9), 0, 1)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
@@ -88,7 +105,8 @@ class Model:
         p = softmax((logits + self.bias) / self.temperature)
         best = p.argmax(1)
         names = [self.languages[k] if ok else UNDETERMINED for k, ok in zip(best, letters, strict=True)]
-        return names, np.where(letters, p[np.arange(len(p)), best], 0.0)
+        share = np.bincount(owner, self.typical[bucket, best[owner]], len(texts)) / n
+        return names, np.where(letters, p[np.arange(len(p)), best] * self.fit_of(share, best), 0.0)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -100,7 +118,7 @@ def fit(counts: np.ndarray, labels: list[str], seed: int = 0) -> Model:
     """Train on rows of gram counts; every fifth row is held back for calibration."""
     languages = sorted(set(labels))
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, np.inf, np.zeros((BUCKETS, 0), bool), 1.0)
     y = np.searchsorted(languages, labels)
     x = (counts / np.maximum(counts.sum(1, keepdims=True), 1)).astype(np.float32)
     back = np.arange(len(y)) % 5 == 4
@@ -130,13 +148,23 @@ def fit(counts: np.ndarray, labels: list[str], seed: int = 0) -> Model:
         return -np.log(softmax(z / t)[np.arange(len(truth)), truth] + 1e-12).mean()
 
     temperature = min(np.geomspace(0.01, 20, 60), key=loss)
+    total = np.stack([counts[rows[y[rows] == k]].sum(0, dtype=np.float64) for k in range(len(languages))], 1)
+    typical = (total > 0) & (total * BUCKETS >= total.sum(0))
     p = softmax(z / temperature)
-    score, wrong = p.max(1), p.argmax(1) != truth
+    best = p.argmax(1)
+    wrong = best != truth
+    share = (counts[check] * typical.T[best]).sum(1) / np.maximum(counts[check].sum(1), 1)
+    usual = float(np.quantile(share[~wrong], MISFITS)) if not wrong.all() else 1.0
+    model = Model(languages, (emb @ layer).astype(np.float64), bias.astype(np.float64), float(temperature), np.inf, typical, usual)
+    score = p.max(1) * model.fit_of(share, best)
     order = np.argsort(-score, kind="stable")
     errors = np.cumsum(wrong[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(errors <= TARGET_ERROR)
-    threshold = 0.0 if not len(good) or good[-1] == len(order) - 1 else float(score[order[good[-1]]])
-    return Model(languages, (emb @ layer).astype(np.float64), bias.astype(np.float64), float(temperature), threshold)
+    # equal scores are accepted together
+    ends = np.append(score[order][1:] != score[order][:-1], True)
+    good = np.flatnonzero((errors <= TARGET_ERROR) & ends)
+    if len(good):
+        model.threshold = LEAST_SCORE if good[-1] == len(order) - 1 else max(LEAST_SCORE, float(score[order[good[-1]]]))
+    return model
 
 
 def held_out(doc_id: Column) -> Column:
