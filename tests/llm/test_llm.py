@@ -257,6 +257,16 @@ def test_licenses(spark, docs, none):
     assert licenses.scan(none).count() == 0
 
 
+def licences_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    return [r.licences for r in licenses.scan(df).orderBy("k").collect()]
+
+
+def test_licenses_in_padded_lines(spark):
+    texts = [" " * 200 + "All rights reserved.", "/" + "*" * 300 + " Released under the MIT License. " + "*" * 300 + "/"]
+    assert licences_of(spark, texts) == [["proprietary"], ["MIT"]]
+
+
 def test_quality(spark, docs, none):
     got = quality.judge(docs).collect()
     assert len(got) == docs.count()

@@ -82,9 +82,8 @@ def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     known = {normalised(s): i for i, s in SENTENCES.items()}
     lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "([.!?;:])[ \t]+", "$1\n"), "\n")
-    # a known sentence is short: longer ones are not normalised, as they cannot match
-    longest = 2 * max(map(len, SENTENCES.values()))
-    lines = F.filter(lines, lambda x: (F.char_length(x) <= longest) & (F.char_length(x) >= min(map(len, known))))
+    # blanks and marks collapse, so a line of any length may be a known sentence; a shorter one is none
+    lines = F.filter(lines, lambda x: F.char_length(x) >= min(map(len, known)))
     norm = F.transform(lines, lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " ")))
     table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
     return F.transform(F.filter(norm, lambda x: x.isin(*known)), lambda x: table[x])
