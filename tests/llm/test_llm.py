@@ -267,6 +267,29 @@ def test_licenses_in_padded_lines(spark):
     assert licences_of(spark, texts) == [["proprietary"], ["MIT"]]
 
 
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_licenses_in_wrapped_lines(spark):
+    wrapped = "This work is licensed under the GNU General{}Public License, version 3."
+    headers = [GPL_HEADER] + ["\n".join(f"{mark} {x}" for x in GPL_HEADER.split("\n")) for mark in ("//", " *", "#")]
+    df = spark.createDataFrame([(t,) for t in headers], "text string")
+    assert [r.licence_sentences for r in licenses.scan(df).collect()] == [["gpl-free", "gpl-hope", "gpl-copy"]] * 4
+    assert licences_of(spark, [wrapped.format(x) for x in ("\n", "\r\n", " \n\t// ", "\n\n")]) == [["GPL-3.0"]] * 3 + [[]]
+    assert licences_of(spark, ["MIT License\nAll rights\nreserved.\nx", "the MIT License is\none of them"]) == [["MIT", "proprietary"], []]
+
+
 def test_quality(spark, docs, none):
     got = quality.judge(docs).collect()
     assert len(got) == docs.count()

@@ -1,8 +1,11 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences (line ends, and ends marked by . ! ?), each is
-normalised (lower case, everything but letters and digits as one blank) and
-looked up in a table of known licence sentences; the identifiers found, in
+A text is cut into sentences (line ends, and ends marked by . ! ? ; :), each
+is normalised (lower case, everything but letters and digits as one blank) and
+looked up in a table of known licence sentences.  A known sentence may be
+wrapped: it is also found over consecutive lines, with or without comment
+marks before them, but not over a blank line; of those that begin at one
+place the longest counts.  The identifiers found, in
 the order of the text, are matched against ordered licence rules, each a
 sequence of identifiers that must follow one another.  A rule that matches
 uses its sentences up, so put specific rules before general ones.  All of it
@@ -81,12 +84,13 @@ def normalised(sentence: str) -> str:
 def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     known = {normalised(s): i for i, s in SENTENCES.items()}
-    lines = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), "([.!?;:])[ \t]+", "$1\n"), "\n")
-    # blanks and marks collapse, so a line of any length may be a known sentence; a shorter one is none
-    lines = F.filter(lines, lambda x: F.char_length(x) >= min(map(len, known)))
-    norm = F.transform(lines, lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " ")))
+    cut = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "([.!?;:])[ \t]+", "$1\n")
+    norm = F.trim(F.regexp_replace(F.regexp_replace(cut, "[^a-z0-9\n]+", " "), " ?\n ?", "\n"))
+    # from the start of a line to the end of one; a single line feed counts as a blank
+    longest_first = "|".join(s.replace(" ", "[ \n]") for s in sorted(known, key=len, reverse=True))
+    found = F.regexp_extract_all(norm, F.lit(f"(?m)^(?:{longest_first})$"), F.lit(0))
     table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
-    return F.transform(F.filter(norm, lambda x: x.isin(*known)), lambda x: table[x])
+    return F.transform(found, lambda x: table[F.replace(x, F.lit("\n"), F.lit(" "))])
 
 
 def matches(ids: Column, rules: tuple[Rule, ...]) -> Column:
