@@ -290,6 +290,20 @@ def test_licenses_in_wrapped_lines(spark):
     assert licences_of(spark, ["MIT License\nAll rights\nreserved.\nx", "the MIT License is\none of them"]) == [["MIT", "proprietary"], []]
 
 
+def test_licenses_of_bodies_and_headers(spark):
+    s = licenses.SENTENCES
+    agpl, lesser = GPL_HEADER.replace("GNU General", "GNU Affero General"), GPL_HEADER.replace("GNU General", "GNU Lesser General")
+    bsd = s["bsd-redistribution"] + "\n\n1. Redistributions of source code must retain the above copyright notice.\n\n"
+    want = [(agpl, ["AGPL-3.0"]), (lesser, ["LGPL"]), (GPL_HEADER, ["GPL"]), ("This library is free software; you can redistribute it", ["LGPL"]),
+            ("MIT License\n\n" + s["mit-granted"], ["MIT"]), (s["mit-granted"].replace(", ", ",\n"), ["MIT"]), (bsd, ["BSD"]),
+            (bsd + s["bsd-3-neither"], ["BSD-3-Clause"]), (s["isc-permission"], ["ISC"]), (s["mpl2-subject"], ["MPL-2.0"]),
+            (s["epl2-available"], ["EPL-2.0"]), (s["unlicense"], ["Unlicense"]), ("Licensed under CC BY-ND 3.0.", ["CC-BY-ND-3.0"]),
+            ("Licensed under CC BY 3.0.", ["CC-BY-3.0"])]
+    assert licences_of(spark, [t for t, _ in want]) == [x for _, x in want]
+    df = spark.createDataFrame([(0, "Used under a licence of our own."), (1, "plain words"), (2, s["unlicense"]), (3, None)], "k int, text string")
+    assert [r.licence_unclear for r in licenses.scan(df).orderBy("k").collect()] == [True, False, False, False]
+
+
 def test_quality(spark, docs, none):
     got = quality.judge(docs).collect()
     assert len(got) == docs.count()

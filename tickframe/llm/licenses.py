@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Sentence identifier -> the sentence as licences and notices have it. Fixed values.
-SENTENCES = {
+#: Sentence identifier -> the sentence as licences and notices have it; the table of the SQL. Fixed values.
+SHORT_SENTENCES = {
     "apache-under": "Licensed under the Apache License, Version 2.0.",
     "apache-the-license": 'Licensed under the Apache License, Version 2.0 (the "License");',
     "apache-comply": "you may not use this file except in compliance with the License.",
@@ -47,6 +47,48 @@ SENTENCES = {
 }
 
 
+#: Sentences of the bodies and headers of common licences. Fixed values.
+BODY_SENTENCES = {
+    "agpl-terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+                  "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-copy": "You should have received a copy of the GNU Affero General Public License along with this program.",
+    "agpl-title": "GNU Affero General Public License",
+    "lgpl-free": "This library is free software;",
+    "lgpl-hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
+    "lgpl-copy": "You should have received a copy of the GNU Lesser General Public License along with this library;",
+    "lgpl-copy-program": "You should have received a copy of the GNU Lesser General Public License along with this program.",
+    "lgpl-title": "GNU Lesser General Public License",
+    "lgpl-library-title": "GNU Library General Public License",
+    "gpl-title": "GNU General Public License",
+    "gpl2-work": "This work is licensed under the GNU General Public License, version 2.",
+    "mit-granted": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                   'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+                   "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+                   "to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "bsd-redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+                          "that the following conditions are met:",
+    "bsd-neither": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                   "products derived from this software without specific prior written permission.",
+    "bsd-3-neither": "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software without specific prior written permission.",
+    "isc-permission": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                      "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "isc-permission-and": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+                          "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "mpl2-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "epl2-available": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+                      "which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl2-title": "Eclipse Public License - v 2.0",
+    "epl1-title": "Eclipse Public License - v 1.0",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "apache-title": "Apache License Version 2.0, January 2004",
+} | {f"cc-{kind}-{version}": f"Licensed under CC {kind.upper()} {version}."
+     for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd") for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+     if (kind, version) not in {("by", "4.0"), ("by-sa", "4.0"), ("by-nc", "4.0")}}
+SENTENCES = SHORT_SENTENCES | BODY_SENTENCES
+
+
 @dataclass(frozen=True)
 class Rule:
     licence: str
@@ -54,8 +96,8 @@ class Rule:
     allowed: bool
 
 
-#: In order of trial.
-RULES = (
+#: In order of trial; the rules of the SQL.
+SHORT_RULES = (
     Rule("Apache-2.0", ("apache-the-license", "apache-comply", "apache-copy"), True),
     Rule("Apache-2.0", ("apache-the-license",), True),
     Rule("Apache-2.0", ("apache-under",), True),
@@ -74,6 +116,36 @@ RULES = (
     Rule("proprietary", ("rights",), False),
 )
 
+#: AGPL and LGPL notices share sentences with those of the GPL, and 3-clause BSD with 2-clause, so they are tried first.
+RULES = (
+    Rule("AGPL-3.0", ("gpl-free", "agpl-terms", "gpl-hope", "agpl-copy"), False),
+    Rule("AGPL-3.0", ("gpl-free", "agpl-terms"), False),
+    Rule("AGPL-3.0", ("gpl-free", "gpl-hope", "agpl-copy"), False),
+    Rule("AGPL-3.0", ("agpl-copy",), False),
+    Rule("AGPL-3.0", ("agpl-title",), False),
+    Rule("LGPL", ("lgpl-free", "lgpl-hope", "lgpl-copy"), False),
+    Rule("LGPL", ("gpl-free", "gpl-hope", "lgpl-copy-program"), False),
+    *(Rule("LGPL", (x,), False) for x in ("lgpl-free", "lgpl-copy", "lgpl-copy-program", "lgpl-title", "lgpl-library-title")),
+    *SHORT_RULES,
+    Rule("GPL", ("gpl-copy",), False),
+    Rule("GPL", ("gpl-title",), False),
+    Rule("GPL-2.0", ("gpl2-work",), False),
+    Rule("MIT", ("mit-granted",), True),
+    Rule("BSD-3-Clause", ("bsd-redistribution", "bsd-neither"), True),
+    Rule("BSD-3-Clause", ("bsd-redistribution", "bsd-3-neither"), True),
+    Rule("BSD", ("bsd-redistribution",), True),
+    Rule("ISC", ("isc-permission",), True),
+    Rule("ISC", ("isc-permission-and",), True),
+    *(Rule("MPL-2.0", (x,), False) for x in ("mpl2-subject", "mpl2-title")),
+    *(Rule("EPL-2.0", (x,), False) for x in ("epl2-available", "epl2-title")),
+    Rule("EPL-1.0", ("epl1-title",), False),
+    Rule("Unlicense", ("unlicense",), True),
+    Rule("Apache-2.0", ("apache-title",), True),
+    *(Rule(x.upper(), (x,), "-nc" not in x and "-nd" not in x) for x in BODY_SENTENCES if x.startswith("cc-")),
+)
+#: Words of licences and notices: where a text has one but no rule matches, it is not known to be free of licences.
+LICENCE_WORDS = r"(?i)\b(?:licen[cs]e[sd]?|copyright|copyleft|spdx)\b|©"
+
 
 def normalised(sentence: str) -> str:
     import re
@@ -107,7 +179,10 @@ def matches(ids: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``df`` with licence_sentences (identifiers), licences (sorted) and licence_allowed."""
+    """``df`` with licence_sentences (identifiers), licences (sorted), licence_allowed and licence_unclear.
+
+    licence_unclear: the text has licence words, but no rule matches.
+    """
     out = df.withColumn("licence_sentences", identifiers(F.col(f"`{text}`")))
     out = out.withColumn("__rules", F.when(F.size("licence_sentences") > 0, matches(F.col("licence_sentences"), rules)).otherwise(
         F.array().cast("array<int>")))
@@ -115,6 +190,7 @@ def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     return out.withColumns({
         "licences": F.sort_array(F.array_distinct(F.transform("__rules", lambda k: names[k]))),
         "licence_allowed": F.forall("__rules", lambda k: allowed[k]),
+        "licence_unclear": (F.size("__rules") == 0) & F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike(LICENCE_WORDS),
     }).drop("__rules")
 
 
@@ -126,9 +202,9 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    known = ", ".join(f"('{normalised(s)}', '{i}')" for i, s in SENTENCES.items())
+    known = ", ".join(f"('{normalised(s)}', '{i}')" for i, s in SHORT_SENTENCES.items())
     steps, last = [], "seqs"
-    for k, r in enumerate(RULES):
+    for k, r in enumerate(SHORT_RULES):
         seq = f"|{'|'.join(r.sentences)}|"
         steps.append(f"""r{k} AS (SELECT doc_id, n, ids, replace(rest, '{seq}', '|#|') AS rest,
   CASE WHEN contains(rest, '{seq}') THEN list_append(lic, '{r.licence}') ELSE lic END AS lic,
