@@ -43,3 +43,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def task_count(spark: SparkSession) -> int:
     """Partitions for a shuffle: what the session asks for, at least one per core."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def vocabulary(name: str) -> str:
+    """Place of a vocabulary file where this runs: a path is itself, a bare name is looked up among the public tokenizers."""
+    if "/" in name:
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
