@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -106,7 +107,7 @@ def side(name: str) -> _Side:
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All ids in order, and where each text's begin."""
     at = pretokens.starts(np.fromiter(map(len, lists), np.int64, len(lists)))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(at[-1])), at
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(at[-1])), at
 
 
 def _joined(s: _Side, ids: np.ndarray) -> bytes:
@@ -131,9 +132,11 @@ class Aligned:
         self.n_a, self.n_b = np.where(good, np.diff(at_a), 0), np.where(good, np.diff(at_b), 0)
         # both sides now have the same bytes, so one offset over all texts serves as position
         end_a, end_b = np.cumsum(a.size[self.a]), np.cumsum(b.size[self.b])
-        common_ends = np.intersect1d(end_a, end_b, assume_unique=True)
+        ends = np.zeros((2, int(end_a[-1]) + 1 if len(end_a) else 1), bool)
+        ends[0, end_a], ends[1, end_b] = True, True
         #: Tokens up to and with each common end; the last ones before it are linked.
-        self.upto_a, self.upto_b = np.searchsorted(end_a, common_ends) + 1, np.searchsorted(end_b, common_ends) + 1
+        self.upto_a, self.upto_b = np.flatnonzero(ends[1, end_a]) + 1, np.flatnonzero(ends[0, end_b]) + 1
+        common_ends = end_a[self.upto_a - 1]
         self.links = self.a[self.upto_a - 1] << 32 | self.b[self.upto_b - 1]
         text_ends = np.cumsum([len(w) if g else 0 for w, g in zip(want, good, strict=True)])
         self.n_links = np.diff(np.searchsorted(common_ends, text_ends, side="right"), prepend=0)
