@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tickframe.session import scratch_path
 
@@ -40,6 +41,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for k in range(len(taken) + 1) if (n := f"__{name}{k or ''}").lower() not in taken)
+
+
+def least_hashed(ids: DataFrame, group: str, count: int, parts: int = 64) -> DataFrame:
+    """The ``count`` rows of each group with the least hash ``h`` (ties by ``id``).
+
+    Each of ``parts`` shares of a group is cut first, so no task ranks a whole group.
+    """
+    share, k = F.pmod(F.xxhash64("h"), F.lit(parts)), "__k"
+    for keys in ([F.col(group), share], [F.col(group)]):
+        order = Window.partitionBy(*keys).orderBy("h", "id")
+        ids = ids.withColumn(k, F.row_number().over(order)).filter(F.col(k) <= count).drop(k)
+    return ids
+
+
 def task_count(spark: SparkSession) -> int:
     """Partitions for a shuffle: what the session asks for, at least one per core."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
