@@ -7,8 +7,9 @@ without a shuffle and without user functions.
 
 A word is ``[^\\x20\\x09-\\x0D]+``.  Null text has no words (every count 0).
 Every row is judged on its own, so repeated rows and ties do not interact;
-an empty table gives an empty result.  Measures are added under the names
-asked for; input columns of the same name are replaced.
+an empty table gives an empty result.  ``judge`` adds the measures as columns and
+replaces input columns of the same name; ``judged`` puts them into one struct,
+and ``passing`` returns the input's own columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -107,49 +108,87 @@ def _repeat_words(words: Column, n: Column) -> Column:
     return F.when(n >= k + 1, several).otherwise(F.lit(0))
 
 
-def measures(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the counts and ratios of the rules."""
+def _ratios(of: Callable[[str], Column]) -> dict[str, Column]:
+    per_word = F.greatest(of("n_words"), F.lit(1))
+    return {
+        "mean_word_chars": of("word_chars") / per_word,
+        "symbol_ratio": of("n_symbols") / F.greatest(of("word_chars"), F.lit(1)),
+        "stop_ratio": of("n_stop_words") / per_word,
+        "dup_line_ratio": of("n_dup_lines") / F.greatest(of("n_lines"), F.lit(1)),
+    }
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")
+
+
+def measures(df: DataFrame, into: str, text: str = "text") -> DataFrame:
+    """``df`` with a struct column ``into`` of the counts of the rules.
+
+    The struct is generated (a one-row explode), so a filter on a measure stops
+    there: pushed into the projections below, it would take the words of a text
+    apart again for every use.
+    """
+    words, lines = common.fresh(df, "words"), common.fresh(df, "lines")
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     gone = F.translate(t, WORD_SEPARATORS, "")
-    lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, WORD_SEPARATORS, "") != "")
-    df = df.withColumns({"__words": _words(t), "__lines": lines})
-    df = df.withColumns({
-        "n_words": F.size("__words").cast("long"),
-        "word_chars": F.char_length(gone).cast("long"),
-        "n_symbols": (F.char_length(gone) - F.char_length(F.translate(gone, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
-        "n_repeat_words": _repeat_words(F.col("__words"), F.size("__words")).cast("long"),
-        "n_lines": F.size("__lines").cast("long"),
-        "n_stop_words": F.size(F.filter("__words", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long"),
-    })
-    per_word = F.greatest(F.col("n_words"), F.lit(1))
-    return df.withColumns({
-        "mean_word_chars": F.col("word_chars") / per_word,
-        "symbol_ratio": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
-        "stop_ratio": F.col("n_stop_words") / per_word,
-        "dup_line_ratio": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-    }).drop("__words", "__lines")
-
-
-def verdict(rules: tuple[Rule, ...]) -> Column:
-    """The threshold table as one boolean expression: true if all rules hold."""
+    df = df.withColumns({words: _words(t), lines: F.filter(F.split(t, "\n"), lambda x: F.translate(x, WORD_SEPARATORS, "") != "")})
+    counts = (
+        F.size(words),
+        F.char_length(gone),
+        F.char_length(gone) - F.char_length(F.translate(gone, SYMBOLS, "")),
+        F.size(lines) - F.size(F.array_distinct(lines)),
+        _repeat_words(F.col(words), F.size(words)),
+        F.size(lines),
+        F.size(F.filter(words, lambda w: F.lower(w).isin(*STOP_WORDS))),
+    )
+    row = F.struct(*[x.cast("long").alias(c) for c, x in zip(COUNTS, counts, strict=True)])
+    return df.withColumn(into, F.explode(F.array(row))).drop(words, lines)
+
+
+def verdict(rules: tuple[Rule, ...], of: Callable[[str], Column]) -> Column:
+    """The threshold table as one boolean expression over measures: true if all rules hold."""
     out = F.lit(True)
     for r in rules:
         # the percentage rule is judged in whole numbers: 100 * a > high * b
         if r.measure == "repeat_pct":
-            out = out & (100 * F.col("n_repeat_words") <= int(r.high) * F.col("n_words"))
+            out = out & (100 * of("n_repeat_words") <= int(r.high) * of("n_words"))
             continue
         if r.low is not None:
-            out = out & (F.col(r.measure) >= r.low)
+            out = out & (of(r.measure) >= r.low)
         if r.high is not None:
-            out = out & (F.col(r.measure) <= r.high)
+            out = out & (of(r.measure) <= r.high)
     return out
 
 
+RESULTS = (*COUNTS, "mean_word_chars", "symbol_ratio", "stop_ratio", "dup_line_ratio", "base_failed", "kept")
+
+
+def judged(df: DataFrame, into: str, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``df`` with a struct column ``into`` of the measures, ``base_failed`` and ``kept``; its own columns stay as they are."""
+    name = common.fresh(df, "measured")
+    out = measures(df, name, text)
+    ratios = _ratios(lambda c: F.col(f"{name}.{c}"))
+
+    def of(c: str) -> Column:
+        return ratios[c] if c in ratios else F.col(f"{name}.{c}")
+
+    failed = ~verdict(BASE_RULES, of)
+    every = F.struct(*[f"{name}.{c}" for c in COUNTS], *[x.alias(c) for c, x in ratios.items()], failed.alias("base_failed"),
+                     (~failed & verdict(rules, of)).alias("kept"))
+    return out.withColumn(into, every).drop(name)
+
+
 def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``df`` with the measures, ``base_failed`` and ``kept``."""
-    out = measures(df, text)
-    return out.withColumn("base_failed", ~verdict(BASE_RULES)).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    """``df`` with the measures, ``base_failed`` and ``kept`` as columns."""
+    name = common.fresh(df, "quality")
+    out = judged(df, name, text, rules)
+    return out.withColumns({c: F.col(f"{name}.{c}") for c in RESULTS}).drop(name)
+
+
+def passing(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``df`` that pass the base rules and the table, with their own columns only."""
+    name = common.fresh(df, "quality")
+    return judged(df, name, text, rules).filter(F.col(f"{name}.kept")).drop(name)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
