@@ -545,3 +545,53 @@ def test_pipeline(spark):
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == ids
     assert corpus_pipeline.run(spark, SF).count() == pieces.count()
+
+
+def clashing(docs):
+    """Columns named like what the operators compute, with values that must not change."""
+    return docs.withColumns({"n_words": F.lit(777), "kept": F.lit("mine"), "score": F.lit(-1.5), "n_removed": F.lit(9), "lang_pred": F.lit("xx"),
+                             "component_id": F.lit(3), "h": F.lit(1), "quality": F.lit(4), "__words": F.lit("w")})
+
+
+def test_pipeline_keeps_the_callers_columns(spark):
+    docs = clashing(spark.read.parquet(f"{SF}/documents.parquet"))
+    docs = docs.union(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))  # null ids
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows and all((r.n_words, r.kept, r.score, r.n_removed, r.lang_pred, r.component_id, r.h, r.quality, r["__words"]) ==
+                            (777, "mine", -1.5, 9, "xx", 3, 1, 4, "w") for r in rows), name
+        docs = spark.createDataFrame(rows, out.schema)
+    assert any(r.doc_id is None for r in rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_pipeline_of_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_quality_filter_does_not_split_again(spark):
+    """A filter on a measure must not paste the splitting of texts into itself."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+
+    def splits(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("split(")
+
+    base = splits(quality.judge(docs))
+    for df in (quality.passing(docs), quality.judge(docs).filter("kept"), quality.judge(docs).filter("n_repeat_words > 3 AND stop_ratio > 0.1")):
+        assert splits(df) <= base
+
+
+@pytest.mark.parametrize("count", [1, 7, 100, 5000])
+def test_least_hashed(spark, count):
+    from tickframe.llm import common
+    df = spark.range(3000).select("id", (F.col("id") % 10 == 3).cast("int").alias("g"), F.xxhash64("id").alias("h")).repartition(3)
+    df = df.union(spark.createDataFrame([(9001, 1, 5), (9000, 1, 5)], "id long, g int, h long"))  # equal hashes
+    got = sorted((r.g, r.h, r.id) for r in common.least_hashed(df, "g", count).collect())
+    every = sorted((r.g, r.h, r.id) for r in df.collect())
+    assert got == [x for g in (0, 1) for x in [e for e in every if e[0] == g][:count]]

@@ -47,16 +47,22 @@ def fresh(df: DataFrame, name: str) -> str:
     return next(n for k in range(len(taken) + 1) if (n := f"__{name}{k or ''}").lower() not in taken)
 
 
-def least_hashed(ids: DataFrame, group: str, count: int, parts: int = 64) -> DataFrame:
+def least_hashed(ids: DataFrame, group: str, count: int) -> DataFrame:
     """The ``count`` rows of each group with the least hash ``h`` (ties by ``id``).
 
-    Each of ``parts`` shares of a group is cut first, so no task ranks a whole group.
+    The hashes are counted in 4,096 cells; whole cells below the limit are kept,
+    and only rows of the cell in which it lies are ranked.  The limits, a row
+    per group, are broadcast: groups are the classes of a model, few by nature.
     """
-    share, k = F.pmod(F.xxhash64("h"), F.lit(parts)), "__k"
-    for keys in ([F.col(group), share], [F.col(group)]):
-        order = Window.partitionBy(*keys).orderBy("h", "id")
-        ids = ids.withColumn(k, F.row_number().over(order)).filter(F.col(k) <= count).drop(k)
-    return ids
+    cell, before = "__cell", "__before"
+    ids = ids.withColumn(cell, F.shiftright("h", 52))
+    sizes = ids.groupBy(group, cell).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(group).orderBy(cell)
+    sizes = sizes.withColumn(before, F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    limits = sizes.filter(F.col(before) < count).groupBy(group).agg(F.max(cell).alias("__last"), F.max(before).alias(before))
+    kept = ids.join(F.broadcast(limits), group).filter(F.col(cell) <= F.col("__last"))
+    kept = kept.withColumn("__k", F.row_number().over(Window.partitionBy(group, cell).orderBy("h", "id")))
+    return kept.filter((F.col(cell) < F.col("__last")) | (F.col("__k") <= count - F.col(before))).drop(cell, before, "__last", "__k")
 
 
 def task_count(spark: SparkSession) -> int:

@@ -32,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,9 +175,8 @@ def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     """Learn from the rows of ``df`` that are not held out and have a text and a language."""
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    first = Window.partitionBy("lang").orderBy("h", "id")
-    picked = rows.select("id", "lang", F.xxhash64("id").alias("h")).distinct().withColumn("k", F.row_number().over(first))
-    picked = picked.filter(F.col("k") <= PER_LANGUAGE).select("id", "lang")
+    picked = rows.select("id", "lang", F.xxhash64("id").alias("h")).distinct()
+    picked = common.least_hashed(picked, "lang", PER_LANGUAGE).select("id", "lang")
     # bounded: PER_LANGUAGE ids of each language
     sample = rows.join(F.broadcast(picked), ["id", "lang"])
 
