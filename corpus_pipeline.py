@@ -7,37 +7,55 @@ Each stage takes the documents its predecessor kept and calls one operator of
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm import common, language, near_dup, packing, quality, substring_dedup
 
 
+def _plain(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all but the used columns under names that no operator has, and the way back."""
+    names = {c: c if c in used else f"__c{k}" for k, c in enumerate(docs.columns)}
+    out = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return out, lambda df: df.select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised with at least the calibrated score."""
     model = language.train(docs)
-    out = language.predict(docs, model)
-    sure = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= model.threshold)
-    return out.filter(sure).select(*docs.columns)
+    rows, back = _plain(docs, "text")
+    out = language.predict(rows, model)
+    return back(out.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= model.threshold)))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the threshold table."""
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    return quality.passing(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the least id."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the least id.
+
+    Documents without an id are no one's copies and stay.
+    """
     found = near_dup.near_duplicates(docs, shingle=5, percent=80)
     drop = found.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(drop, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts less the passages that an earlier document has; those with nothing left go."""
-    out = substring_dedup.remove_repeats(docs)
-    out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.filter("n_removed = 0 OR n_removed < n_words").select(*docs.columns)
+    """Texts less the passages that an earlier document has; those with nothing left go.
+
+    ``n_chars``, where there is one, follows the text.
+    """
+    rows, back = _plain(docs, "doc_id", "text")
+    out = substring_dedup.remove_repeats(rows).filter("n_removed = 0 OR n_removed < n_words")
+    if "n_chars" in docs.columns:
+        name = f"__c{docs.columns.index('n_chars')}"
+        out = out.withColumn(name, F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col(name)))
+    return back(out)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
