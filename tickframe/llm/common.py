@@ -41,6 +41,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tidy() -> None:
+    """Give memory that is free in this Python worker back to the system: workers stay for later stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

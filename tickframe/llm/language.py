@@ -209,6 +209,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 names, score = model.predict(part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(names, pa.string()), pa.array(score)],
                                                  [*keep, "lang_pred", "score"])
+            common.tidy()
 
     return df.select(*[f"`{c}`" for c in keep]).mapInArrow(run, schema)
 

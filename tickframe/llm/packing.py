@@ -29,6 +29,8 @@ SEQUENCE = 2048
 END_ID = 1
 #: Partitions summed up in one group on the first level of the prefix sums.
 BLOCK = 1024
+#: Text bytes encoded at a time.
+SLICE_BYTES = 4 << 20
 
 #: Chunks whose normal form, case and pre-tokens need no library: letters that
 #: are single code points in either case, then perhaps marks.
@@ -111,7 +113,7 @@ def encode_partitions(df: DataFrame, path: str, id_col: str = "doc_id", text: st
 
         part, total = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in pretokens.slices(batch, text):
+            for rows in pretokens.slices(batch, text, SLICE_BYTES):
                 n, ids = encode_texts(rows.column(text), path)
                 first = pretokens.starts(n)
                 data = pa.BinaryArray.from_buffers(pa.binary(), len(n), [
@@ -120,6 +122,7 @@ def encode_partitions(df: DataFrame, path: str, id_col: str = "doc_id", text: st
                     [pa.array(np.full(len(n), part), pa.int32()), rows.column(id_col), pa.array(total + first[:-1]), pa.array(n), data],
                     ["part", "id", "before", "n", "ids"])
                 total += int(first[-1])
+            common.tidy()
 
     return df.select(F.col(f"`{id_col}`"), F.col(f"`{text}`")).mapInArrow(run, schema)
 

@@ -176,6 +176,7 @@ def send(blocks_: DataFrame, id_col: str, text: str, buckets: int) -> DataFrame:
                     out["spread"].append(_pack((s.high - s.low)[g]))
                     out["windows"].append(_pack(n[g].astype(np.int32)))
                     out["words"].append(_pack(b"\n".join([raw[x:y] for x, y in zip(a[g].tolist(), b[g].tolist(), strict=True)])))
+                common.tidy()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(out["bucket"], pa.int32()), pa.array(out["block"], pa.int64()),
                     *(pa.array(out[k], pa.binary()) for k in ("at", "low", "spread", "windows", "words"))], list(out))
@@ -215,6 +216,7 @@ def least_ids(strings: list[bytes], windows: np.ndarray, low: np.ndarray) -> np.
 
 def answer(table: pa.Table) -> pa.Table:
     """For one bucket: per block, the least ids of the windows of super-k-mers that lose one there."""
+    common.tidy()
     known: dict[bytes, int] = {}
     strings, windows, low, records = [], [], [], []
     for row in range(table.num_rows):
@@ -290,6 +292,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", wi
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
+        common.tidy()
         rows = _open(left.column("packed")[0].as_py())
         col = _column(rows, text)
         w = wordhash.words(col)
