@@ -1,12 +1,12 @@
-"""Grouped-map series operators (kind G): back-tests, ABCD pattern, EWMA,
-discounted sums, parameter sweeps.
+"""Series operators: back-tests, ABCD pattern, parameter sweeps, EWMA and discounted sums.
 
-Each is a sequential recurrence over one series, so it runs as
+Back-tests and the ABCD pattern are sequential over one series, so they run as
 ``groupBy(key).applyInPandas``: every key in parallel, one series per task.
 A series here is one row per key and trading day (bars), so a group is
 bounded by the calendar (about 250 rows per year), not by the raw data
-volume.  ABCD membership and the exponential smoothing are vectorised; the
-back-tests visit only the days with an order, the discounted sum every day.
+volume.  ABCD membership is vectorised; the back-tests visit only the days
+with an order.  Exponential smoothing and discounted sums are affine
+recurrences and stay in built-in expressions, for series of any length.
 Keys and dates may be of any type; the results carry the input's types.
 """
 
@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickframe.operators import pieces
+
 TRADE_COLS = "action string, executed boolean, units double, price double, cash double, inventory double, invest_pct double"
 
 
@@ -158,21 +160,6 @@ def abcd_signal_array(ma: np.ndarray, skip: int = 4) -> np.ndarray:
     return sig
 
 
-def ewma_array(x: np.ndarray, w: float) -> np.ndarray:
-    """``y0 = x0``; ``y = y_prev·w + (1 − w)·x``."""
-    return pd.Series(np.asarray(x, float)).ewm(alpha=1 - w, adjust=False).mean().to_numpy()
-
-
-def discounted_array(r: np.ndarray, gamma: float) -> np.ndarray:
-    """``R_t = r_t + γ·R_{t+1}`` from the last row backwards."""
-    out = np.empty(len(r))
-    run = 0.0
-    for t in range(len(r) - 1, -1, -1):
-        run = run * gamma + float(r[t])
-        out[t] = run
-    return out
-
-
 # ------------------------------------------------------------------ Spark operators
 
 def _trade_schema(df: DataFrame, key: str, order: str) -> str:
@@ -240,26 +227,21 @@ def abcd_signal(df: DataFrame, key: str, order: str, ma_col: str, skip: int = 4)
     return df.select(key, order, ma_col).groupBy(key).applyInPandas(run, schema)
 
 
-def ewma(df: DataFrame, key: str, order: str, value: str, w: float, out: str = "ewma") -> DataFrame:
-    """ts.ewma: exponential smoothing ``y = y_prev·w + (1 − w)·x``, y0 = x0."""
-    schema = f"{_type(df, key)}, {_type(df, order)}, {out} double"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        return pd.DataFrame({key: pdf[key].to_numpy(), order: pdf[order].to_numpy(),
-                             out: ewma_array(pdf[value].to_numpy(float), w)})
-    return df.select(key, order, value).groupBy(key).applyInPandas(run, schema)
+def ewma(df: DataFrame, key: str, order: str, value: str, w: float, out: str = "ewma", split: int | None = None) -> DataFrame:
+    """ts.ewma: exponential smoothing ``y = y_prev·w + (1 − w)·x``, y0 = x0.
 
+    Built-in expressions only (``pieces.affine``).  As in the recurrence, a NaN
+    stays for all later rows; a NULL row has NULL and is passed over.  With
+    ``split``, keys of more rows than that are numbered range by range."""
+    x = F.col(f"`{value}`").cast("double")
+    return pieces.affine(df.select(key, order, value), key, order, w, x * (1 - w), x, out, split).select(key, order, out)
 
-def discounted_sum(df: DataFrame, key: str, order: str, value: str, gamma: float, out: str = "discounted") -> DataFrame:
-    """ts.discounted_sum: ``R_t = r_t + γ·R_{t+1}``, computed backwards."""
-    schema = f"{_type(df, key)}, {_type(df, order)}, {out} double"
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        return pd.DataFrame({key: pdf[key].to_numpy(), order: pdf[order].to_numpy(),
-                             out: discounted_array(pdf[value].fillna(0.0).to_numpy(float), gamma)})
-    return df.select(key, order, value).groupBy(key).applyInPandas(run, schema)
+def discounted_sum(df: DataFrame, key: str, order: str, value: str, gamma: float, out: str = "discounted",
+                   split: int | None = None) -> DataFrame:
+    """ts.discounted_sum: ``R_t = r_t + γ·R_{t+1}``, computed backwards; NULL counts as 0."""
+    r = F.coalesce(F.col(f"`{value}`").cast("double"), F.lit(0.0))
+    return pieces.affine(df.select(key, order, value), key, order, gamma, r, None, out, split, descending=True).select(key, order, out)
 
 
 def sweep(df: DataFrame, params: list[dict], key: str, order: str, price: str,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.operators.relational import null_safe_join
-from tickframe.operators import clean, windows
+from tickframe.operators import clean, pieces, windows
 
 PRICE_COLS = ["Name", "Date", "Open", "Close", "Low", "High", "AdjClose", "Volume",
               "record_ingestion_date"]
@@ -92,19 +92,21 @@ def increment_prices(raw_day: DataFrame, stored: DataFrame, run_date) -> DataFra
 
     Per symbol, what counts as history is its last stored row before its first
     new day, so a rerun doesn't take its own rows for history and a symbol
-    missing from the last snapshot has one.  Stored rows from that day on that
-    the new rows don't replace are computed again (a late file changes the
-    day after it) and keep their own ingestion date."""
+    missing from the last snapshot has one.  Of the stored rows from that day on
+    only the one after a new row has another change than before; it is computed
+    again and keeps its own ingestion date."""
     new = clean_prices(raw_day, run_date)
     first = new.groupBy("Name").agg(F.min("Date").alias("__first"))
     touched = null_safe_join(stored.select(*PRICE_COLS), first, "Name")
     before = F.col("Date") < F.col("__first")
     last = touched.filter(before).groupBy("Name").agg(F.max_by(F.struct(*PRICE_COLS), "Date").alias("r")).select("r.*")
     later = null_safe_join(touched.filter(~before).select(*PRICE_COLS), new.select("Name", "Date"), ["Name", "Date"], "left_anti")
-    tag = "__written"
-    merged = (new.unionByName(later).withColumn(tag, F.lit(True))
+    tag, after = "__new", "__after_new"
+    merged = (new.withColumn(tag, F.lit(True))
+                 .unionByName(later.withColumn(tag, F.lit(False)))
                  .unionByName(last.withColumn(tag, F.lit(False))))
-    return windows.lag_change(merged).filter(tag).drop(tag)
+    merged = merged.withColumn(after, F.lag(tag).over(Window.partitionBy("Name").orderBy("Date")))
+    return windows.lag_change(merged).filter(F.col(tag) | F.coalesce(after, F.lit(False))).drop(tag, after)
 
 
 def _as_date(d):
@@ -115,12 +117,17 @@ def _as_date(d):
 
 # ---------------------------------------------------------------- calendar
 
-def densify(df: DataFrame, key: str, date: str, values: Sequence[str]) -> DataFrame:
+def densify(df: DataFrame, key: str, date: str, values: Sequence[str], split: int | None = None) -> DataFrame:
     """ts.densify_ffill: one row per key and calendar day from the key's first
-    to last day; missing days carry the last known values forward."""
+    to last day; missing days carry the last known values forward.  With
+    ``split``, a key with more days than that is filled range by range."""
     span = df.groupBy(key).agg(F.min(date).alias("__lo"), F.max(date).alias("__hi"))
     grid = span.select(key, F.explode(F.sequence("__lo", "__hi")).alias(date))
     j = null_safe_join(grid, df.select(key, date, *values), [key, date], "left")
+    if split is not None:
+        for v in values:
+            j = pieces.running(j, key, date, v, "last", v, split)
+        return j.select(key, date, *values)
     w = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
     return j.select(key, date, *[F.last(v, ignorenulls=True).over(w).alias(v) for v in values])
 

@@ -6,8 +6,8 @@ every key in one plan.  Two families:
 * series-level (bars, one row per key and day): per-key row counts are bounded
   by the calendar, so a plain ``partitionBy(key)`` window is the right plan;
 * row-level (raw events): a key may hold a large share of all rows, so
-  ``lag_split`` spreads one key over time buckets and stitches the bucket
-  edges back together with a small per-bucket table.
+  ``lag_split``, and ``running`` and ``rolling`` with ``split``, cut hot keys
+  into ranges of their order (see ``pieces``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators import pieces
 from tickframe.operators.relational import null_safe_join
 
 
@@ -42,16 +43,19 @@ def lag_change(df: DataFrame, key="Name", order="Date", value="Close", digits: i
 
 
 def lag_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-              bucket: Column, prefix: str = "prev_") -> DataFrame:
+              bucket: Column | None = None, prefix: str = "prev_", rows: int = pieces.PIECE_ROWS) -> DataFrame:
     """Exact ``lag(values)`` per key ordered by ``order``, skew-safe.
 
-    ``bucket`` must be monotone in ``order`` (e.g. the day of a timestamp).
-    Rows are windowed per (key, bucket), so one hot key is spread over many
-    tasks.  The first row of each bucket takes the last row of the previous
-    non-empty bucket of the same key, found from a per-(key, bucket) tail
+    Keys with more than ``rows`` rows are cut into ranges by sampled splitters
+    of the full order.  A caller who knows a ``bucket`` that is monotone in
+    ``order`` and small for every key (say, the hour) may give it instead: rows
+    are then windowed per (key, bucket), and the first row of each bucket takes
+    the last row of the previous non-empty one from a per-(key, bucket) tail
     table that is partially aggregated before the shuffle.
     """
     keys, order, values = list(keys), list(order), list(values)
+    if bucket is None:
+        return pieces.shifted(df, keys, order, values, prefix, rows)
     b = "__bucket"
     d = df.withColumn(b, bucket)
     w_in = Window.partitionBy(*keys, b).orderBy(*order)
@@ -67,31 +71,32 @@ def lag_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], values:
     return j.drop("__prev_in", "__prev_tail", b)
 
 
-def idle_gap(df: DataFrame, key: str, start: str, end: str, order_tie: str,
-             bucket_unit: str = "day") -> DataFrame:
+def idle_gap(df: DataFrame, key: str, start: str, end: str, order_tie: str, rows: int = pieces.PIECE_ROWS) -> DataFrame:
     """win.gap: seconds between this row's start and the previous row's end
     per key (NULL on a key's first row)."""
-    out = lag_split(df, [key], [start, order_tie], [end], F.date_trunc(bucket_unit, F.col(start)),
-                    prefix="__p_")
+    out = lag_split(df, [key], [start, order_tie], [end], prefix="__p_", rows=rows)
     return out.withColumn(
         "gap_seconds", F.timestamp_diff("SECOND", F.col("__p_" + end), F.col(start))).drop("__p_" + end)
 
 
 def rolling(df: DataFrame, key, order, value: str, fn: str, window: int,
-            min_periods: int | None = None, shift: int = 0, out: str | None = None) -> DataFrame:
+            min_periods: int | None = None, shift: int = 0, out: str | None = None, split: int | None = None) -> DataFrame:
     """win.rolling_mean / rolling_std / rolling_extreme (pandas ``rolling``).
 
     Frame = the ``window`` rows ending ``shift`` rows before the current one.
     The result is NULL unless at least ``min_periods`` non-null values are in
-    the frame (pandas default: ``min_periods = window``).
+    the frame (pandas default: ``min_periods = window``).  With ``split``, keys
+    of more rows than that are cut into ranges, each with the rows it needs of
+    the range before.
     """
+    if split is not None:
+        return pieces.rolling(df, key, order, value, fn, window, min_periods, shift, out, split)
     min_periods = window if min_periods is None else min_periods
     w = (Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
          .rowsBetween(-(window - 1) - shift, -shift))
-    agg = {"mean": F.avg, "std": F.stddev_samp, "max": F.max, "min": F.min, "sum": F.sum}[fn]
     out = out or f"{fn}_{window}"
     return df.withColumn(
-        out, F.when(F.count(value).over(w) >= min_periods, agg(value).over(w)))
+        out, F.when(F.count(value).over(w) >= min_periods, pieces.ROLLING[fn](value).over(w)))
 
 
 def pct_change(df: DataFrame, key, order, value: str, out: str = "pct_change") -> DataFrame:
@@ -109,8 +114,11 @@ def diff(df: DataFrame, key, order, value: str, out: str = "diff") -> DataFrame:
     return df.withColumn(out, F.col(value) - F.lag(value).over(w))
 
 
-def running(df: DataFrame, key, order, value: str, fn: str = "sum", out: str | None = None) -> DataFrame:
-    """win.running_sum / win.running_max: rows unbounded preceding..current."""
+def running(df: DataFrame, key, order, value: str, fn: str = "sum", out: str | None = None, split: int | None = None) -> DataFrame:
+    """win.running_sum / win.running_max: rows unbounded preceding..current.  With ``split``, keys of
+    more rows than that are cut into ranges that take up where the ranges before end."""
+    if split is not None:
+        return pieces.running(df, key, order, value, fn, out, split)
     w = (Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     agg = {"sum": F.sum, "max": F.max, "min": F.min}[fn]

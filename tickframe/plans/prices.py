@@ -104,8 +104,7 @@ SELECT o_custkey, o_orderkey, o_orderdate,
 FROM orders""")
 def q_win_lag(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    out = windows.lag_split(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey"],
-                            F.date_trunc("month", "o_orderdate"), prefix="prev_")
+    out = windows.lag_split(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey"])
     # nullable key as DOUBLE so NULLs read back the same in every client
     return out.withColumn("prev_orderkey", F.col("prev_o_orderkey").cast("double")).drop("prev_o_orderkey")
 

@@ -49,7 +49,7 @@ def register(name: str, sql: str | None = None):
 
 
 PLAN_MODULES = ("prices", "io_plans", "relational", "aggregates", "windowed", "scalars", "corpus",
-                "series", "strategies", "ml_plans", "streams")
+                "ordered", "series", "strategies", "ml_plans", "streams")
 
 
 def _load_all() -> None:
