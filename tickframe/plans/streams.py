@@ -43,12 +43,15 @@ def streamed(spark, d, file_of, files, runs=1):
     return out.select("Name", "Date", "Close", "prev_close", "change", "change_in_percent")
 
 
-MONTHS = [f"2001-{m:02d}" for m in range(1, 13)]
+#: Months of arrival; what is dated after them arrives in one last file.
+MONTHS = [f"2001-{m:02d}" for m in range(1, 8)]
+LAST_FILE = "later"
 
 
 @register("stream.daily_increment", SQL_NEW_DAYS)
 def stream_daily_increment(spark, d):
-    return streamed(spark, d, F.when(F.month("Date") < 12, F.date_format("Date", "yyyy-MM")).otherwise("2001-12"), MONTHS[:8])
+    month = F.date_format("Date", "yyyy-MM")
+    return streamed(spark, d, F.when(month.isin(MONTHS), month).otherwise(LAST_FILE), [*MONTHS, LAST_FILE])
 
 
 @register("stream.two_files_one_day", SQL_NEW_DAYS)
