@@ -1,57 +1,114 @@
-"""§2.9 SQL-ML and text operators as ``pyspark.ml`` pipelines.
+"""§2.9 SQL-ML and text operators.
 
-Training is distributed (the linear models build their normal equations /
-gradients with tree aggregation); only the fitted model returns to the
-driver.  Feature transforms live inside the ``PipelineModel`` so scoring
-takes raw columns, like a model created with a TRANSFORM clause.
+Training is distributed: a linear model is solved from counts of pairs of
+levels, which one aggregate pass gives, the text classifier is a ``pyspark.ml``
+pipeline.  Only the fitted model returns to the driver.  Feature transforms
+live inside the model so scoring takes raw columns, like a model created with
+a TRANSFORM clause.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import (HashingTF, IDF, OneHotEncoder, RegexTokenizer, SQLTransformer, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def linreg(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str] = (),
-           transform_sql: str | None = None) -> PipelineModel:
-    """ml.linreg_*: linear regression with every categorical column one-hot
-    encoded; ``transform_sql`` (a ``SQLTransformer`` statement over
-    ``__THIS__``) runs first inside the pipeline."""
-    stages = []
-    if transform_sql:
-        stages.append(SQLTransformer(statement=transform_sql))
-    idx = [f"{c}__idx" for c in categorical]
-    vec = [f"{c}__vec" for c in categorical]
-    if categorical:
-        # dummy coding: one level per categorical dropped, so the design with an
-        # intercept has full rank and the normal-equation solver applies
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True))
-    stages.append(VectorAssembler(inputCols=vec + list(numeric), outputCol="features"))
-    stages.append(LinearRegression(featuresCol="features", labelCol=label, predictionCol="predicted_" + label,
-                                   solver="normal", regParam=0.0))
-    return Pipeline(stages=stages).fit(df)
-
-
-def evaluate_regression(model: PipelineModel, df: DataFrame, label: str, name: str) -> DataFrame:
-    """ML.EVALUATE: one row of metrics for a fitted regression pipeline."""
-    pred = model.transform(df)
-    ev = RegressionEvaluator(labelCol=label, predictionCol="predicted_" + label)
-    spark = df.sparkSession
-    lr = model.stages[-1]
-    metrics = {m: ev.evaluate(pred, {ev.metricName: m}) for m in ("rmse", "mae", "r2")}
-    return spark.createDataFrame(
-        [(name, metrics["rmse"], metrics["mae"], metrics["r2"], len(lr.coefficients), lr.summary.numInstances)],
-        "model string, rmse double, mae double, r2 double, n_coefficients int, n_train long")
+#: Levels of all categorical columns together; the normal equations are a square of this side on the driver.
+MAX_LEVELS = 5_000
+
+
+def pair_counts(df: DataFrame, label: str, categorical: Sequence[str]) -> DataFrame:
+    """The sufficient statistics of a regression on categorical columns: per pair of levels
+    (c1 = v1, c2 = v2) the count of rows, and for a level with itself the sum of the label.
+
+    Statistics of parts of a table add up to those of the whole.  Rows are first
+    collapsed to one per combination of levels by a partial aggregate.  A NULL is a level;
+    rows without a label are left out."""
+    y = F.col(f"`{label}`").cast("double")
+    cells = df.filter(y.isNotNull()).groupBy(*[F.col(f"`{c}`").cast("string").alias(f"c{k}") for k, c in enumerate(categorical)]).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"))
+    each = [F.struct(F.lit(i).alias("c1"), F.col(f"c{i}").alias("v1"), F.lit(j).alias("c2"), F.col(f"c{j}").alias("v2"))
+            for i in range(len(categorical)) for j in range(i, len(categorical))]
+    pairs = cells.select(F.explode(F.array(*each)).alias("p"), "n", "s").select("p.*", "n", "s")
+    return pairs.groupBy("c1", "v1", "c2", "v2").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+
+
+@dataclass
+class LinearModel:
+    """Intercept plus one coefficient per level of each categorical column (0 for the first one);
+    ``transform`` is a SELECT over ``__THIS__`` that scoring runs first."""
+    label: str
+    categorical: tuple[str, ...]
+    intercept: float
+    coefficients: list[tuple[int, str | None, float]]
+    n_coefficients: int
+    transform: str | None = None
+
+    def prepared(self, df: DataFrame) -> DataFrame:
+        return df.sparkSession.sql(self.transform.replace("__THIS__", "{df}"), df=df) if self.transform else df
+
+    def predict(self, df: DataFrame, out: str | None = None) -> DataFrame:
+        """The (transformed) rows with their prediction; a level that was not trained on adds 0."""
+        df, total = self.prepared(df), F.lit(self.intercept)
+        table = df.sparkSession.createDataFrame(self.coefficients or [(-1, None, 0.0)], "c int, v string, b double")
+        for k, c in enumerate(self.categorical):
+            # bounded by MAX_LEVELS
+            of = F.broadcast(table.filter(F.col("c") == k).select(F.col("v").alias(f"__v{k}"), F.col("b").alias(f"__b{k}")))
+            df = df.join(of, F.col(f"`{c}`").cast("string").eqNullSafe(F.col(f"__v{k}")), "left")
+            total = total + F.coalesce(f"__b{k}", F.lit(0.0))
+        df = df.withColumn(out or f"predicted_{self.label}", total)
+        return df.drop(*[f"__{x}{k}" for x in "vb" for k in range(len(self.categorical))])
+
+
+def linreg(df: DataFrame, label: str, categorical: Sequence[str], transform: str | None = None) -> LinearModel:
+    """ml.linreg_*: least squares on categorical columns, each dummy-coded, with an intercept.
+
+    One pass over the rows; the normal equations are solved once from the counts of
+    pairs of levels.  Where they are singular (a level that only occurs with another one),
+    the solution of least length is taken, which predicts the same."""
+    model = LinearModel(label, tuple(categorical), 0.0, [], 0, transform)
+    got = pair_counts(model.prepared(df), label, categorical).limit(MAX_LEVELS * MAX_LEVELS + 1).collect()
+    levels = sorted({(r.c1, r.v1) for r in got} | {(r.c2, r.v2) for r in got}, key=lambda x: (x[0], x[1] is not None, x[1] or ""))
+    if len(levels) > MAX_LEVELS:
+        raise ValueError(f"more than {MAX_LEVELS} levels")
+    base = {min((x for x in levels if x[0] == k), key=levels.index) for k in {c for c, _ in levels}}
+    place = {x: k + 1 for k, x in enumerate(x for x in levels if x not in base)}
+    g, t = np.zeros((len(place) + 1,) * 2), np.zeros(len(place) + 1)
+    for r in got:
+        i, j = place.get((r.c1, r.v1)), place.get((r.c2, r.v2))
+        if (r.c1, r.v1) == (r.c2, r.v2):
+            if r.c1 == 0:
+                g[0, 0] += r.n
+                t[0] += r.s
+            if i:
+                g[0, i] = g[i, 0] = r.n
+                t[i] = r.s
+        if i and j:
+            g[i, j] = g[j, i] = r.n
+    beta = np.linalg.lstsq(g, t, rcond=None)[0]
+    model.intercept, model.n_coefficients = float(beta[0]), len(place)
+    model.coefficients = [(c, v, float(beta[k])) for (c, v), k in place.items()]
+    return model
+
+
+def evaluate_regression(model: LinearModel, train: DataFrame, test: DataFrame, name: str) -> DataFrame:
+    """ML.EVALUATE: one row of metrics of a fitted model over rows it was not fitted on."""
+    y = F.col(f"`{model.label}`").cast("double")
+    r = y - F.col(f"predicted_{model.label}")
+    n = F.count(r)
+    got = model.predict(test).agg(F.sqrt(F.avg(r * r)).alias("rmse"), F.avg(F.abs(r)).alias("mae"),
+                                  (1 - F.try_divide(F.sum(r * r), F.var_pop(y) * n)).alias("r2"), n.alias("n_test"))
+    seen = model.prepared(train).agg(F.count(y).alias("n_train"))
+    return got.crossJoin(F.broadcast(seen)).select(F.lit(name).alias("model"), "rmse", "mae", "r2",
+                                                   F.lit(model.n_coefficients).alias("n_coefficients"), "n_train", "n_test")
 
 
 def text_classifier(train: DataFrame, text: str, label: str, num_features: int = 1 << 18) -> PipelineModel:

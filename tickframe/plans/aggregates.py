@@ -93,6 +93,52 @@ def agg_corr(spark, d):
     return day.groupBy("event_type").agg(c.alias("corr_value_count"), (F.abs(c) > 0.5).alias("strong"))
 
 
+def _corr_sql(measure, min_corr):
+    return f"""
+WITH a AS (SELECT CAST(l_shipdate AS DATE) AS d, {measure} AS t FROM lineitem),
+x AS (SELECT CAST(o_orderdate AS DATE) AS d, concat(o_orderpriority, ': ', o_orderstatus) AS descriptor, count(*) AS day_count
+      FROM orders GROUP BY 1, 2),
+y AS (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS all_count FROM lineitem GROUP BY 1),
+b AS (SELECT x.d, descriptor, day_count, day_count / all_count AS share FROM x JOIN y ON x.d = y.d),
+g AS (SELECT avg(share) AS avg_share, avg(day_count) AS avg_count, sum(day_count) AS total, descriptor, t
+      FROM a JOIN b ON a.d = b.d GROUP BY descriptor, t)
+SELECT descriptor, CAST(sum(total) AS BIGINT) AS total_count, count(t) AS data_count, round(corr(t, avg_count), 3) AS corr_count,
+       round(corr(t, avg_share), 3) AS corr_share
+FROM g GROUP BY descriptor
+HAVING total_count > 5000 AND abs(corr_share) > {min_corr} AND data_count > 5
+ORDER BY abs(corr_share) DESC, descriptor"""
+
+
+def _corr_points(spark, d, measure):
+    """Calls are orders (complaint = priority and status), the weather of a day its shipped lines."""
+    calls = T(spark, d, "orders").select(F.to_date("o_orderdate").alias("d"),
+                                         F.concat("o_orderpriority", F.lit(": "), "o_orderstatus").alias("descriptor"))
+    return stats.corr_points(calls, T(spark, d, "lineitem").select(F.to_date("l_shipdate").alias("d"), measure.alias("t")), "descriptor", "d", "t")
+
+
+@register("agg.corr.report", _corr_sql("month(l_shipdate)", 0.5))
+def agg_corr_report(spark, d):
+    return stats.corr_report(_corr_points(spark, d, F.month("l_shipdate")), "descriptor", "t")
+
+
+@register("agg.corr.report.second", _corr_sql("year(l_shipdate) * 4 + quarter(l_shipdate)", 0.3))
+def agg_corr_report_second(spark, d):
+    """The same report over another measure of the second source."""
+    points = _corr_points(spark, d, F.year("l_shipdate") * 4 + F.quarter("l_shipdate"))
+    return stats.corr_report(points, "descriptor", "t", min_corr=0.3)
+
+
+@register("agg.corr.regroup", """
+SELECT l_returnflag, count(*) AS n, round(corr(l_quantity, l_extendedprice), 6) AS corr FROM lineitem GROUP BY 1
+UNION ALL SELECT NULL, count(*), round(corr(l_quantity, l_extendedprice), 6) FROM lineitem""")
+def agg_corr_regroup(spark, d):
+    """Correlations per flag and over all lines from the stored states of months, without the lines."""
+    months = stats.comoments(T(spark, d, "lineitem").withColumn("m", F.trunc("l_shipdate", "MM")), ["l_returnflag", "m"], "l_quantity", "l_extendedprice")
+    flags = stats.merge_comoments(months, ["l_returnflag"])
+    whole = stats.merge_comoments(flags, []).withColumn("l_returnflag", F.lit(None).cast("string"))
+    return flags.unionByName(whole).select("l_returnflag", "n", F.round(stats.corr_of(), 6).alias("corr"))
+
+
 # The eleven boundaries of a 10-quantile split.
 DECILES = [i / 10 for i in range(11)]
 
@@ -392,6 +438,17 @@ def agg_corr_matrix(spark, d):
     return m.withColumn("corr", F.round("corr", 9))
 
 
+@register("agg.corr_matrix.parts", f"""
+WITH m AS (SELECT l_partkey % 300 AS k, CAST(date_trunc('month', l_shipdate) AS DATE) AS m, CAST(sum({NET}) AS DOUBLE) AS rev
+           FROM lineitem GROUP BY 1, 2)
+SELECT a.k AS a, b.k AS b, round(corr(a.rev, b.rev), 6) AS corr FROM m a JOIN m b ON a.m = b.m AND a.k <= b.k GROUP BY 1, 2""")
+def agg_corr_matrix_parts(spark, d):
+    """Every pair of 300 groups of parts by monthly revenue."""
+    m = T(spark, d, "lineitem").groupBy((F.col("l_partkey") % 300).alias("k"), F.trunc("l_shipdate", "MM").alias("m")).agg(
+        F.sum(net()).cast("double").alias("rev"))
+    return stats.corr_matrix(m, "k", "m", "rev").withColumn("corr", F.round("corr", 6))
+
+
 @register("agg.regr", """
 SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
        round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept,

@@ -20,7 +20,7 @@ T = table
 def _trips(spark, d):
     e = T(spark, d, "events")
     return e.select(F.col("value").alias("duration"), F.col("event_type").alias("start_station_name"),
-                    F.col("ts").alias("start_date"))
+                    F.col("ts").alias("start_date"), F.col("event_id").alias("trip_id"))
 
 
 def _features(trips):
@@ -43,20 +43,60 @@ def ml_features(spark, d):
     return _features(_trips(spark, d))
 
 
-@register("ml.linreg_cat")
+#: Rows held out for evaluation: one in five by a hash of the trip's id.
+HELD_OUT = 5
+
+
+def _split(trips):
+    held = F.conv(F.substring(F.md5(F.col("trip_id").cast("string")), 1, 4), 16, 10).cast("long") % HELD_OUT == 0
+    return trips.filter(~held), trips.filter(held)
+
+
+def _linreg_sql(name, day, hour, cycles=10):
+    """Least squares on three factors by refitting one at a time until nothing moves; cells are
+    their combinations, so the rows are read twice however many cycles there are."""
+    steps, last = [], "f0"
+    for k in range(3 * cycles):
+        by = ("st", "dy", "hr")[k % 3]
+        steps.append(f"f{k + 1} AS (SELECT st, dy, hr, n, s, f + coalesce(sum(s - n * f) OVER (PARTITION BY {by}) / nullif(sum(n) OVER (PARTITION BY {by}), 0), 0)"
+                     f" AS f FROM {last})")
+        last = f"f{k + 1}"
+    return f"""
+WITH e AS (
+  SELECT value AS y, event_type AS st, {day} AS dy, {hour} AS hr, ('0x' || substr(md5(event_id::VARCHAR), 1, 4))::BIGINT % {HELD_OUT} = 0 AS held
+  FROM events),
+f0 AS MATERIALIZED (
+  SELECT st, dy, hr, count(*) FILTER (WHERE NOT held) AS n, coalesce(sum(y) FILTER (WHERE NOT held), 0) AS s, 0.0::DOUBLE AS f FROM e GROUP BY 1, 2, 3),
+{", ".join(steps)},
+t AS (SELECT y, y - f AS r FROM e JOIN {last} USING (st, dy, hr) WHERE held)
+SELECT '{name}' AS model, round(sqrt(avg(r * r)), 6) AS rmse, round(avg(abs(r)), 6) AS mae, round(1 - sum(r * r) / (var_pop(y) * count(*)), 6) AS r2,
+       (SELECT count(DISTINCT st) + count(DISTINCT dy) + count(DISTINCT hr) - 3 FROM e WHERE NOT held) AS n_coefficients,
+       (SELECT count(*) FROM e WHERE NOT held) AS n_train, count(*) AS n_test
+FROM t"""
+
+
+def _evaluated(model, train, test, name):
+    out = ml.evaluate_regression(model, train, test, name)
+    return out.withColumns({c: F.round(c, 6) for c in ("rmse", "mae", "r2")})
+
+
+SQL_DAYTYPE = "IF(dayofweek(ts) + 1 BETWEEN 2 AND 6, 'weekday', 'weekend')"
+
+
+@register("ml.linreg_cat", _linreg_sql("model", "dayofweek(ts)", "hour(ts)"))
 def ml_linreg_cat(spark, d):
-    """duration ~ station + day of week + hour, all categorical."""
-    f = _features(_trips(spark, d))
-    m = ml.linreg(f, "duration", ["start_station_name", "dayofweek", "hourofday"])
-    return ml.evaluate_regression(m, f, "duration", "model")
+    """duration ~ station + day of week + hour, all categorical; scored on held-out trips."""
+    train, test = map(_features, _split(_trips(spark, d)))
+    m = ml.linreg(train, "duration", ["start_station_name", "dayofweek", "hourofday"])
+    return _evaluated(m, train, test, "model")
 
 
-@register("ml.linreg_weekday")
+@register("ml.linreg_weekday", _linreg_sql("model_weekday", SQL_DAYTYPE, "hour(ts)"))
 def ml_linreg_weekday(spark, d):
     """duration ~ station + weekday/weekend + hour."""
-    f = _features(_trips(spark, d))
-    m = ml.linreg(f, "duration", ["start_station_name", "daytype", "hourofday"])
-    return ml.evaluate_regression(m, f, "duration", "model_weekday")
+    train, test = map(_features, _split(_trips(spark, d)))
+    m = ml.linreg(train, "duration", ["start_station_name", "daytype", "hourofday"])
+    return _evaluated(m, train, test, "model_weekday")
 
 
 BUCKET_TRANSFORM = """
@@ -67,12 +107,13 @@ SELECT duration, start_station_name,
 FROM __THIS__"""
 
 
-@register("ml.linreg_bucket")
+@register("ml.linreg_bucket", _linreg_sql(
+    "model_bucketized", SQL_DAYTYPE, "CASE WHEN hour(ts) < 5 THEN 1 WHEN hour(ts) < 10 THEN 2 WHEN hour(ts) < 17 THEN 3 ELSE 4 END"))
 def ml_linreg_bucket(spark, d):
-    """The transform lives inside the model: scoring takes the raw columns."""
-    raw = _trips(spark, d)
-    m = ml.linreg(raw, "duration", ["start_station_name", "dayofweek", "hourofday"], transform_sql=BUCKET_TRANSFORM)
-    return ml.evaluate_regression(m, raw, "duration", "model_bucketized")
+    """The transform lives inside the model: fitting and scoring take the raw columns."""
+    train, test = _split(_trips(spark, d))
+    m = ml.linreg(train, "duration", ["start_station_name", "dayofweek", "hourofday"], BUCKET_TRANSFORM)
+    return _evaluated(m, train, test, "model_bucketized")
 
 
 CATEGORIES = ["poor", "good"]

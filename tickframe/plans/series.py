@@ -233,10 +233,25 @@ def ts_risk_return(spark, d):
                                  F.round(F.stddev_samp("ret"), 9).alias("risk"), F.count("ret").alias("n"))
 
 
-@register("ts.var_montecarlo")
+@register("ts.var_montecarlo", PRICES_WITH + SQL_RETURNS + """,
+st AS (SELECT Name, avg(ret) AS mu, stddev_samp(ret) AS sigma, arg_max(Close, Date) AS start FROM r GROUP BY Name),
+walk AS (
+  SELECT Name, start, mu, sigma, run, md5(concat('42|', Name, '|', run, '|', step)) AS h
+  FROM st, (SELECT unnest(range(10000)) AS run), (SELECT unnest(range(1, 365)) AS step)),
+z AS (
+  SELECT Name, start, mu, sigma, run,
+         sqrt(-2 * ln((('0x' || substr(h, 1, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE))
+           * cos(2 * pi() * ((('0x' || substr(h, 14, 13))::BIGINT + 1) / 4503599627370496.0::DOUBLE)) AS n
+  FROM walk),
+f AS (SELECT Name, start, run, start * product(1 + 2 * mu * (1.0::DOUBLE / 365) + sigma * sqrt(1.0::DOUBLE / 365) * n) AS final_price
+      FROM z GROUP BY Name, start, run)
+SELECT Name, start, round(avg(final_price), 4) AS mean_final, round(quantile_cont(final_price, 0.01), 4) AS q_final,
+       round(start - quantile_cont(final_price, 0.01), 4) AS var
+FROM f GROUP BY Name, start""")
 def ts_var_montecarlo(spark, d):
-    """Random walk per symbol and run (rows-only check; values are random)."""
+    """Random walk per symbol and run, drawn by a hash of (seed, symbol, run, step)."""
     r = _returns(spark, d)
     st = r.groupBy("Name").agg(F.avg("ret").alias("mu"), F.stddev_samp("ret").alias("sigma"),
                                F.max_by("Close", "Date").alias("start"))
-    return stats.var_mc(st, "Name", "start", "mu", "sigma", days=365, runs=10000, seed=42, q=0.01)
+    out = stats.var_mc(st, "Name", "start", "mu", "sigma", days=365, runs=10000, seed=42, q=0.01)
+    return out.select("Name", "start", *[F.round(c, 4).alias(c) for c in ("mean_final", "q_final", "var")])
