@@ -49,6 +49,8 @@ MISFITS = 0.01
 #: Scores below are rejected in any case.
 LEAST_SCORE = 0.75
 UNDETERMINED = "und"
+#: Text bytes handled at a time; a gram takes some 60 bytes of working memory.
+SLICE_BYTES = 1 << 20
 
 _TABLE = np.arange(256, dtype=np.uint8)
 _TABLE[:128] = 32
@@ -182,7 +184,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pretokens.slices(batch, "text"):
+            for part in pretokens.slices(batch, "text", SLICE_BYTES):
                 bucket, owner = grams(part.column("text"))
                 key, n = np.unique(owner.astype(np.int64) * BUCKETS + bucket, return_counts=True)
                 per = pretokens.starts(np.bincount(key // BUCKETS, minlength=part.num_rows))
@@ -205,7 +207,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pretokens.slices(batch, text):
+            for part in pretokens.slices(batch, text, SLICE_BYTES):
                 names, score = model.predict(part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(names, pa.string()), pa.array(score)],
                                                  [*keep, "lang_pred", "score"])

@@ -53,12 +53,13 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = _byte_letters()
+        self.number = list(range(self.whole.get_vocab_size()))  # one object per id, shared by all cached tuples
         self.chunks, self.pieces = pretokens.Recent(), pretokens.Recent()
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         ids = self.pieces.get(piece)
         if ids is None:
-            ids = tuple(t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters)))
+            ids = tuple(self.number[t.id] for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters)))
             self.pieces.put(piece, ids)
         return ids
 
@@ -70,7 +71,7 @@ class WordEncoder:
                 if m := _PLAIN.fullmatch(c):
                     ids = self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else ())
                 else:
-                    ids = tuple(self.whole.encode(c, add_special_tokens=False).ids)
+                    ids = tuple(self.number[k] for k in self.whole.encode(c, add_special_tokens=False).ids)
                 self.chunks.put(c, ids)
             out.append(ids)
         return out
