@@ -88,7 +88,8 @@ def corr_matrix(df: DataFrame, key: str, date: str, value: str, key_block: int =
     import numpy as np
     import pandas as pd
 
-    s = df.select(F.col(key).alias("a"), F.col(date).alias("d"), F.col(value).cast("double").alias("x")).dropna()
+    s = df.select(F.col(key).alias("a"), F.col(date).alias("d"), F.col(value).cast("double").alias("x"))
+    s = s.filter("a IS NOT NULL AND d IS NOT NULL AND x IS NOT NULL")
     s = s.groupBy("a", "d").agg(F.max("x").alias("x"))
     finite = F.when(F.abs("x") < float("inf"), F.col("x"))
     mean = s.groupBy("a").agg(F.coalesce(F.avg(finite), F.lit(0.0)).alias("m"))
