@@ -33,3 +33,28 @@ def test_near_equal_and_distant_vectors(spark):
     got = {r["id"]: r["novelty"] for r in knn.knn_novelty(df, {"all": df}, "id", "v", k=4, block=2).collect()}
     for i in range(len(x)):
         assert abs(got[i] - np.sort(np.sqrt(((x - x[i]) ** 2).sum(1)))[:4].mean()) < 1e-7
+
+
+def test_block_pairs_fall_and_answers_stay(spark, monkeypatch):
+    """Clustered vectors in small blocks: most block pairs are left out, nothing changes; copies count each."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 6)) * 50
+    ref = [[float(v) for v in centres[rng.integers(12)] + rng.normal(size=6)] for _ in range(600)]
+    ref += [ref[0]] * 30
+    qs = [(k, [float(v) for v in centres[k % 12] + rng.normal(size=6)]) for k in range(200)]
+    kept = []
+    pairs = knn.block_pairs
+
+    def counted(q, r, k):
+        out = pairs(q, r, k)
+        kept.append((out.count(), q.count() * r.count()))
+        return out
+    monkeypatch.setattr(knn, "block_pairs", counted)
+    df = spark.createDataFrame(qs, "id int, v array<double>").repartition(3)
+    refs = spark.createDataFrame([(v,) for v in ref], "v array<double>").repartition(4)
+    got = {r.id: r.novelty for r in knn.knn_novelty(df, {"a": refs}, "id", "v", k=5, block=20).collect()}
+    x = np.array(ref)
+    for k, v in qs:
+        want = np.sort(np.sqrt(((x - np.array(v)) ** 2).sum(1)))[:5].mean()
+        assert abs(got[k] - want) < 1e-9
+    assert kept[0][0] < 0.5 * kept[0][1]

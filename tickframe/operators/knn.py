@@ -1,70 +1,124 @@
 """ts.knn_novelty: mean Euclidean distance to the k nearest reference vectors.
 
-Exact search as a block join: queries and references are cut into blocks by
-a hash of their rows, and each pair of blocks is one grouped task that
-computes its distances directly and keeps the k least of each query.  These
-lists are merged in stages of ``FAN`` blocks, so no task holds more than
-``FAN * k`` distances of a query.  Nothing passes through the driver but the
-row counts.  The work is |queries| * |references| by definition; a block's
-rows are bounded, its number of copies grows with the other side's blocks.
+Exact search as a block join.  A few reference vectors, those with the least
+hashes, are *pivots*; rows are dealt into blocks by their nearest pivot and,
+where that holds too many, by a hash of the row.  Equal reference vectors are
+one with a multiplicity, so blocks follow from the rows' content alone and a
+task that runs again deals them the same.
+
+Each block keeps the least and the largest distance of its rows to every pivot.
+By the triangle inequality these bound the distances between two blocks from
+below and from above: a query block's k nearest lie within the upper bound at
+which its nearest blocks hold k vectors, and block pairs whose lower bound is
+beyond that are left out without changing any result.  Each pair that stays is
+one grouped task that computes its distances directly and keeps the k least of
+each query.  These lists are merged in stages of ``FAN`` blocks, so no task
+holds more than ``FAN * k`` distances of a query.  What passes through the driver
+is the pivots and counts.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a block, and lists merged at a time.
-BLOCK, FAN = 4096, 32
+from tickframe.session import scratch_path
+
+#: Rows of a block, lists merged at a time, and pivots of a reference set.
+BLOCK, FAN, PIVOTS = 4096, 32, 16
 
 
-def _least(q: np.ndarray, ref: np.ndarray, k: int) -> np.ndarray:
+def _least(q: np.ndarray, ref: np.ndarray, many: np.ndarray, k: int) -> list[np.ndarray]:
     """The k least distances of each query, from differences, so that vectors far from the origin lose no digits."""
-    k = min(k, len(ref))
-    out = np.empty((len(q), k))
-    for i, x in enumerate(q):
+    top, out = min(k, len(ref)), []
+    for x in q:
         d = ref - x
-        out[i] = np.sort(np.partition(np.einsum("ij,ij->i", d, d), k - 1)[:k])
-    return np.sqrt(out)
-
-
-def _blocks(df: DataFrame, block: int) -> int:
-    return max(1, math.ceil(df.count() / block))
+        d = np.einsum("ij,ij->i", d, d)
+        first = np.argpartition(d, top - 1)[:top]
+        first = first[np.argsort(d[first], kind="stable")]
+        out.append(np.sqrt(np.repeat(d[first], np.minimum(many[first], k))[:k]))
+    return out
 
 
 def _merged(cand: DataFrame, by: list[str | Column], k: int) -> DataFrame:
     return cand.groupBy(*by).agg(F.slice(F.array_sort(F.flatten(F.collect_list("dists"))), 1, k).alias("dists"))
 
 
+def _dealt(df: DataFrame, name: str, key: str, pivots: np.ndarray, block: int) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its block's number, and per block its number, rows and distances to the pivots."""
+    def near(batches):
+        for t in batches:
+            x = np.stack(t["v"].to_numpy()).astype(np.float64) if len(t) else np.zeros((0, pivots.shape[1]))
+            d = np.sqrt(((x[:, None, :] - pivots[None]) ** 2).sum(2))
+            yield t.assign(cell=d.argmin(1).astype("int32") if len(t) else np.zeros(0, "int32"), far=list(d))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    rows = df.mapInPandas(near, f"{fields}, cell int, far array<double>")
+    path = scratch_path(df.sparkSession, f"knn-{uuid.uuid4().hex}")
+    rows.write.parquet(path)
+    rows = df.sparkSession.read.schema(rows.schema).parquet(path)
+    cells = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))  # a row per pivot
+    rows = rows.join(F.broadcast(cells), "cell").withColumn("part", F.pmod(F.xxhash64(key), "parts").cast("int")).drop("parts")
+    p = range(len(pivots))
+    held = F.sum("many") if "many" in df.columns else F.count(F.lit(1))
+    size = rows.groupBy("cell", "part").agg(held.alias(f"{name}_rows"),
+                                            F.array(*[F.min(F.col("far")[t]) for t in p]).alias(f"{name}_lo"),
+                                            F.array(*[F.max(F.col("far")[t]) for t in p]).alias(f"{name}_hi"))
+    size = size.withColumn(name, F.row_number().over(Window.orderBy("cell", "part")) - 1)  # a row per block
+    return rows, size
+
+
+def block_pairs(queries: DataFrame, refs: DataFrame, k: int) -> DataFrame:
+    """(qb, rb) of the block pairs that can hold one of a query's k nearest; all blocks meet, no rows."""
+    both = queries.crossJoin(refs)
+    lower = F.array_max(F.zip_with(F.zip_with("qb_lo", "rb_hi", lambda a, b: a - b), F.zip_with("rb_lo", "qb_hi", lambda a, b: a - b),
+                                   lambda a, b: F.greatest(a, b, F.lit(0.0))))
+    upper = F.array_min(F.zip_with("qb_hi", "rb_hi", lambda a, b: a + b))
+    both = both.select("qb", "rb", "rb_rows", lower.alias("lower"), upper.alias("upper"))
+    so_far = Window.partitionBy("qb").orderBy("upper", "rb").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("seen", F.sum("rb_rows").over(so_far))
+    reach = F.min(F.when(F.col("seen") >= k, F.col("upper"))).over(Window.partitionBy("qb"))
+    # a little more than the bound, for the rounding of distances
+    return both.withColumn("reach", reach).filter(F.col("reach").isNull() | (F.col("lower") <= F.col("reach") * (1 + 1e-9) + 1e-12)).select("qb", "rb")
+
+
 def knn_novelty(queries: DataFrame, refs: Mapping[str, DataFrame], id_col: str, vec_col: str, k: int = 4,
-                block: int = BLOCK) -> DataFrame:
+                block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
     """For every query vector: Σ over reference sets of the mean distance to
     its k nearest vectors in that set (a set with no rows adds 0)."""
     id_type = dict(queries.dtypes)[id_col]
     q = queries.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
-    n_q = _blocks(q, block)
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"id": left["id"].iloc[:0], "rb": pd.Series([], dtype="int32"), "dists": pd.Series([], dtype=object)})
         x, y = (np.stack(t["v"].to_numpy()).astype(np.float64) for t in (left, right))
-        return pd.DataFrame({"id": left["id"], "rb": int(right["rb"].iloc[0]), "dists": list(_least(x, y, k))})
+        return pd.DataFrame({"id": left["id"], "rb": int(right["rb_"].iloc[0]), "dists": _least(x, y, right["many"].to_numpy(), k)})
 
     sets = []
-    for tag, ref in refs.items():
-        r = ref.select(F.col(vec_col).alias("v"))
-        n_r = _blocks(r, block)
-        left = (q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)))
-                 .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(n_r - 1)))))
-        right = (r.withColumn("rb", F.pmod(F.xxhash64("v", F.monotonically_increasing_id()), F.lit(n_r)).cast("int"))
-                  .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))).withColumn("qb", F.col("qb").cast("long")))
-        cand = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInPandas(
+    for ref in refs.values():
+        r = ref.select(F.col(vec_col).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("many"))
+        first = r.select("v").orderBy(F.xxhash64("v"), "v").limit(pivots).collect()  # bounded: the pivots
+        if not first:
+            continue
+        centres = np.array([x.v for x in first], np.float64)
+        left, left_blocks = _dealt(q, "qb", "id", centres, block)
+        right, right_blocks = _dealt(r, "rb", "v", centres, block)
+        pairs = block_pairs(left_blocks, right_blocks, k)
+        pairs = pairs.join(left_blocks.select("qb", F.col("cell").alias("qc"), F.col("part").alias("qp")), "qb")
+        pairs = pairs.join(right_blocks.select("rb", F.col("cell").alias("rc"), F.col("part").alias("rp")), "rb")
+        left = left.join(pairs, (F.col("cell") == F.col("qc")) & (F.col("part") == F.col("qp"))).select("id", "v", "qb", "rb")
+        right = right.join(pairs, (F.col("cell") == F.col("rc")) & (F.col("part") == F.col("rp"))).select(
+            "v", "many", F.col("qb").alias("qb_"), F.col("rb").alias("rb_"))  # columns of their own
+        cand = left.groupBy("qb", "rb").cogroup(right.groupBy("qb_", "rb_")).applyInPandas(
             compare, f"id {id_type}, rb int, dists array<double>")
+        n_r = right_blocks.count()
         while n_r > FAN:
             cand = _merged(cand, ["id", F.floor(F.col("rb") / FAN).cast("int").alias("rb")], k)
             n_r = math.ceil(n_r / FAN)
