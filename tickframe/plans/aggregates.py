@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.money import D, DAVG, DSUM, NET, dec, davg, dsum, net
 from tickframe.operators import relational as rel
-from tickframe.operators import stats, windows
+from tickframe.operators import sketches, stats, windows
 from tickframe.operators.quantiles import exact_percentiles
 from tickframe.plans.prices import SQL_PRICES, INGEST_DATE, prices
 from tickframe.plans.registry import register
+from tickframe.session import scratch_path
 from tickframe.sources.tables import table
 
 T = table
@@ -489,3 +492,54 @@ def agg_window_report(spark, d):
 @register("agg.window_report.weekly", _report_sql(7))
 def agg_window_report_weekly(spark, d):
     return change_report(prices(spark, d), "2001-08-01", 7)
+
+
+SKETCH_LAST, SKETCH_WINDOWS = "2024-01-30", (30, 7)
+
+
+@register("agg.approx_quantiles.window", """
+WITH e AS (SELECT event_type, CAST(ts AS DATE) AS d, value FROM events),
+w AS (SELECT unnest([30, 7]) AS days)
+SELECT CAST(days AS BIGINT) AS days, event_type, count(value) AS n, min(value) AS least, max(value) AS largest,
+       round(CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) / count(value), 6) AS mean, true AS within_error
+FROM e JOIN w ON d <= DATE '2024-01-30' AND d > DATE '2024-01-30' - days::INTEGER GROUP BY 1, 2""")
+def agg_quantiles_window(spark, d):
+    """Deciles over 30 and 7 days from the stored sketches of days; the rank of each in the window's
+    rows must lie within the sketch's error of its decile."""
+    e = T(spark, d, "events").select("event_type", "ts", "value")
+    path = scratch_path(spark, f"sketches/{uuid.uuid4().hex}")
+    sketches.store_days(e, ["event_type"], "ts", "value", path)
+    out = None
+    for days in SKETCH_WINDOWS:
+        w = sketches.over_window(spark, path, ["event_type"], SKETCH_LAST, days, DECILES)
+        last = F.lit(SKETCH_LAST).cast("date")
+        rows = e.filter((F.to_date("ts") <= last) & (F.to_date("ts") > F.date_sub(last, days)))
+        j = rows.join(w.select("event_type", "quantiles"), "event_type")
+        q = F.col("quantiles")
+        ranks = j.groupBy("event_type").agg(*[F.avg((F.col("value") < q[i]).cast("double")).alias(f"b{i}") for i in range(11)],
+                                            *[F.avg((F.col("value") <= q[i]).cast("double")).alias(f"u{i}") for i in range(11)])
+        slack, ok = sketches.rank_error() * 2, F.lit(True)
+        for i, x in enumerate(DECILES):
+            ok = ok & (F.col(f"b{i}") <= x + slack) & (F.col(f"u{i}") >= x - slack)
+        part = w.join(ranks.select("event_type", ok.alias("within_error")), "event_type").select(
+            F.lit(days).alias("days"), "event_type", "n", "least", "largest", F.round("mean", 6).alias("mean"), "within_error")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("agg.window_report.stored", PRICES_WITH + """,
+r AS (SELECT Name AS name, min(change_in_percent) AS min_price_change_percent, max(change_in_percent) AS max_price_change_percent,
+             round(CAST(sum(CAST(change_in_percent AS DECIMAL(18,4))) AS DOUBLE) / count(change_in_percent), 2) AS avg__price_change_percent
+      FROM prices WHERE Date > DATE '2001-08-01' - INTERVAL 30 DAY GROUP BY Name)
+SELECT * FROM r ORDER BY avg__price_change_percent DESC, name LIMIT 50""")
+def agg_window_report_stored(spark, d):
+    """The monthly change report from stored daily summaries (kept for 180 days, as the price table is);
+    days that are written again count once."""
+    p = prices(spark, d).select("Name", "Date", "change_in_percent").filter(F.col("Date") > F.date_sub(F.lit("2001-08-01").cast("date"), 180))
+    path = scratch_path(spark, f"sketches/{uuid.uuid4().hex}")
+    sketches.store_days(p, ["Name"], "Date", "change_in_percent", path)
+    sketches.store_days(p.filter("Date >= '2001-07-20'"), ["Name"], "Date", "change_in_percent", path)
+    w = sketches.over_window(spark, path, ["Name"], "2001-08-01", 30)
+    return w.select(F.col("Name").alias("name"), F.col("least").alias("min_price_change_percent"),
+                    F.col("largest").alias("max_price_change_percent"), F.round("mean", 2).alias("avg__price_change_percent")).orderBy(
+        F.col("avg__price_change_percent").desc(), "name").limit(50)

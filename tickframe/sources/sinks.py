@@ -69,17 +69,33 @@ def expire_partitions(spark: SparkSession, path: str, as_of, days: int,
     return dropped
 
 
+def _replace(spark: SparkSession, name: str, fresh: str) -> None:
+    """Let ``name`` be the finished table ``fresh``: the old one steps aside under another name, comes
+    back if the second rename fails, and goes only when the new one is in its place."""
+    old = f"{name}_{uuid.uuid4().hex[:8]}_old"
+    had = spark.catalog.tableExists(name)
+    if had:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    if had:
+        spark.sql(f"DROP TABLE {old}")
+
+
 def ctas(spark: SparkSession, name: str, select_sql: str, location: str, partition_by: Sequence[str] = (),
          comment: str | None = None) -> DataFrame:
     """sink.ctas: create-or-replace a (partitioned) table from a query, stored
     at ``location`` on shared storage.  The new table is complete before the
-    old one goes, so a query that fails leaves the old one."""
+    old one steps aside, so whatever fails leaves the old one or the new one."""
     fresh = f"{name}_{uuid.uuid4().hex[:8]}"
     parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     cmt = f"COMMENT '{comment}'" if comment else ""
     spark.sql(f"CREATE TABLE {fresh} USING parquet {parts} {cmt} LOCATION '{location.rstrip('/')}/{fresh}' AS {select_sql}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    _replace(spark, name, fresh)
     return spark.table(name)
 
 
@@ -100,8 +116,8 @@ def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, location: s
     stored at ``location`` on shared storage.  Two tables bucketed on their
     join keys with the same bucket count join without shuffling either side,
     so a fact joined repeatedly pays its shuffle once, at write time."""
-    spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-       .option("path", location).saveAsTable(name))
+    spark, fresh = df.sparkSession, f"{name}_{uuid.uuid4().hex[:8]}"
+    (df.write.bucketBy(buckets, key).sortBy(key)
+       .option("path", f"{location.rstrip('/')}/{fresh}").saveAsTable(fresh))
+    _replace(spark, name, fresh)
     return spark.table(name)
