@@ -464,7 +464,7 @@ def agg_regr(spark, d):
         F.round(F.regr_r2(y, x), 9).alias("r2"))
 
 
-def change_report(prices_df, as_of, days: int, top: int = 50):
+def change_report(prices_df, as_of, days: int, top: int = 50, digits: int = 2):
     """agg.window_report: per name min / max / avg (2 d.p.) of the daily
     change in the ``days`` days before ``as_of``, the ``top`` names by
     average change (name as tie-breaker)."""
@@ -472,7 +472,7 @@ def change_report(prices_df, as_of, days: int, top: int = 50):
     g = f.groupBy(F.col("Name").alias("name")).agg(
         F.min("change_in_percent").alias("min_price_change_percent"),
         F.max("change_in_percent").alias("max_price_change_percent"),
-        F.round(F.avg("change_in_percent"), 2).alias("avg__price_change_percent"))
+        F.round(F.avg("change_in_percent"), digits).alias("avg__price_change_percent"))
     return g.orderBy(F.col("avg__price_change_percent").desc(), "name").limit(top)
 
 

@@ -48,8 +48,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def oracle(name: str) -> str:
+    """The SQL of a query that is registered already."""
+    return _SQL[name]
+
+
 PLAN_MODULES = ("prices", "io_plans", "relational", "aggregates", "windowed", "scalars", "corpus",
-                "ordered", "series", "strategies", "ml_plans", "streams")
+                "ordered", "series", "strategies", "ml_plans", "streams", "many_symbols")
 
 
 def _load_all() -> None:
