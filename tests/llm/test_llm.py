@@ -595,3 +595,39 @@ def test_least_hashed(spark, count):
     got = sorted((r.g, r.h, r.id) for r in common.least_hashed(df, "g", count).collect())
     every = sorted((r.g, r.h, r.id) for r in df.collect())
     assert got == [x for g in (0, 1) for x in [e for e in every if e[0] == g][:count]]
+
+
+def test_copies_of_a_licence_side_by_side(spark):
+    """Two and three notices in a row give what one gives, for every rule."""
+    def notice(rule):
+        return "\n".join(licenses.SENTENCES[x] for x in rule.sentences)
+    rules = licenses.RULES
+    one = licences_of(spark, [notice(r) for r in rules])
+    for copies in (2, 3):
+        assert licences_of(spark, ["\n".join([notice(r)] * copies) for r in rules]) == one
+        assert licences_of(spark, ["\n\n".join([notice(r)] * copies) for r in rules]) == one
+
+
+def test_identifier_lines_and_unclear_texts(spark):
+    rows = ["/* SPDX-License-Identifier: GPL-3.0-only */", "# SPDX-License-Identifier: MIT", "This project has a licence of its own.", "no such words", None]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "k int, text string")).orderBy("k").collect()
+    assert [(list(r.licences), r.licence_allowed, r.licence_unclear) for r in got] == [
+        (["GPL-3.0"], False, False), (["MIT"], True, False), ([], False, True), ([], True, False), ([], True, False)]
+
+
+def test_licence_sql_over_bodies(spark, tmp_path):
+    """The registered SQL has the whole table: it agrees on bodies, wrapped lines and copies."""
+    s, texts = list(licenses.SENTENCES.values()), []
+    rng = random.Random(8)
+    for _ in range(300):
+        parts = [rng.choice(s) for _ in range(rng.randint(0, 5))] + rng.sample(["Some words.", "All of it is licensed.", "", "no licence words; none"], 2)
+        rng.shuffle(parts)
+        t = rng.choice(["\n", "\n\n", " ", "\n * "]).join(parts)
+        texts.append(t.replace(" the ", rng.choice([" the ", "\nthe ", " the\n# "])))
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, None, ""])], "doc_id long, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = by_row(licenses.op4_license_scan(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == by_row(con.execute(licenses.SQL).fetchall())
+    assert len({r[3] for r in got}) > 20

@@ -11,7 +11,8 @@ sequence of identifiers that must follow one another.  A rule that matches
 uses its sentences up, so put specific rules before general ones.  All of it
 is one projection of Spark expressions; nothing is shuffled.
 
-Null and empty texts have no licences.  Rows are judged on their own, so
+Text with licence words in which no rule matches is *unclear* and not allowed.
+Null and empty texts have no licences and are allowed.  Rows are judged on their own, so
 repeated rows give repeated results; input columns named like a result are
 replaced.
 """
@@ -86,7 +87,17 @@ BODY_SENTENCES = {
 } | {f"cc-{kind}-{version}": f"Licensed under CC {kind.upper()} {version}."
      for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd") for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
      if (kind, version) not in {("by", "4.0"), ("by-sa", "4.0"), ("by-nc", "4.0")}}
-SENTENCES = SHORT_SENTENCES | BODY_SENTENCES
+#: Identifier lines of source files -> licence and whether it is allowed. Fixed values.
+SPDX = {
+    "MIT": ("MIT", True), "Apache-2.0": ("Apache-2.0", True), "BSD-2-Clause": ("BSD", True), "BSD-3-Clause": ("BSD-3-Clause", True),
+    "ISC": ("ISC", True), "Unlicense": ("Unlicense", True), "CC0-1.0": ("CC0-1.0", True), "CC-BY-4.0": ("CC-BY-4.0", True),
+    "CC-BY-SA-4.0": ("CC-BY-SA-4.0", True), "MPL-2.0": ("MPL-2.0", False), "EPL-2.0": ("EPL-2.0", False),
+    "GPL-2.0-only": ("GPL-2.0", False), "GPL-2.0-or-later": ("GPL-2.0", False), "GPL-3.0-only": ("GPL-3.0", False),
+    "GPL-3.0-or-later": ("GPL-3.0", False), "LGPL-2.1-only": ("LGPL", False), "LGPL-2.1-or-later": ("LGPL", False),
+    "LGPL-3.0-only": ("LGPL", False), "LGPL-3.0-or-later": ("LGPL", False), "AGPL-3.0-only": ("AGPL-3.0", False),
+    "AGPL-3.0-or-later": ("AGPL-3.0", False),
+}
+SENTENCES = SHORT_SENTENCES | BODY_SENTENCES | {f"spdx-{x.lower()}": f"SPDX-License-Identifier: {x}" for x in SPDX}
 
 
 @dataclass(frozen=True)
@@ -142,9 +153,10 @@ RULES = (
     Rule("Unlicense", ("unlicense",), True),
     Rule("Apache-2.0", ("apache-title",), True),
     *(Rule(x.upper(), (x,), "-nc" not in x and "-nd" not in x) for x in BODY_SENTENCES if x.startswith("cc-")),
+    *(Rule(licence, (f"spdx-{x.lower()}",), allowed) for x, (licence, allowed) in SPDX.items()),
 )
 #: Words of licences and notices: where a text has one but no rule matches, it is not known to be free of licences.
-LICENCE_WORDS = r"(?i)\b(?:licen[cs]e[sd]?|copyright|copyleft|spdx)\b|©"
+LICENCE_WORDS = "(?i)(?:^|[^a-z0-9_])(?:licen[cs]e[sd]?|copyright|copyleft|spdx)(?:$|[^a-z0-9_])|©"
 
 
 def normalised(sentence: str) -> str:
@@ -153,35 +165,48 @@ def normalised(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip(" ")
 
 
+def _known() -> dict[str, str]:
+    """Normalised sentence -> identifier, the longest first."""
+    return dict(sorted(((normalised(s), i) for i, s in SENTENCES.items()), key=lambda x: -len(x[0])))
+
+
+def _pattern() -> str:
+    """Any known sentence from the start of a line to the end of one; a single line feed counts as a blank."""
+    return f"(?m)^(?:{'|'.join(s.replace(' ', '[ \n]') for s in _known())})$"
+
+
+def _sequence(sentences: tuple[str, ...]) -> str:
+    """Each identifier has a bar of its own on either side, so that neighbours share none."""
+    return "".join(f"|{x}|" for x in sentences)
+
+
 def identifiers(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    known = {normalised(s): i for i, s in SENTENCES.items()}
     cut = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "([.!?;:])[ \t]+", "$1\n")
     norm = F.trim(F.regexp_replace(F.regexp_replace(cut, "[^a-z0-9\n]+", " "), " ?\n ?", "\n"))
-    # from the start of a line to the end of one; a single line feed counts as a blank
-    longest_first = "|".join(s.replace(" ", "[ \n]") for s in sorted(known, key=len, reverse=True))
-    found = F.regexp_extract_all(norm, F.lit(f"(?m)^(?:{longest_first})$"), F.lit(0))
-    table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
+    found = F.regexp_extract_all(norm, F.lit(_pattern()), F.lit(0))
+    table = F.create_map(*[F.lit(x) for kv in _known().items() for x in kv])
     return F.transform(found, lambda x: table[F.replace(x, F.lit("\n"), F.lit(" "))])
 
 
 def matches(ids: Column, rules: tuple[Rule, ...]) -> Column:
     """Indices of the rules that match a sequence of identifiers.
 
-    Identifiers stand between bars; a matched sequence becomes a mark that no
-    rule contains.
+    All places where a rule's sequence stands become marks that no rule
+    contains, copies side by side included.
     """
-    start = F.struct(F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|")).alias("left"), F.array().cast("array<int>").alias("found"))
-    table = F.array(*[F.struct(F.lit(f"|{'|'.join(r.sentences)}|").alias("seq"), F.lit(k).alias("k")) for k, r in enumerate(rules)])
+    written = F.array_join(F.transform(ids, lambda x: F.concat(F.lit("|"), x, F.lit("|"))), "")
+    start = F.struct(written.alias("left"), F.array().cast("array<int>").alias("found"))
+    table = F.array(*[F.struct(F.lit(_sequence(r.sentences)).alias("seq"), F.lit(k).alias("k")) for k, r in enumerate(rules)])
     return F.aggregate(table, start, lambda acc, r: F.when(F.contains(acc["left"], r["seq"]), F.struct(
-        F.replace(acc["left"], r["seq"], F.lit("|#|")).alias("left"), F.concat(acc["found"], F.array(r["k"])).alias("found"))).otherwise(acc),
+        F.replace(acc["left"], r["seq"], F.lit("#")).alias("left"), F.concat(acc["found"], F.array(r["k"])).alias("found"))).otherwise(acc),
         lambda acc: acc["found"])
 
 
 def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``df`` with licence_sentences (identifiers), licences (sorted), licence_allowed and licence_unclear.
 
-    licence_unclear: the text has licence words, but no rule matches.
+    licence_unclear: the text has licence words, but no rule matches; such a text is not allowed.
     """
     out = df.withColumn("licence_sentences", identifiers(F.col(f"`{text}`")))
     out = out.withColumn("__rules", F.when(F.size("licence_sentences") > 0, matches(F.col("licence_sentences"), rules)).otherwise(
@@ -189,44 +214,43 @@ def scan(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     names, allowed = F.array(*[F.lit(r.licence) for r in rules]), F.array(*[F.lit(r.allowed) for r in rules])
     return out.withColumns({
         "licences": F.sort_array(F.array_distinct(F.transform("__rules", lambda k: names[k]))),
-        "licence_allowed": F.forall("__rules", lambda k: allowed[k]),
         "licence_unclear": (F.size("__rules") == 0) & F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike(LICENCE_WORDS),
-    }).drop("__rules")
+    }).withColumn("licence_allowed", F.forall("__rules", lambda k: allowed[k]) & ~F.col("licence_unclear")).drop("__rules")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan(common.documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", F.size("licence_sentences").cast("long").alias("n_sentences"),
                       F.array_join("licence_sentences", " ").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"),
-                      "licence_allowed")
+                      "licence_allowed", "licence_unclear")
 
 
 def _sql() -> str:
-    known = ", ".join(f"('{normalised(s)}', '{i}')" for i, s in SHORT_SENTENCES.items())
+    """The whole table and rule list in SQL."""
+    quoted = {s: i for s, i in _known().items()}
+    table = ", ".join(f"'{s}': '{i}'" for s, i in quoted.items())
     steps, last = [], "seqs"
-    for k, r in enumerate(SHORT_RULES):
-        seq = f"|{'|'.join(r.sentences)}|"
-        steps.append(f"""r{k} AS (SELECT doc_id, n, ids, replace(rest, '{seq}', '|#|') AS rest,
+    for k, r in enumerate(RULES):
+        seq = _sequence(r.sentences)
+        steps.append(f"""r{k} AS (SELECT doc_id, t, ids, replace(rest, '{seq}', '#') AS rest,
   CASE WHEN contains(rest, '{seq}') THEN list_append(lic, '{r.licence}') ELSE lic END AS lic,
   ok AND NOT ({str(not r.allowed).lower()} AND contains(rest, '{seq}')) AS ok FROM {last})""")
         last = f"r{k}"
     return f"""
-WITH known(s, i) AS (VALUES {known}),
-lines AS (
-  SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos
-  FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t]+', '\\1' || chr(10), 'g'), chr(10)) AS l
-        FROM documents)),
+WITH norm AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         trim(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(text, '')), '([.!?;:])[ \t]+', '\\1' || chr(10), 'g'),
+                                            '[^a-z0-9\n]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), ' ') AS n
+  FROM documents),
 ids AS (
-  SELECT doc_id, count(*) AS n, string_agg(i, '|' ORDER BY pos) AS ids
-  FROM (SELECT doc_id, pos, trim(regexp_replace(lower(line), '[^a-z0-9]+', ' ', 'g')) AS s FROM lines) JOIN known USING (s)
-  GROUP BY doc_id),
+  SELECT doc_id, t, list_transform(regexp_extract_all(n, '{_pattern()}'), lambda x: MAP {{{table}}}[replace(x, chr(10), ' ')]) AS ids FROM norm),
 seqs AS (
-  SELECT doc_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids, '|' || coalesce(ids, '') || '|' AS rest, []::VARCHAR[] AS lic, true AS ok
-  FROM documents LEFT JOIN ids USING (doc_id)),
-{", ".join(steps)}
-SELECT doc_id, n::BIGINT AS n_sentences, replace(ids, '|', ' ') AS sentence_ids,
-       array_to_string(list_sort(list_distinct(lic)), ',') AS licences, ok AS licence_allowed
-FROM {last}
+  SELECT doc_id, t, ids, array_to_string(list_transform(ids, lambda x: concat('|', x, '|')), '') AS rest, []::VARCHAR[] AS lic, true AS ok FROM ids),
+{", ".join(steps)},
+u AS (SELECT *, len(lic) = 0 AND regexp_matches(t, '{LICENCE_WORDS}') AS unclear FROM {last})
+SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ' ') AS sentence_ids,
+       array_to_string(list_sort(list_distinct(lic)), ',') AS licences, ok AND NOT unclear AS licence_allowed, unclear AS licence_unclear
+FROM u
 """
 
 
