@@ -631,3 +631,18 @@ def test_licence_sql_over_bodies(spark, tmp_path):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert got == by_row(con.execute(licenses.SQL).fetchall())
     assert len({r[3] for r in got}) > 20
+
+
+def test_chat_layouts_with_clashing_fields(spark):
+    df = spark.createDataFrame([(1, "q", "a", "noise", "x")], "conv_id long, question string, answer string, prompt string, role string")
+    assert [(r.role, r.text) for r in chat.turn_rows(df).orderBy("turn").collect()] == [("user", "q"), ("assistant", "a")]
+    df = df.withColumn("system", F.lit("s"))  # a more specific layout now fits
+    assert [r.role for r in chat.turn_rows(df).orderBy("turn").collect()] == ["system", "user", "assistant"]
+    with pytest.raises(ValueError):
+        chat.turn_rows(spark.createDataFrame([(1, "x")], "conv_id long, note string"))
+    rows = ['{"messages":[{"role":"user","content":null},{"role":"assistant","content":"b"}],"prompt":"extra"}',
+            '{"question":"q","answer":"a","system":"s","input":"z"}', '{"prompt":"p","response":"r","system":"ignored"}', '{"prompt":"p"}', "no json", None]
+    got = {r.conv: (r.layout, r.turns) for r in chat.json_turns(spark.createDataFrame(list(enumerate(rows)), "conv_id long, raw string"), "raw").collect()}
+    assert got[0][0] == "messages" and [(t.role, t.text) for t in got[0][1]] == [("user", None), ("assistant", "b")]
+    assert got[1][0] == "system question" and got[2][0] == "prompt"
+    assert all(got[k] == (None, None) for k in (3, 4, 5))

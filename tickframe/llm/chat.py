@@ -87,8 +87,14 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> set[str]:
     return out
 
 
-def _select(fingerprints: dict[str, Layout], paths) -> Layout | None:
-    return fingerprints.get(digest(paths))
+def by_detail(layouts: tuple[Layout, ...]) -> list[Layout]:
+    """Layouts with more fields first: where several fit, the most specific one is meant."""
+    return sorted(layouts, key=lambda x: -len(x.paths()))
+
+
+def _select(layouts: tuple[Layout, ...], paths: set[str]) -> Layout | None:
+    """The most specific layout whose fingerprint is that of its share of the fields found."""
+    return next((x for x in by_detail(layouts) if digest(x.paths()) == digest(paths & set(x.paths()))), None)
 
 
 def _turn(*parts: Column) -> Column:
@@ -104,11 +110,10 @@ def _item_turn(name: Column, role: str, text: str) -> Callable[[Column], Column]
 def turn_rows(df: DataFrame, conv: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """(conv, turn, role, text) of a table whose columns have one layout.
 
-    Columns that no layout names are ignored.  Raises ValueError if no layout
-    has the fingerprint of the rest.
+    Columns that the layout doesn't name are ignored, also where another layout
+    has them.  Raises ValueError if no layout's fields are all there.
     """
-    by = {digest(x.paths()): x for x in layouts}
-    layout = _select(by, schema_paths(df.schema) & set(known_paths(layouts)))
+    layout = _select(layouts, schema_paths(df.schema))
     if layout is None:
         raise ValueError(f"no layout for the fields {sorted(schema_paths(df.schema))}")
     name = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
@@ -128,24 +133,26 @@ def turn_rows(df: DataFrame, conv: str = "conv_id", layouts: tuple[Layout, ...]
 def json_turns(df: DataFrame, raw: str, conv: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """(conv, layout, turns) of JSON records of mixed layouts.
 
-    The paths of each record are found, hashed and looked up row by row; a
-    null field counts as missing.  Records without a layout, invalid and null
+    The paths of each record are found (in a list: of any item), and those of
+    each layout hashed and compared row by row, the most specific layout first;
+    a null field counts as missing.  Records without a layout, invalid and null
     ones have null layout and turns.
     """
     layouts = tuple(x for x in layouts if not x.order)
     col = F.col(f"`{raw}`")
-    there = [F.when(F.get_json_object(col, "$." + p.replace("[]", "[0]")).isNotNull(), F.lit(p)) for p in known_paths(layouts)]
-    out = df.select(F.col(f"`{conv}`").alias("conv"), col.alias("raw"), F.sha2(F.concat_ws("\n", *there), 256).alias("fingerprint"))
+    there = {p: F.when(F.get_json_object(col, "$." + p.replace("[]", "[*]")).isNotNull(), F.lit(p)) for p in known_paths(layouts)}
+    prints = F.array(*[F.sha2(F.concat_ws("\n", *[there[p] for p in sorted(x.paths())]), 256) for x in layouts])
+    out = df.select(F.col(f"`{conv}`").alias("conv"), col.alias("raw"), prints.alias("fingerprints"))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     name = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
-    for x in layouts:
+    for x in reversed(by_detail(layouts)):
         if x.items:
             (role, text), = x.turns
             items = F.from_json("raw", f"`{x.items}` array<struct<`{role[1:]}`:string,`{text}`:string>>")[x.items]
             got = F.transform(items, _item_turn(name, role[1:], text))
         else:
             got = F.array(*[_turn(F.lit(role), F.get_json_object("raw", f"$.{text}")) for role, text in x.turns])
-        mine = F.col("fingerprint") == digest(x.paths())
+        mine = F.col("fingerprints")[layouts.index(x)] == digest(x.paths())
         layout, turns = F.when(mine, F.lit(x.name)).otherwise(layout), F.when(mine, got).otherwise(turns)
     return out.select("conv", layout.alias("layout"), turns.alias("turns"))
 
