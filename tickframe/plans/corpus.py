@@ -5,6 +5,13 @@ stand-in tables, each composed from the library operators.
 * q7  — per-item averages for one customer segment and "promotion";
 * q75 — year-on-year decline of sales net of returns over channels;
 * q44 — ten best and ten worst items by average profit, paired.
+
+Two of the large templates beside them:
+
+* q64 — items sold well through one channel, their sales through another by place of seller and
+  buyer, one year beside the next;
+* q54 — customers of two channels in a month, their revenue through the third in the
+  following quarter, in segments.
 """
 
 from __future__ import annotations
@@ -124,3 +131,98 @@ def corpus_q44(spark, d):
                 .drop("p_partkey")
                 .join(names.withColumnRenamed("p_name", "worst_performing"), F.col("worst_item") == F.col("p_partkey")))
     return out.select("rnk", "best_performing", "worst_performing").orderBy("rnk").limit(100)
+
+
+SQL_Q64 = f"""
+WITH ui AS (
+  SELECT s.l_partkey AS item FROM (SELECT l_partkey, sum({NET}) AS sale FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) s
+    JOIN (SELECT l_partkey, sum({D('l_extendedprice')} * {D('l_discount')}) AS refund FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r
+      ON s.l_partkey = r.l_partkey
+  WHERE sale > 2 * refund),
+cross_sales AS (
+  SELECT p_name, p_partkey AS item, ns.n_name AS store, nc.n_regionkey AS buyer_region, year(o_orderdate) AS yr, count(*) AS cnt,
+         sum({D('l_quantity')}) AS s1, sum({D('l_extendedprice')}) AS s2, sum({NET}) AS s3
+  FROM lineitem, ui, orders, customer, supplier, part, nation ns, nation nc
+  WHERE l_returnflag = 'N' AND l_partkey = item AND l_partkey = p_partkey AND l_orderkey = o_orderkey AND o_custkey = c_custkey
+    AND l_suppkey = s_suppkey AND s_nationkey = ns.n_nationkey AND c_nationkey = nc.n_nationkey AND s_nationkey <> c_nationkey
+    AND p_type IN ('PROMO', 'ECONOMY') AND p_size BETWEEN 10 AND 10 + 20 AND p_size BETWEEN 10 + 1 AND 10 + 30
+  GROUP BY 1, 2, 3, 4, 5)
+SELECT a.p_name, a.store, CAST(a.buyer_region AS BIGINT) AS buyer_region, CAST(b.buyer_region AS BIGINT) AS next_region, a.cnt AS cnt1, b.cnt AS cnt2,
+       CAST(a.s1 AS DOUBLE) AS s11, CAST(a.s2 AS DOUBLE) AS s21, CAST(a.s3 AS DOUBLE) AS s31, CAST(b.s1 AS DOUBLE) AS s12,
+       CAST(b.s2 AS DOUBLE) AS s22, CAST(b.s3 AS DOUBLE) AS s32
+FROM cross_sales a JOIN cross_sales b ON a.item = b.item AND a.store = b.store
+WHERE a.yr = 1998 AND b.yr = 1999 AND b.cnt <= a.cnt
+ORDER BY a.p_name, a.store, cnt2, s11, s12"""
+
+
+@register("corpus.q64", SQL_Q64)
+def corpus_q64(spark, d):
+    """Everything that narrows the lines goes first: the items as a semi-join, the two years as one
+    filter on orders; the lines are then counted per place and year once, and the years meet as groups."""
+    li, o, c, s, p, n = (T(spark, d, x) for x in ("lineitem", "orders", "customer", "supplier", "part", "nation"))
+    sale, refund = net(), dec("l_extendedprice") * dec("l_discount")
+    # one pass over the two channels of the first step
+    both = li.filter(F.col("l_returnflag").isin("A", "R")).groupBy(F.col("l_partkey").alias("item")).agg(
+        F.sum(F.when(F.col("l_returnflag") == "A", sale)).alias("sale"), F.sum(F.when(F.col("l_returnflag") == "R", refund)).alias("refund"))
+    items = both.filter(F.col("sale") > 2 * F.col("refund")).select("item")
+    p = p.filter(F.col("p_type").isin("PROMO", "ECONOMY") & F.col("p_size").between(11, 30)).select("p_partkey", "p_name")
+    p = p.join(items, p.p_partkey == items.item, "left_semi")
+    o = o.filter((F.col("o_orderdate") >= F.lit("1998-01-01").cast("date")) & (F.col("o_orderdate") < F.lit("2000-01-01").cast("date")))
+    o = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", F.year("o_orderdate").alias("yr"), "c_nationkey")
+    j = li.filter(F.col("l_returnflag") == "N").join(p, li.l_partkey == p.p_partkey).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    j = j.join(s, F.col("l_suppkey") == F.col("s_suppkey")).filter("s_nationkey <> c_nationkey")
+    g = j.groupBy("p_name", "p_partkey", "s_nationkey", "c_nationkey", "yr").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum(dec("l_quantity")).alias("s1"), F.sum(dec("l_extendedprice")).alias("s2"), F.sum(net()).alias("s3"))
+    # names and regions of the few nations after the first grouping
+    g = g.join(F.broadcast(n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("store"))), "s_nationkey")
+    g = g.join(F.broadcast(n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("region"))), "c_nationkey")
+    g = g.groupBy("p_name", "p_partkey", "store", "region", "yr").agg(*[F.sum(x).alias(x) for x in ("cnt", "s1", "s2", "s3")])
+    a, b = (g.filter(F.col("yr") == y).select(*[F.col(x).alias(f"{x}_{t}") for x in g.columns]) for t, y in (("a", 1998), ("b", 1999)))
+    j = a.join(b, (F.col("p_partkey_a") == F.col("p_partkey_b")) & (F.col("store_a") == F.col("store_b"))).filter("cnt_b <= cnt_a")
+    out = j.select(F.col("p_name_a").alias("p_name"), F.col("store_a").alias("store"), F.col("region_a").alias("buyer_region"),
+                   F.col("region_b").alias("next_region"), F.col("cnt_a").alias("cnt1"), F.col("cnt_b").alias("cnt2"),
+                   *[F.col(f"s{k}_{t}").cast("double").alias(f"s{k}{m}") for m, t in ((1, "a"), (2, "b")) for k in (1, 2, 3)])
+    return out.orderBy("p_name", "store", "cnt2", "s11", "s12")
+
+
+SEGMENT = 10_000
+SQL_Q54 = f"""
+WITH my_customers AS (
+  SELECT DISTINCT c_custkey, c_nationkey
+  FROM (SELECT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'A'
+        UNION ALL SELECT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R') x, orders, part, customer
+  WHERE l_orderkey = o_orderkey AND l_partkey = p_partkey AND o_custkey = c_custkey AND p_type = 'PROMO'
+    AND month(o_orderdate) = 4 AND year(o_orderdate) = 1998),
+my_revenue AS (
+  SELECT c_custkey, sum({NET}) AS revenue
+  FROM my_customers, orders, lineitem, supplier, nation ns, nation nc
+  WHERE o_custkey = c_custkey AND l_orderkey = o_orderkey AND l_returnflag = 'N' AND l_suppkey = s_suppkey
+    AND s_nationkey = ns.n_nationkey AND c_nationkey = nc.n_nationkey AND ns.n_regionkey = nc.n_regionkey
+    AND year(o_orderdate) * 12 + month(o_orderdate) BETWEEN (SELECT DISTINCT 1998 * 12 + 4 + 1 FROM region)
+                                                        AND (SELECT DISTINCT 1998 * 12 + 4 + 3 FROM region)
+  GROUP BY c_custkey),
+segments AS (SELECT CAST(floor(CAST(revenue AS DOUBLE) / {SEGMENT} + 0.5) AS BIGINT) AS segment FROM my_revenue)
+SELECT segment, count(*) AS num_customers, segment * {SEGMENT} AS segment_base FROM segments GROUP BY segment
+ORDER BY segment, num_customers LIMIT 100"""
+
+
+@register("corpus.q54", SQL_Q54)
+def corpus_q54(spark, d):
+    li, o, c, s, p, n = (T(spark, d, x) for x in ("lineitem", "orders", "customer", "supplier", "part", "nation"))
+
+    def between(first, last):
+        return (F.col("o_orderdate") >= F.lit(first).cast("date")) & (F.col("o_orderdate") < F.lit(last).cast("date"))
+    # the two channels are two values of the one fact's flag: one scan
+    bought = li.filter(F.col("l_returnflag").isin("A", "R")).join(p.filter("p_type = 'PROMO'"), li.l_partkey == p.p_partkey, "left_semi")
+    buyers = o.filter(between("1998-04-01", "1998-05-01")).join(bought, o.o_orderkey == bought.l_orderkey, "left_semi").select("o_custkey").distinct()
+    region = F.broadcast(n.select("n_nationkey", "n_regionkey"))
+    mine = c.join(buyers, c.c_custkey == buyers.o_custkey, "left_semi").join(region, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", F.col("n_regionkey").alias("home"))
+    sellers = s.join(region, s.s_nationkey == F.col("n_nationkey")).select("s_suppkey", F.col("n_regionkey").alias("seat"))
+    orders = o.filter(between("1998-05-01", "1998-08-01")).join(mine, o.o_custkey == mine.c_custkey).select("o_orderkey", "c_custkey", "home")
+    lines = li.filter(F.col("l_returnflag") == "N").join(orders, li.l_orderkey == orders.o_orderkey)
+    lines = lines.join(sellers, (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("home") == F.col("seat")))
+    revenue = lines.groupBy("c_custkey").agg(F.sum(net()).cast("double").alias("revenue"))
+    seg = revenue.select(F.floor(F.col("revenue") / SEGMENT + 0.5).cast("long").alias("segment"))
+    return seg.groupBy("segment").agg(F.count(F.lit(1)).alias("num_customers")).select(
+        "segment", "num_customers", (F.col("segment") * SEGMENT).alias("segment_base")).orderBy("segment", "num_customers").limit(100)
