@@ -15,10 +15,11 @@ other than the id and the text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +35,7 @@ SLICE_BYTES = 4 << 20
 
 #: Chunks whose normal form, case and pre-tokens need no library: letters that
 #: are single code points in either case, then perhaps marks.
-_PLAIN = regex.compile(r"([A-Za-zÀ-ÖØ-Þß-öø-þ]+)([.,;:!?$%&#*|]*)")
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-Þß-öø-þ]+", "[.,;:!?$%&#*|]"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -54,27 +55,46 @@ class WordEncoder:
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.number = list(range(self.whole.get_vocab_size()))  # one object per id, shared by all cached tuples
-        self.chunks, self.pieces = pretokens.Recent(), pretokens.Recent()
+        self.pieces, self.chunks = pretokens.Recent(), pretokens.Recent(10_000)
 
     def _piece(self, piece: str) -> tuple[int, ...]:
+        """Ids of letters or marks that stand together, lower-cased."""
         ids = self.pieces.get(piece)
         if ids is None:
             ids = tuple(self.number[t.id] for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters)))
             self.pieces.put(piece, ids)
         return ids
 
-    def encode(self, chunks: list[str]) -> list[tuple[int, ...]]:
-        out = []
-        for c in chunks:
-            ids = self.chunks.get(c)
-            if ids is None:
-                if m := _PLAIN.fullmatch(c):
-                    ids = self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else ())
-                else:
-                    ids = tuple(self.number[k] for k in self.whole.encode(c, add_special_tokens=False).ids)
-                self.chunks.put(c, ids)
-            out.append(ids)
-        return out
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
+        """Ids of a chunk of any kind, by the library."""
+        ids = self.chunks.get(chunk)
+        if ids is None:
+            ids = tuple(self.number[k] for k in self.whole.encode(chunk, add_special_tokens=False).ids)
+            self.chunks.put(chunk, ids)
+        return ids
+
+    def encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the chunks in order, and where each chunk's begin.
+
+        Plain chunks are cut into letters and marks by Arrow, and only distinct
+        pieces are looked up: far fewer than chunks.
+        """
+        plain = pc.match_substring_regex(chunks, f"^{_LETTERS}{_MARKS}*$").to_numpy(zero_copy_only=False)
+        there = chunks.filter(pa.array(plain))
+        letters = pc.utf8_lower(pc.replace_substring_regex(there, f"{_MARKS}+$", ""))
+        marks = pc.replace_substring_regex(there, f"^{_LETTERS}", "")
+        coded = pa.concat_arrays([letters, marks]).dictionary_encode()
+        ids = [self._piece(p) if p else () for p in coded.dictionary.to_pylist()]
+        known = len(ids)
+        ids += [self._chunk(c) for c in chunks.filter(pa.array(~plain)).to_pylist()]
+        at = pretokens.starts(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(at[-1]))
+        # two pieces of each chunk: letters and marks, or the whole chunk and nothing
+        two, code, n = np.full((len(chunks), 2), -1, np.int64), coded.indices.to_numpy(), len(there)
+        two[plain, 0], two[plain, 1] = code[:n], code[n:]
+        two[~plain, 0] = known + np.arange((~plain).sum())
+        size = np.where(two >= 0, (at[1:] - at[:-1])[two], 0)
+        return pretokens.ragged(flat, at, two[two >= 0]), pretokens.starts(size.sum(1))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -87,14 +107,12 @@ def encode_texts(texts: pa.Array, path: str, end_id: int | None = END_ID) -> tup
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
-    n, codes, chunks = pretokens.blank_units(texts)
-    ids = _ENCODERS[path].encode(chunks)
+    n, codes, chunks = pretokens.blank_codes(texts)
+    flat, at = _ENCODERS[path].encode(chunks)
     if end_id is not None:  # as a chunk of its own after each text
-        codes = np.insert(codes.astype(np.int64), np.cumsum(n), len(ids))
-        ids.append((end_id,))
+        codes = np.insert(codes.astype(np.int64), np.cumsum(n), len(chunks))
+        flat, at = np.append(flat, np.uint32(end_id)), np.append(at, at[-1] + 1)
         n = n + 1
-    at = pretokens.starts(np.fromiter(map(len, ids), np.int64, len(ids)))
-    flat = np.fromiter((i for x in ids for i in x), np.uint32, int(at[-1]))
     first = pretokens.starts(n)
     upto = pretokens.starts((at[1:] - at[:-1])[codes])
     return upto[first[1:]] - upto[first[:-1]], pretokens.ragged(flat, at, codes)

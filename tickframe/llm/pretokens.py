@@ -100,12 +100,22 @@ def blank_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return _coded(pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " "))
 
 
+def blank_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """As blank_units, with the distinct units as an Arrow array."""
+    return _codes(pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " "))
+
+
 def _coded(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Lists of units without the empty ones."""
+    n, codes, values = _codes(lists)
+    return n, codes, values.to_pylist()
+
+
+def _codes(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     n = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
     coded = lists.flatten().dictionary_encode()
-    codes, values = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-    empty = next((k for k, v in enumerate(values) if v == ""), -1)
+    codes, values = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    empty = pc.index(values, pa.scalar("", values.type)).as_py()
     if empty >= 0:
         there = codes != empty
         owner = np.repeat(np.arange(len(n)), n)
