@@ -47,9 +47,12 @@ def ml_features(spark, d):
 HELD_OUT = 5
 
 
-def _split(trips):
-    held = F.conv(F.substring(F.md5(F.col("trip_id").cast("string")), 1, 4), 16, 10).cast("long") % HELD_OUT == 0
-    return trips.filter(~held), trips.filter(held)
+def _held(id_col):
+    return F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 4), 16, 10).cast("long") % HELD_OUT == 0
+
+
+def _split(rows, id_col="trip_id"):
+    return rows.filter(~_held(id_col)), rows.filter(_held(id_col))
 
 
 def _linreg_sql(name, day, hour, cycles=10):
@@ -120,14 +123,24 @@ CATEGORIES = ["poor", "good"]
 
 
 def _classified(spark, d):
+    """Every document with a token, scored by a classifier that saw no held-out document's label."""
     docs, lab = T(spark, d, "documents"), T(spark, d, "labels")
-    train = docs.join(lab, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
-    model = ml.text_classifier(train, "text", "label")
+    train, _ = _split(docs.join(lab, "doc_id").select("doc_id", "text", F.col("quality").cast("double").alias("label")), "doc_id")
+    model = ml.text_classifier(train.select("text", "label"), "text", "label")
     return ml.classify(model, docs.select("doc_id", "text"), "text", CATEGORIES)
 
 
-@register("ml.text_classify")
+@register("ml.text_classify", """
+SELECT doc_id, text, true AS category_known, true AS confidence_in_range FROM documents WHERE regexp_matches(text, '[A-Za-z0-9_]')""")
 def ml_text_classify(spark, d):
+    """Each document with text gets one of the categories, with a confidence between even odds and 1."""
+    c = _classified(spark, d)
+    return c.select("doc_id", "text", F.col("category").isin(CATEGORIES).alias("category_known"),
+                    F.col("confidence").between(1 / len(CATEGORIES), 1).alias("confidence_in_range"))
+
+
+@register("ml.text_classify.scores")
+def ml_text_classify_scores(spark, d):
     """(text, category, confidence) for every document with text."""
     return _classified(spark, d).select("doc_id", "text", "category", F.col("confidence").cast("string").alias("confidence"))
 
@@ -144,8 +157,15 @@ def ml_confusion(spark, d):
     return ml.confusion(lab, "quality", "pred")
 
 
-@register("ml.confusion.text_classifier")
+@register("ml.confusion.text_classifier", f"""
+SELECT count(*) AS n, count(*) FILTER (WHERE quality = 1) AS n_good, true AS rates_add_up, true AS better_than_even
+FROM documents JOIN labels USING (doc_id)
+WHERE regexp_matches(text, '[A-Za-z0-9_]') AND ('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::BIGINT % {HELD_OUT} = 0""")
 def ml_confusion_text(spark, d):
-    """The text classifier's predictions against the labels."""
-    c = _classified(spark, d).join(T(spark, d, "labels"), "doc_id")
-    return ml.confusion(c.withColumn("pred", (F.col("category") == "good").cast("int")), "quality", "pred")
+    """The text classifier's predictions against the labels it was not trained on."""
+    c = _classified(spark, d).join(T(spark, d, "labels"), "doc_id").filter(_held("doc_id"))
+    m = ml.confusion(c.withColumn("pred", (F.col("category") == "good").cast("int")), "quality", "pred")
+    n = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
+    right = F.abs(F.col("accuracy") * n - F.col("tp") - F.col("tn")) < 1e-9
+    return m.select(n.alias("n"), (F.col("tp") + F.col("fn")).alias("n_good"), right.alias("rates_add_up"),
+                    (F.col("accuracy") > 0.5).alias("better_than_even"))
