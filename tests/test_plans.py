@@ -67,9 +67,14 @@ def test_dedup_is_an_aggregate_not_a_window(spark):
     assert "Window" not in p
 
 
-def test_lag_split_windows_per_key_and_bucket(spark):
-    p = plan(Q["win.gap"](spark, SF_SMALL))
-    assert re.search(r"\], \[user_id#\d+L?, __bucket#\d+\], \[ts#", p)  # partition spec of the lag window
+def test_lag_split_windows_per_key_and_range(spark):
+    from tickframe.operators import windows
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    # partition spec of the lag window: the key and its range, or the caller's bucket
+    p = plan(windows.idle_gap(e, "event_type", "ts", "ts", "event_id", rows=50))
+    assert re.search(r"\], \[__key#\d+, __piece#\d+L?\], \[ts#", p) and "BroadcastHashJoin" in p
+    p = plan(windows.lag_split(e, ["user_id"], ["ts"], ["event_id"], e.ts.cast("date")))
+    assert re.search(r"\], \[user_id#\d+L?, __bucket#\d+\], \[ts#", p)
 
 
 def test_topk_is_take_ordered(spark):

@@ -160,9 +160,12 @@ def merge_comoments(states: DataFrame, by: Sequence[str]) -> DataFrame:
     """The states of coarser groups from the states of their parts: the parts' own deviations
     plus those of their means from the common mean."""
     by, states = list(by), states.filter("n > 0")
+    if not by:
+        # one group, by a key that is not a literal: joining on a literal would be a product
+        return merge_comoments(states.withColumn("__all", F.col("n") * 0), ["__all"]).drop("__all")
     means = states.groupBy(*by).agg(F.sum("n").alias("__n"), (F.sum(F.col("n") * F.col("mean_x")) / F.sum("n")).alias("__x"),
                                     (F.sum(F.col("n") * F.col("mean_y")) / F.sum("n")).alias("__y"))
-    j = null_safe_join(states, means, by) if by else states.crossJoin(F.broadcast(means))  # one row
+    j = null_safe_join(states, means, by)
     dx, dy = F.col("mean_x") - F.col("__x"), F.col("mean_y") - F.col("__y")
     return j.groupBy(*by).agg(F.sum("n").alias("n"), F.first("__x").alias("mean_x"), F.first("__y").alias("mean_y"),
                               F.sum(F.col("m2_x") + F.col("n") * dx * dx).alias("m2_x"), F.sum(F.col("m2_y") + F.col("n") * dy * dy).alias("m2_y"),
