@@ -63,14 +63,15 @@ def _dealt(df: DataFrame, name: str, key: str, pivots: np.ndarray, block: int) -
     path = scratch_path(df.sparkSession, f"knn-{uuid.uuid4().hex}")
     rows.write.parquet(path)
     rows = df.sparkSession.read.schema(rows.schema).parquet(path)
-    cells = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))  # a row per pivot
-    rows = rows.join(F.broadcast(cells), "cell").withColumn("part", F.pmod(F.xxhash64(key), "parts").cast("int")).drop("parts")
+    by = [c for c in ("tag", "cell") if c in rows.columns]
+    cells = rows.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))  # a row per pivot and set
+    rows = rows.join(F.broadcast(cells), by).withColumn("part", F.pmod(F.xxhash64(key), "parts").cast("int")).drop("parts")
     p = range(len(pivots))
     held = F.sum("many") if "many" in df.columns else F.count(F.lit(1))
-    size = rows.groupBy("cell", "part").agg(held.alias(f"{name}_rows"),
+    size = rows.groupBy(*by, "part").agg(held.alias(f"{name}_rows"),
                                             F.array(*[F.min(F.col("far")[t]) for t in p]).alias(f"{name}_lo"),
                                             F.array(*[F.max(F.col("far")[t]) for t in p]).alias(f"{name}_hi"))
-    size = size.withColumn(name, F.row_number().over(Window.orderBy("cell", "part")) - 1)  # a row per block
+    size = size.withColumn(name, F.row_number().over(Window.orderBy(*by, "part")) - 1)  # a row per block
     return rows, size
 
 
@@ -80,10 +81,10 @@ def block_pairs(queries: DataFrame, refs: DataFrame, k: int) -> DataFrame:
     lower = F.array_max(F.zip_with(F.zip_with("qb_lo", "rb_hi", lambda a, b: a - b), F.zip_with("rb_lo", "qb_hi", lambda a, b: a - b),
                                    lambda a, b: F.greatest(a, b, F.lit(0.0))))
     upper = F.array_min(F.zip_with("qb_hi", "rb_hi", lambda a, b: a + b))
-    both = both.select("qb", "rb", "rb_rows", lower.alias("lower"), upper.alias("upper"))
-    so_far = Window.partitionBy("qb").orderBy("upper", "rb").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.select("qb", "rb", "tag", "rb_rows", lower.alias("lower"), upper.alias("upper"))
+    so_far = Window.partitionBy("qb", "tag").orderBy("upper", "rb").rowsBetween(Window.unboundedPreceding, 0)
     both = both.withColumn("seen", F.sum("rb_rows").over(so_far))
-    reach = F.min(F.when(F.col("seen") >= k, F.col("upper"))).over(Window.partitionBy("qb"))
+    reach = F.min(F.when(F.col("seen") >= k, F.col("upper"))).over(Window.partitionBy("qb", "tag"))
     # a little more than the bound, for the rounding of distances
     return both.withColumn("reach", reach).filter(F.col("reach").isNull() | (F.col("lower") <= F.col("reach") * (1 + 1e-9) + 1e-12)).select("qb", "rb")
 
@@ -97,37 +98,38 @@ def knn_novelty(queries: DataFrame, refs: Mapping[str, DataFrame], id_col: str,
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"id": left["id"].iloc[:0], "rb": pd.Series([], dtype="int32"), "dists": pd.Series([], dtype=object)})
+            return pd.DataFrame({"id": left["id"].iloc[:0], "tag": pd.Series([], dtype=object), "rb": pd.Series([], dtype="int32"),
+                                 "dists": pd.Series([], dtype=object)})
         x, y = (np.stack(t["v"].to_numpy()).astype(np.float64) for t in (left, right))
-        return pd.DataFrame({"id": left["id"], "rb": int(right["rb_"].iloc[0]), "dists": _least(x, y, right["many"].to_numpy(), k)})
-
-    sets = []
-    for ref in refs.values():
-        r = ref.select(F.col(vec_col).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("many"))
-        first = r.select("v").orderBy(F.xxhash64("v"), "v").limit(pivots).collect()  # bounded: the pivots
-        if not first:
-            continue
-        centres = np.array([x.v for x in first], np.float64)
-        left, left_blocks = _dealt(q, "qb", "id", centres, block)
-        right, right_blocks = _dealt(r, "rb", "v", centres, block)
-        pairs = block_pairs(left_blocks, right_blocks, k)
-        pairs = pairs.join(left_blocks.select("qb", F.col("cell").alias("qc"), F.col("part").alias("qp")), "qb")
-        pairs = pairs.join(right_blocks.select("rb", F.col("cell").alias("rc"), F.col("part").alias("rp")), "rb")
-        left = left.join(pairs, (F.col("cell") == F.col("qc")) & (F.col("part") == F.col("qp"))).select("id", "v", "qb", "rb")
-        right = right.join(pairs, (F.col("cell") == F.col("rc")) & (F.col("part") == F.col("rp"))).select(
-            "v", "many", F.col("qb").alias("qb_"), F.col("rb").alias("rb_"))  # columns of their own
-        cand = left.groupBy("qb", "rb").cogroup(right.groupBy("qb_", "rb_")).applyInPandas(
-            compare, f"id {id_type}, rb int, dists array<double>")
-        n_r = right_blocks.count()
-        while n_r > FAN:
-            cand = _merged(cand, ["id", F.floor(F.col("rb") / FAN).cast("int").alias("rb")], k)
-            n_r = math.ceil(n_r / FAN)
-        mean = F.aggregate("dists", F.lit(0.0), lambda a, x: a + x) / F.size("dists")
-        sets.append(_merged(cand, ["id"], k).select("id", mean.alias("m")))
-    if not sets:
+        return pd.DataFrame({"id": left["id"], "tag": right["tag"].iloc[0], "rb": int(right["rb_"].iloc[0]), "dists": _least(x, y, right["many"].to_numpy(), k)})
+
+    # all reference sets in one pass, told apart by a tag; equal vectors of a set are one
+    every = None
+    for tag, ref in refs.items():
+        r = ref.select(F.lit(tag).alias("tag"), F.col(vec_col).alias("v"))
+        every = r if every is None else every.unionByName(r)
+    if every is None:
         return queries.select(id_col, F.lit(0.0).alias("novelty"))
-    every = sets[0]
-    for s in sets[1:]:
-        every = every.unionByName(s)
-    score = every.groupBy(F.col("id").alias(id_col)).agg(F.sum("m").alias("novelty"))
+    r = every.groupBy("tag", "v").agg(F.count(F.lit(1)).alias("many"))
+    first = r.select("v").orderBy(F.xxhash64("v"), "v").limit(pivots).collect()  # bounded: the pivots
+    if not first:
+        return queries.select(id_col, F.lit(0.0).alias("novelty"))
+    centres = np.unique(np.array([x.v for x in first], np.float64), axis=0)
+    left, left_blocks = _dealt(q, "qb", "id", centres, block)
+    right, right_blocks = _dealt(r, "rb", "v", centres, block)
+    pairs = block_pairs(left_blocks, right_blocks, k)
+    pairs = pairs.join(left_blocks.select("qb", F.col("cell").alias("qc"), F.col("part").alias("qp")), "qb")
+    pairs = pairs.drop("tag").join(right_blocks.select("rb", "tag", F.col("cell").alias("rc"), F.col("part").alias("rp")), "rb")
+    left = left.join(pairs.drop("tag"), (F.col("cell") == F.col("qc")) & (F.col("part") == F.col("qp"))).select("id", "v", "qb", "rb")
+    right = right.withColumnRenamed("tag", "of").join(
+        pairs, (F.col("of") == F.col("tag")) & (F.col("cell") == F.col("rc")) & (F.col("part") == F.col("rp"))).select(
+        F.col("of").alias("tag"), "v", "many", F.col("qb").alias("qb_"), F.col("rb").alias("rb_"))  # columns of their own
+    cand = left.groupBy("qb", "rb").cogroup(right.groupBy("qb_", "rb_")).applyInPandas(
+        compare, f"id {id_type}, tag string, rb int, dists array<double>")
+    n_r = right_blocks.count()
+    while n_r > FAN:
+        cand = _merged(cand, ["id", "tag", F.floor(F.col("rb") / FAN).cast("int").alias("rb")], k)
+        n_r = math.ceil(n_r / FAN)
+    mean = F.aggregate("dists", F.lit(0.0), lambda a, x: a + x) / F.size("dists")
+    score = _merged(cand, ["id", "tag"], k).groupBy(F.col("id").alias(id_col)).agg(F.sum(mean).alias("novelty"))
     return queries.select(id_col).join(score, id_col, "left").fillna({"novelty": 0.0})
