@@ -111,6 +111,8 @@ def knn_novelty(queries: DataFrame, refs: Mapping[str, DataFrame], id_col: str,
     if every is None:
         return queries.select(id_col, F.lit(0.0).alias("novelty"))
     r = every.groupBy("tag", "v").agg(F.count(F.lit(1)).alias("many"))
+    # no more pivots than full blocks: a cell should fill one
+    pivots = min(pivots, max(1, math.ceil(r.count() / block)))
     first = r.select("v").orderBy(F.xxhash64("v"), "v").limit(pivots).collect()  # bounded: the pivots
     if not first:
         return queries.select(id_col, F.lit(0.0).alias("novelty"))
