@@ -58,6 +58,29 @@ def test_pieces_are_ranges_of_bounded_size(rows):
     assert small <= {"hot", None}
 
 
+def test_search_of_splitters_is_compiled(rows, spark):
+    """A step that is not compiled gets a copy of all its key's splitters with each row, so rows times pieces."""
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d, cut = pieces.pieces(rows, "k", ORDER, 37)
+        plan = d.select("n", pieces.PIECE)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    steps = [line for line in plan.splitlines() if "Project" in line]
+    assert cut and steps and all("*(" in line for line in steps), plan
+    assert "lambda" not in plan
+
+
+@pytest.mark.parametrize("size", [2, 5, 64])
+def test_piece_is_the_number_of_splitters_ahead(rows, size):
+    d, cut = pieces.pieces(rows, "k", ORDER, size)
+    cuts = {r[pieces.KEY].k0: [(c.o0 is not None, c.o0 or 0, c.o1) for c in r.cuts] for r in pieces.splitters(pieces.keyed(rows, "k"), ORDER, size)[0].collect()}
+    assert cut
+    for r in d.collect():
+        assert r[pieces.PIECE] == sum(c <= (r.day is not None, r.day or 0, r.n) for c in cuts.get(r.k, ()))
+
+
 @pytest.mark.parametrize("fn", ["sum", "count", "max", "min"])
 @pytest.mark.parametrize("size", [37, 100, 10_000])
 def test_running_equals_plain(rows, fn, size):

@@ -39,8 +39,6 @@ PIECE_ROWS = 1 << 14
 MAX_PIECES = 1 << 15
 #: Sampled rows of a piece.
 SAMPLE = 32
-#: Splitters looked at in one step; a search has two.
-FAN = 128
 KEY, PIECE, ROW = "__key", "__piece", "__row"
 
 
@@ -63,9 +61,9 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def splitters(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame | None:
-    """(KEY, groups) for each key of a keyed table with more than ``rows`` rows: its
-    splitters in order, in groups of FAN.  None if there is no such key."""
+def splitters(df: DataFrame, order: Sequence[str], rows: int) -> tuple[DataFrame, int] | None:
+    """(KEY, cuts) for each key of a keyed table with more than ``rows`` rows: its splitters in
+    order; and the most splitters of a key.  None if there is no such key."""
     sizes = _stored(df.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows), "hot")
     total = sizes.agg(F.sum("n")).first()[0]
     if not total:
@@ -77,23 +75,23 @@ def splitters(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame | Non
     sample = sample.filter(F.pmod(F.xxhash64(KEY, "o"), F.lit(every)) == 0)
     sample = sample.withColumn("r", F.row_number().over(Window.partitionBy(KEY).orderBy("o")))
     cuts = sample.filter(F.col("r") % min(SAMPLE, rows) == 0).groupBy(KEY).agg(F.array_sort(F.collect_set("o")).alias("cuts"))
-    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size("cuts") - 1) / FAN).cast("int")), lambda i: F.slice("cuts", i * FAN + 1, F.lit(FAN)))
-    return _stored(cuts.select(KEY, groups.alias("groups")), "splitters")
+    cuts = _stored(cuts, "splitters")
+    return cuts, cuts.agg(F.max(F.size("cuts"))).first()[0] or 0
 
 
 def pieces(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], rows: int = PIECE_ROWS) -> tuple[DataFrame, bool]:
     """``df`` with KEY and PIECE, the number of its range within the key, and whether any key was cut."""
     df, order = keyed(df, keys), _cols(order)
-    cuts = splitters(df, order, rows)
-    if cuts is None:
+    found = splitters(df, order, rows)
+    if found is None:
         return df.withColumn(PIECE, F.lit(0)), False
-    o, groups = _order(order), F.col("__groups")
-    df = df.join(F.broadcast(cuts.withColumnRenamed("groups", "__groups")), KEY, "left")
-    ahead = F.size(F.filter(groups, lambda g: g[0] <= o))
-    inside = F.size(F.filter(F.get(groups, F.col("__ahead") - 1), lambda s: s <= o))
-    df = df.withColumn("__ahead", F.when(groups.isNull(), F.lit(0)).otherwise(ahead))
-    piece = F.when(F.col("__ahead") == 0, F.lit(0)).otherwise((F.col("__ahead") - 1) * FAN + inside)
-    return df.withColumn(PIECE, piece).drop("__groups", "__ahead"), True
+    cuts, most = found
+    df = df.withColumn("__o", _order(order)).join(F.broadcast(cuts.withColumnRenamed("cuts", "__cuts")), KEY, "left").withColumn(PIECE, F.lit(0))
+    # halving, a projection a step: higher-order functions are not compiled, so that each row would get a copy of all its key's splitters
+    for step in (1 << k for k in reversed(range(most.bit_length()))):
+        ahead = F.col(PIECE) + step
+        df = df.withColumn(PIECE, F.when(F.get("__cuts", ahead - 1) <= F.col("__o"), ahead).otherwise(F.col(PIECE)))
+    return df.drop("__o", "__cuts"), True
 
 
 def _within(order: Sequence[str], *key: str, descending: bool = False):
