@@ -10,8 +10,10 @@ through rounds of equal-width buckets:
    aggregated, so the shuffle carries at most ``buckets`` rows per node and
    map task — then, per target rank, keep only the bucket that holds it
    (cumulative counts over that small table);
-3. rows outside the kept buckets are dropped; a row belongs to at most one
-   kept bucket, so nothing is duplicated;
+3. rows outside the kept buckets, and those of a bucket with a single value,
+   are dropped; a row belongs to at most one kept bucket, so nothing is
+   duplicated.  Nodes of more than ``final_rows`` rows are few and broadcast,
+   so no row moves for them;
 4. once a kept bucket holds at most ``final_rows`` rows (or a single value),
    rank its rows with a window over that bucket only.
 
@@ -60,6 +62,8 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence
         open_nodes = nodes.filter((F.col("__cnt") > final_rows) & (F.col("__hi") > F.col("__lo")))
         if open_nodes.limit(1).count() == 0:
             break
+        # at most rows / final_rows nodes: broadcast, as a key of the join below may hold most rows
+        open_nodes = F.broadcast(open_nodes)
         # bucket every row of an open node (a row is in one node: no duplication)
         r = rows.join(open_nodes.select(*by, "__node", "__lo", "__hi"), [*by, "__node"])
         width = (F.col("__hi") - F.col("__lo")) / buckets
@@ -86,12 +90,14 @@ def exact_percentiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence
                           .select(*by, "__r", F.when(F.col("__b").isNotNull(), F.xxhash64("__node", "__b"))
                                   .otherwise(F.col("__node")).alias("__node"))).checkpoint(eager=True)
         nodes = closed.unionByName(new_nodes).checkpoint(eager=True)
-        kept = child.select(*by, "__node", "__b", "__child")
-        moved = r.join(kept, [*by, "__node", "__b"]).select(*by, "__v", F.col("__child").alias("__node"))
+        kept = child.filter(F.col("__blo") < F.col("__bhi")).select(*by, "__node", "__b", "__child")
+        moved = r.join(F.broadcast(kept), [*by, "__node", "__b"]).select(*by, "__v", F.col("__child").alias("__node"))
         stay = rows.join(open_nodes.select(*by, "__node"), [*by, "__node"], "left_anti")
         rows = stay.unionByName(moved).checkpoint(eager=True)
 
-    # resolve each target inside its (small or single-valued) node
+    # resolve each target inside its (small or single-valued) node; large single-valued ones give up their rows here
+    full = nodes.filter(F.col("__cnt") > final_rows).select(*by, "__node")
+    rows = rows.join(F.broadcast(full), [*by, "__node"], "left_anti")
     t = targets.join(nodes, [*by, "__node"])
     single = t.filter(F.col("__hi") == F.col("__lo")).select(*by, "__r", F.col("__lo").alias("__val"))
     multi_nodes = t.filter(F.col("__hi") > F.col("__lo")).select(*by, "__node").distinct()
