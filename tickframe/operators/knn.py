@@ -11,8 +11,8 @@ By the triangle inequality these bound the distances between two blocks from
 below and from above: a query block's k nearest lie within the upper bound at
 which its nearest blocks hold k vectors, and block pairs whose lower bound is
 beyond that are left out without changing any result.  Each pair that stays is
-one grouped task that computes its distances directly and keeps the k least of
-each query.  These lists are merged in stages of ``FAN`` blocks, so no task
+one grouped task that bounds its distances by matrix products, computes those
+within the bound directly and keeps the k least of each query.  These lists are merged in stages of ``FAN`` blocks, so no task
 holds more than ``FAN * k`` distances of a query.  What passes through the driver
 is the pivots and counts.
 """
@@ -30,19 +30,62 @@ from pyspark.sql import functions as F
 
 from tickframe.session import scratch_path
 
-#: Rows of a block, lists merged at a time, and pivots of a reference set.
+#: Rows of a block (at least), lists merged at a time, and pivots of a reference set.
 BLOCK, FAN, PIVOTS = 4096, 32, 16
+#: Blocks of the reference vectors, from which on blocks grow, and how far they grow.
+BLOCKS, MOST = 32, 8 * BLOCK
+#: Distances held at a time.
+SLICE = 1 << 21
 
 
-def _least(q: np.ndarray, ref: np.ndarray, many: np.ndarray, k: int) -> list[np.ndarray]:
-    """The k least distances of each query, from differences, so that vectors far from the origin lose no digits."""
-    top, out = min(k, len(ref)), []
+def _direct(q: np.ndarray, ref: np.ndarray, top: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Squares and numbers of the ``top`` reference vectors nearest to each query, one query at a time."""
+    out = []
     for x in q:
         d = ref - x
         d = np.einsum("ij,ij->i", d, d)
         first = np.argpartition(d, top - 1)[:top]
         first = first[np.argsort(d[first], kind="stable")]
-        out.append(np.sqrt(np.repeat(d[first], np.minimum(many[first], k))[:k]))
+        out.append((d[first], first))
+    return out
+
+
+def _nearest(q: np.ndarray, ref: np.ndarray, top: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same by one matrix product: it bounds the ``top``-th distance from above, and the few vectors
+    that may lie within the bound, rounding included, are compared by differences."""
+    n, dim = ref.shape
+    group = max(1, n // max(2 * top, 64))
+    groups = np.arange(0, n, group)
+    if not dim or len(groups) < top:
+        return _direct(q, ref, top)
+    with np.errstate(all="ignore"):
+        centre = ref.mean(0)
+        r, x = ref - centre, q - centre
+        square = np.einsum("ij,ij->i", r, r)
+        # the square of a distance, less that of the query
+        d = np.hstack([x, np.ones((len(x), 1))]) @ np.hstack([-2 * r, square[:, None]]).T
+        slack = 16 * (dim + 8) * np.finfo(float).eps * (np.sqrt(np.einsum("ij,ij->i", x, x)) + np.sqrt(square.max())) ** 2
+        # the top-th least of the groups' least
+        reach = np.partition(np.minimum.reduceat(d, groups, axis=1), top - 1, axis=1)[:, top - 1] + slack
+    if not np.isfinite(d).all() or not np.isfinite(reach).all():
+        return _direct(q, ref, top)
+    row, col = np.nonzero(d <= reach[:, None])
+    if len(row) > 16 * top * len(q):  # many near the bound
+        return _direct(q, ref, top)
+    diff = ref[col] - q[row]
+    exact = np.einsum("ij,ij->i", diff, diff)
+    order = np.lexsort((exact, row))
+    start = np.searchsorted(row, np.arange(len(q)))
+    return [(exact[o], col[o]) for o in (order[s:s + top] for s in start)]
+
+
+def _least(q: np.ndarray, ref: np.ndarray, many: np.ndarray, k: int) -> list[np.ndarray]:
+    """The k least distances of each query, from differences, so that vectors far from the origin lose no digits."""
+    top, out = min(k, len(ref)), []
+    step = max(1, SLICE // len(ref))
+    for start in range(0, len(q), step):
+        for d, first in _nearest(q[start:start + step], ref, top):
+            out.append(np.sqrt(np.repeat(d, np.minimum(many[first], k))[:k]))
     return out
 
 
@@ -90,9 +133,12 @@ def block_pairs(queries: DataFrame, refs: DataFrame, k: int) -> DataFrame:
 
 
 def knn_novelty(queries: DataFrame, refs: Mapping[str, DataFrame], id_col: str, vec_col: str, k: int = 4,
-                block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
+                block: int | None = None, pivots: int = PIVOTS) -> DataFrame:
     """For every query vector: Σ over reference sets of the mean distance to
-    its k nearest vectors in that set (a set with no rows adds 0)."""
+    its k nearest vectors in that set (a set with no rows adds 0).
+
+    Rows are sent once per block they meet, so without ``block`` blocks grow with
+    the reference vectors, up to ``MOST`` rows."""
     id_type = dict(queries.dtypes)[id_col]
     q = queries.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
 
@@ -112,7 +158,9 @@ def knn_novelty(queries: DataFrame, refs: Mapping[str, DataFrame], id_col: str,
         return queries.select(id_col, F.lit(0.0).alias("novelty"))
     r = every.groupBy("tag", "v").agg(F.count(F.lit(1)).alias("many"))
     # no more pivots than full blocks: a cell should fill one
-    pivots = min(pivots, max(1, math.ceil(r.count() / block)))
+    n = r.count()
+    block = block or min(MOST, max(BLOCK, math.ceil(n / BLOCKS)))
+    pivots = min(pivots, max(1, math.ceil(n / block)))
     first = r.select("v").orderBy(F.xxhash64("v"), "v").limit(pivots).collect()  # bounded: the pivots
     if not first:
         return queries.select(id_col, F.lit(0.0).alias("novelty"))
