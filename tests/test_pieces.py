@@ -200,3 +200,9 @@ def test_empty_table(spark):
     assert pieces.running(df, "k", "t", "x").count() == 0
     assert pieces.rolling(df, "k", "t", "x", "mean", 3).count() == 0
     assert pieces.affine(df, "k", "t", 0.5, F.col("x")).count() == 0
+
+
+def test_affine_on_cut_keys_is_compiled(rows):
+    """A row's number, which the recurrence starts from, comes from pieces; no step may copy the splitters to each row."""
+    plan = pieces.affine(rows, "k", ORDER, 0.9, F.col("x"), None, "y", 37)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__cuts" in plan and "lambda" not in plan
