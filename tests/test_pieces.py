@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from decimal import Decimal
 
 import pytest
@@ -72,6 +73,17 @@ def test_search_of_splitters_is_compiled(rows, spark):
     assert "lambda" not in plan
 
 
+def test_many_steps_are_planned_at_once(spark):
+    """Nothing above the search may name its steps one inside the other: three times the size with each, minutes with these."""
+    df = spark.range(20_000).select(F.lit("a").alias("k"), F.col("id").alias("t"))
+    out = pieces.running(df, "k", "t", "t", "sum", "s", 2)
+    began = time.monotonic()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    out._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - began < 20
+    assert plan.count("__cuts") > 12 and "Generate" in plan
+
+
 @pytest.mark.parametrize("size", [2, 5, 64])
 def test_piece_is_the_number_of_splitters_ahead(rows, size):
     d, cut = pieces.pieces(rows, "k", ORDER, size)

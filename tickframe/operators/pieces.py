@@ -91,6 +91,8 @@ def pieces(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
     for step in (1 << k for k in reversed(range(most.bit_length()))):
         ahead = F.col(PIECE) + step
         df = df.withColumn(PIECE, F.when(F.get("__cuts", ahead - 1) <= F.col("__o"), ahead).otherwise(F.col(PIECE)))
+    # the optimizer follows a join's key down through projections, and each step names the one before three times; it stops at a generated column
+    df = df.withColumn(PIECE, F.explode(F.array(PIECE)))
     return df.drop("__o", "__cuts"), True
 
 
